@@ -1,10 +1,11 @@
-"""Model features as plain double columns, so the arithmetic stays in generated code."""
+"""Model features as Spark SQL expressions over trip columns.
+
+Features stay plain double columns, so the arithmetic runs in generated code.
+"""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,62 +15,52 @@ from tripwright.schemas import FEATURE_NAMES
 WEIGHT_COUNT = len(FEATURE_NAMES) + 1
 X_COLUMNS = [f"x{j}" for j in range(WEIGHT_COUNT)]
 
+IS_WEEKEND = "day_of_week in (0, 6)"
+IS_AIRPORT = "rate_code_id in (2, 3)"
 
-def is_weekend(day: Column) -> Column:
-    return day.isin(0, 6).cast("double")
-
-
-def is_airport(rate_code: Column) -> Column:
-    return rate_code.isin(2, 3).cast("double")
-
-
-def sin_hour(hour: Column) -> Column:
-    return F.sin(F.lit(2 * math.pi) * hour / 24)
+# The eight unscaled features of a trip, in model order.
+RAW_FEATURES = [
+    "trip_distance",
+    "sin(2D * pi() * hour_of_day / 24D)",
+    "cos(2D * pi() * hour_of_day / 24D)",
+    f"cast({IS_WEEKEND} as double)",
+    "pickup_latitude",
+    "pickup_longitude",
+    f"cast({IS_AIRPORT} as double)",
+    "cast(passenger_count as double)",
+]
 
 
-def cos_hour(hour: Column) -> Column:
-    return F.cos(F.lit(2 * math.pi) * hour / 24)
-
-
-def raw_features() -> list[Column]:
-    """The eight unscaled features of a trip, in model order."""
-    return [
-        F.col("trip_distance"),
-        sin_hour(F.col("hour_of_day")),
-        cos_hour(F.col("hour_of_day")),
-        is_weekend(F.col("day_of_week")),
-        F.col("pickup_latitude"),
-        F.col("pickup_longitude"),
-        is_airport(F.col("rate_code_id")),
-        F.col("passenger_count").cast("double"),
-    ]
+def literal(value: float) -> str:
+    return f"({float(value)!r}D)"
 
 
 def extract_raw(trips: DataFrame, *keep: str) -> DataFrame:
     """Trip frame -> one double column per feature, plus any columns to keep."""
-    named = [f.alias(n) for f, n in zip(raw_features(), FEATURE_NAMES)]
-    # A kept trip column that shares its name with a feature holds the same value already.
-    return trips.select(*[k for k in keep if k not in FEATURE_NAMES], *named)
+    features = [f"{f} as {n}" for f, n in zip(RAW_FEATURES, FEATURE_NAMES)]
+    return trips.selectExpr(*keep, *features)
 
 
-def standardised(means: Sequence[float], stds: Sequence[float]) -> list[Column]:
+def standardised(means: Sequence[float], stds: Sequence[float]) -> list[str]:
     """z-scored features followed by the constant bias input."""
-    scaled = [(f - F.lit(float(m))) / F.lit(float(s)) for f, m, s in zip(raw_features(), means, stds)]
-    return [*scaled, F.lit(1.0)]
+    scaled = [
+        f"({f} - {literal(m)}) / {literal(s)}"
+        for f, m, s in zip(RAW_FEATURES, means, stds, strict=True)
+    ]
+    return [*scaled, "1D"]
 
 
 def feature_matrix(
     trips: DataFrame, means: Sequence[float], stds: Sequence[float], *keep: str
 ) -> DataFrame:
     """``x0..x8`` and the target ``y`` for every trip."""
-    x = [c.alias(n) for c, n in zip(standardised(means, stds), X_COLUMNS)]
-    return trips.select(*keep, *x, F.col("duration_min").alias("y"))
+    x = [f"{c} as {n}" for c, n in zip(standardised(means, stds), X_COLUMNS)]
+    return trips.selectExpr(*keep, *x, "duration_min as y")
 
 
-def dot(columns: Sequence[Column], weights: Sequence[float]) -> Column:
-    """Left-to-right dot product with constant weights."""
-    terms = [c * F.lit(float(w)) for c, w in zip(columns, weights, strict=True)]
-    return reduce(lambda a, b: a + b, terms)
+def dot(terms: Sequence[str], weights: Sequence[float]) -> str:
+    """Dot product with constant weights, summed from the left."""
+    return " + ".join(f"({t}) * {literal(w)}" for t, w in zip(terms, weights, strict=True))
 
 
 def dot_arrays(a: Column, b: Column) -> Column:

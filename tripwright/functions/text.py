@@ -79,19 +79,20 @@ def canonical_line(line: Column, types: dict[int, str], field_count: int) -> Col
     return F.when(full_match(line, plain), line).when(full_match(line, accepted), rewritten)
 
 
-def parsed(text: Column, type_name: str) -> Column:
-    """Typed value of a canonical field, else null.
+def parsed(text: str, type_name: str) -> str:
+    """SQL expression for the typed value of a canonical field, else null.
 
     Integers out of 64-bit range and digits that overflow to infinity become null; a spelled-out
     infinity stays. Fraction digits past the microsecond are cut off, which is all TIMESTAMP_NTZ
     can hold.
     """
     if type_name == "timestamp_ntz":
-        return F.left(text, F.lit(26)).try_cast(type_name)
-    value = text.try_cast(type_name)
+        return f"try_cast(left({text}, 26) as timestamp_ntz)"
+    value = f"try_cast({text} as {type_name})"
     if type_name == "bigint":
         return value
-    return F.when((F.abs(value) != float("inf")) | text.rlike(INFINITE_TEXT), value)
+    infinite = "double('infinity')"
+    return f"case when abs({value}) != {infinite} or {text} rlike '{INFINITE_TEXT}' then {value} end"
 
 
 def lenient_long(text: Column) -> Column:
@@ -111,7 +112,9 @@ def lenient_double(text: Column) -> Column:
 
 def strict_double(text: Column) -> Column:
     """Double text; junk and overflow are null."""
-    return F.when(full_match(text, FLOAT), parsed(F.translate(text, "_", ""), "double"))
+    number = F.translate(text, "_", "").try_cast("double")
+    finite = (F.abs(number) != float("inf")) | text.rlike(INFINITE_TEXT)
+    return F.when(full_match(text, FLOAT) & finite, number)
 
 
 def fixed_decimals(value: Column, digits: int) -> Column:

@@ -1,10 +1,7 @@
-"""Derived columns of one trip record."""
+"""Derived columns of one trip record, as Spark SQL expressions over the trip columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # --- Fixed values: weekday labels, Sunday first --------------------------------------------
 WEEKDAY_NAMES = ["Domingo", "Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado"]
 # --- end of fixed values -------------------------------------------------------------------
@@ -14,60 +11,45 @@ DURATION_BIN_LIMIT = 180.0
 DISTANCE_BIN_MILES = 1.0
 DISTANCE_BIN_LIMIT = 100.0
 
-
-def duration_min(pickup: str = "pickup_ts", dropoff: str = "dropoff_ts") -> Column:
-    """Minutes between two timestamps, with fraction."""
-    return F.timestamp_diff("MICROSECOND", F.col(pickup), F.col(dropoff)) / F.lit(6e7)
-
-
-def hour_of_day(ts: str = "pickup_ts") -> Column:
-    return F.hour(ts)
-
-
-def day_of_week(ts: str = "pickup_ts") -> Column:
-    """0 = Sunday .. 6 = Saturday."""
-    return F.dayofweek(ts) - 1
-
-
-def speed_mph(distance: Column | None = None, minutes: Column | None = None) -> Column:
-    """Miles per hour; null where the duration is zero."""
-    distance = F.col("trip_distance") if distance is None else distance
-    minutes = F.col("duration_min") if minutes is None else minutes
-    return F.try_divide(distance, minutes / 60.0)
-
-
-def weekday_name(day: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), day + 1)
+# Minutes between the two timestamps of a raw record, with fraction.
+DURATION_MIN = "timestampdiff(MICROSECOND, pickup_ts, dropoff_ts) / 6e7D"
+HOUR_OF_DAY = "hour(pickup_ts)"
+# 0 = Sunday .. 6 = Saturday.
+DAY_OF_WEEK = "dayofweek(pickup_ts) - 1"
+# Null where the duration is zero.
+SPEED_MPH = "try_divide(trip_distance, duration_min / 60D)"
+# Null also for a negative duration: such trips have no part in mean speeds.
+MOVING_MPH = f"case when duration_min > 0 then {SPEED_MPH} end"
 
 
-def histogram_bin(value: Column, size: float, limit: float) -> Column:
-    """Bin number by truncation; null outside 0 .. limit/size, so such values fall out."""
-    bin_no = F.floor(value / size)
-    inside = (value > -size) & (bin_no <= int(limit / size)) & ~F.isnan(value)
-    return F.when(inside, F.greatest(bin_no, F.lit(0)).cast("int"))
+def weekday_name(day: str) -> str:
+    names = ", ".join(f"'{n}'" for n in WEEKDAY_NAMES)
+    return f"element_at(array({names}), {day} + 1)"
 
 
-def duration_bin() -> Column:
-    return histogram_bin(F.col("duration_min"), DURATION_BIN_MINUTES, DURATION_BIN_LIMIT)
+def histogram_bin(value: str, size: float, limit: float) -> str:
+    """Bin number by truncation toward zero; null outside 0 .. limit/size."""
+    number = f"try_cast({value} / {size}D as int)"
+    return f"case when {number} between 0 and {int(limit / size)} then {number} end"
 
 
-def distance_bin() -> Column:
-    return histogram_bin(F.col("trip_distance"), DISTANCE_BIN_MILES, DISTANCE_BIN_LIMIT)
+DURATION_BIN = histogram_bin("duration_min", DURATION_BIN_MINUTES, DURATION_BIN_LIMIT)
+DISTANCE_BIN = histogram_bin("trip_distance", DISTANCE_BIN_MILES, DISTANCE_BIN_LIMIT)
 
 
-def grid_cell(degrees: Column, grid: str = "truncate") -> Column:
+def grid_cell(degrees: str, grid: str = "truncate") -> str:
     """Cell number of a 0.01 degree grid: toward zero by default, ``floor`` for true cells."""
     if grid == "floor":
-        return F.floor(degrees * 100).cast("int")
-    if grid != "truncate":
-        raise ValueError(f"unknown grid {grid!r}")
-    return (degrees * 100).cast("int")
+        return f"cast(floor({degrees} * 100D) as int)"
+    if grid == "truncate":
+        return f"cast({degrees} * 100D as int)"
+    raise ValueError(f"unknown grid {grid!r}")
 
 
-def cell_centre(cell: Column) -> Column:
+def cell_centre(cell: str) -> str:
     """Cell number back to degrees plus half a cell.
 
     With the default grid the centre of a negative cell lies one cell off; ``grid='floor'`` puts it
     right.
     """
-    return cell / 100.0 + 0.005
+    return f"{cell} / 100D + 0.005D"

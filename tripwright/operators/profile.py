@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.functions import trip as P
@@ -19,13 +19,13 @@ DISTANCE_BINS = int(P.DISTANCE_BIN_LIMIT / P.DISTANCE_BIN_MILES) + 1
 
 
 def _range(spark: SparkSession, key: str, size: int) -> DataFrame:
-    return spark.range(0, size, 1, 1).select(F.col("id").cast("int").alias(key))
+    return spark.range(0, size, 1, 1).selectExpr(f"cast(id as int) as {key}")
 
 
 def _filled(counts: DataFrame, key: str, size: int) -> DataFrame:
     """Counts with a row for every key 0..size-1. Both sides have at most ``size`` rows."""
     every = _range(counts.sparkSession, key, size)
-    return every.join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
+    return every.join(counts, key, "left").selectExpr(key, "coalesce(n, 0) as n")
 
 
 def trips_by_hour(trips: DataFrame) -> DataFrame:
@@ -39,13 +39,13 @@ def trips_by_weekday(trips: DataFrame) -> DataFrame:
 
 def duration_histogram(trips: DataFrame, dense: bool = False) -> DataFrame:
     """Trips per 2-minute bin; without ``dense`` only bins that hold any."""
-    counts = trips.groupBy(P.duration_bin().alias("bin")).agg(F.count("*").alias("n"))
+    counts = trips.selectExpr(f"{P.DURATION_BIN} as bin").groupBy("bin").agg(F.count("*").alias("n"))
     return _histogram(counts, P.DURATION_BIN_MINUTES, DURATION_BINS, dense)
 
 
 def distance_histogram(trips: DataFrame, dense: bool = False) -> DataFrame:
     """Trips per mile; without ``dense`` only bins that hold any."""
-    counts = trips.groupBy(P.distance_bin().alias("bin")).agg(F.count("*").alias("n"))
+    counts = trips.selectExpr(f"{P.DISTANCE_BIN} as bin").groupBy("bin").agg(F.count("*").alias("n"))
     return _histogram(counts, P.DISTANCE_BIN_MILES, DISTANCE_BINS, dense)
 
 
@@ -53,39 +53,39 @@ def _histogram(counts: DataFrame, width: float, bins: int, dense: bool) -> DataF
     counts = counts.where("bin is not null")
     if dense:
         counts = _filled(counts, "bin", bins)
-    return counts.select((F.col("bin") * F.lit(width)).alias("bin_start"), "n")
+    return counts.selectExpr(f"bin * {width}D as bin_start", "n")
 
 
 def speed_by_hour(trips: DataFrame) -> DataFrame:
     """Unweighted mean of the trips' speeds per hour, 0 for an hour without trips."""
-    moving = trips.where("duration_min > 0")
-    means = moving.groupBy("hour_of_day").agg(F.avg(P.speed_mph()).alias("mph"))
+    means = trips.groupBy("hour_of_day").agg(F.expr(f"avg({P.MOVING_MPH}) as mph"))
     return _mean_filled(means)
 
 
 def _mean_filled(means: DataFrame) -> DataFrame:
     every = _range(means.sparkSession, "hour_of_day", 24)
-    return every.join(means, "hour_of_day", "left").select(
-        "hour_of_day", F.coalesce("mph", F.lit(0.0)).alias("mean_mph")
+    return every.join(means, "hour_of_day", "left").selectExpr(
+        "hour_of_day", "coalesce(mph, 0D) as mean_mph"
     )
 
 
 def pickup_cells(trips: DataFrame, grid: str = "truncate") -> DataFrame:
     """Trips per cell of a 0.01 degree grid."""
-    return trips.groupBy(
-        P.grid_cell(F.col("pickup_latitude"), grid).alias("lat_cell"),
-        P.grid_cell(F.col("pickup_longitude"), grid).alias("lon_cell"),
-    ).agg(F.count("*").alias("n"))
+    cells = trips.selectExpr(
+        f"{P.grid_cell('pickup_latitude', grid)} as lat_cell",
+        f"{P.grid_cell('pickup_longitude', grid)} as lon_cell",
+    )
+    return cells.groupBy("lat_cell", "lon_cell").agg(F.count("*").alias("n"))
 
 
 def top_cells(cells: DataFrame, k: int = TOP_CELLS) -> DataFrame:
     """The k busiest cells; equal counts are ordered by cell number, so the cut is stable."""
     top = cells.orderBy(F.desc("n"), "lat_cell", "lon_cell").limit(k)
-    return top.select(
+    return top.selectExpr(
         "lat_cell",
         "lon_cell",
-        P.cell_centre(F.col("lat_cell")).alias("lat_centre"),
-        P.cell_centre(F.col("lon_cell")).alias("lon_centre"),
+        f"{P.cell_centre('lat_cell')} as lat_centre",
+        f"{P.cell_centre('lon_cell')} as lon_centre",
         "n",
     )
 
@@ -97,21 +97,17 @@ def profile(trips: DataFrame, grid: str = "truncate") -> DataFrame:
     and to trips by weekday, (duration bin, distance bin) to both histograms. So each trip is
     expanded three times and no trip is cached or read twice.
     """
-    keyed = trips.select(
+    keyed = trips.selectExpr(
         "hour_of_day",
         "day_of_week",
-        P.duration_bin().alias("duration_bin"),
-        P.distance_bin().alias("distance_bin"),
-        P.grid_cell(F.col("pickup_latitude"), grid).alias("lat_cell"),
-        P.grid_cell(F.col("pickup_longitude"), grid).alias("lon_cell"),
-        F.when(F.col("duration_min") > 0, P.speed_mph()).alias("mph"),
+        f"{P.DURATION_BIN} as duration_bin",
+        f"{P.DISTANCE_BIN} as distance_bin",
+        f"{P.grid_cell('pickup_latitude', grid)} as lat_cell",
+        f"{P.grid_cell('pickup_longitude', grid)} as lon_cell",
+        f"{P.MOVING_MPH} as mph",
     )
-    hour, weekday = F.col("hour_of_day"), F.col("day_of_week")
-    minutes, miles = F.col("duration_bin"), F.col("distance_bin")
-    lat, lon = F.col("lat_cell"), F.col("lon_cell")
-    return keyed.groupingSets(
-        [[hour, weekday], [minutes, miles], [lat, lon]], hour, weekday, minutes, miles, lat, lon
-    ).agg(
+    keys = [F.col(c) for c in keyed.columns[:-1]]
+    return keyed.groupingSets([keys[0:2], keys[2:4], keys[4:6]], *keys).agg(
         F.grouping_id().alias("grouping"),
         F.count("*").alias("n"),
         F.sum("mph").alias("mph_sum"),
@@ -176,24 +172,14 @@ def profile_long(trips: DataFrame) -> DataFrame:
 
     Each grouped row turns into its two metrics by ``explode``, so the scan is not repeated.
     """
-    grouping = F.col("grouping")
-    none = F.lit(None).cast("int")
-
-    def entry(metric: str, k1: str, k2: Column = none) -> Column:
-        return F.struct(
-            F.lit(metric).alias("metric"), F.col(k1).alias("k1"), k2.alias("k2"), F.col("n")
-        )
-
-    entries = (
-        F.when(
-            grouping == _BY_TIME,
-            F.array(entry("hour", "hour_of_day"), entry("weekday", "day_of_week")),
-        )
-        .when(
-            grouping == _BY_SIZE,
-            F.array(entry("duration", "duration_bin"), entry("distance", "distance_bin")),
-        )
-        .otherwise(F.array(entry("cell", "lat_cell", F.col("lon_cell"))))
-    )
-    tall = profile(trips).select(F.inline(entries)).where("k1 is not null")
+    def entry(metric: str, k1: str, k2: str = "cast(null as int)") -> str:
+        return f"named_struct('metric', '{metric}', 'k1', {k1}, 'k2', {k2}, 'n', n)"
+
+    by_time = f"{entry('hour', 'hour_of_day')}, {entry('weekday', 'day_of_week')}"
+    by_size = f"{entry('duration', 'duration_bin')}, {entry('distance', 'distance_bin')}"
+    entries = f"""
+        case grouping when {_BY_TIME} then array({by_time})
+                      when {_BY_SIZE} then array({by_size})
+                      else array({entry('cell', 'lat_cell', 'lon_cell')}) end"""
+    tall = profile(trips).selectExpr(f"inline({entries})").where("k1 is not null")
     return tall.groupBy("metric", "k1", "k2").agg(F.sum("n").alias("n"))

@@ -2,58 +2,50 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripwright.functions import trip as P
 from tripwright.functions.once import select_once
+from tripwright.functions.trip import DAY_OF_WEEK, DURATION_MIN, HOUR_OF_DAY, SPEED_MPH
 from tripwright.schemas import RAW_COLUMNS, RULES, TRIP_COLUMNS, Bounds
 
 
-def _unparsed() -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in RAW_COLUMNS])
+def _ntz(moment: datetime) -> str:
+    return f"timestamp_ntz'{moment.isoformat(sep=' ')}'"
 
 
-def _rule_code(b: Bounds) -> Column:
-    """``CASE`` over the raw columns and ``duration_min``, evaluated in rule order."""
-    pickup, dropoff = F.col("pickup_ts"), F.col("dropoff_ts")
-    latitude, longitude = F.col("pickup_latitude"), F.col("pickup_longitude")
-    distance, minutes = F.col("trip_distance"), F.col("duration_min")
-    mph = P.speed_mph()
-    return (
-        F.when(_unparsed(), 1)
-        .when((pickup < _ntz(b.pickup_from)) | (pickup >= _ntz(b.pickup_before)), 2)
-        .when(dropoff <= pickup, 3)
-        .when(~minutes.between(b.min_minutes, b.max_minutes), 4)
-        .when(
-            ~latitude.between(b.min_latitude, b.max_latitude)
-            | ~longitude.between(b.min_longitude, b.max_longitude),
-            5,
-        )
-        .when(~F.isnan(distance) & ((distance <= 0) | (distance > b.max_distance)), 6)
-        .when((F.col("fare_amount") <= 0) | (F.col("total_amount") <= 0), 7)
-        .when(~F.col("passenger_count").between(b.min_passengers, b.max_passengers), 8)
-        .when(F.isnan(mph) | ~mph.between(b.min_mph, b.max_mph), 9)
-        .otherwise(0)
-    )
+def rule_code(bounds: Bounds = Bounds()) -> str:
+    """SQL ``CASE`` over the raw columns and ``duration_min``, evaluated in rule order.
 
-
-def with_rule(records: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """Every record with its ``duration_min`` and ``rule``.
-
-    ``rule`` is 0 for a valid record, else the number of the first rule it breaks. NaN sorts above
-    every number in Spark: a NaN coordinate breaks rule 5, since it would poison every mean behind
-    it, and a NaN distance is kept from rule 6 to break rule 9.
+    NaN sorts above every number in Spark: a NaN coordinate breaks rule 5, since it would poison
+    every mean behind it, and a NaN distance is kept from rule 6 to break rule 9.
     """
-    timed = records.withColumn("duration_min", P.duration_min())
-    return timed.withColumn("rule", _rule_code(bounds))
+    b = bounds
+    unparsed = " or ".join(f"{c} is null" for c in RAW_COLUMNS)
+    return f"""
+        case when {unparsed} then 1
+             when pickup_ts < {_ntz(b.pickup_from)} or pickup_ts >= {_ntz(b.pickup_before)} then 2
+             when dropoff_ts <= pickup_ts then 3
+             when duration_min < {b.min_minutes}D or duration_min > {b.max_minutes}D then 4
+             when pickup_latitude < {b.min_latitude}D or pickup_latitude > {b.max_latitude}D
+               or pickup_longitude < {b.min_longitude}D or pickup_longitude > {b.max_longitude}D
+               then 5
+             when not isnan(trip_distance)
+              and (trip_distance <= 0D or trip_distance > {b.max_distance}D) then 6
+             when fare_amount <= 0D or total_amount <= 0D then 7
+             when passenger_count < {b.min_passengers} or passenger_count > {b.max_passengers}
+               then 8
+             when not ({SPEED_MPH} between {b.min_mph}D and {b.max_mph}D) then 9
+             else 0 end"""
 
 
-def _ntz(moment) -> Column:
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+def with_rule(records: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """Every record with its ``duration_min`` and its ``rule``: 0 if valid, else the first broken."""
+    timed = records.selectExpr("*", f"{DURATION_MIN} as duration_min")
+    return timed.selectExpr("*", f"{rule_code(bounds)} as rule")
 
 
 def valid_trips(records: DataFrame, *keep: str, bounds: Bounds = Bounds()) -> DataFrame:
@@ -66,39 +58,23 @@ def valid_trips(records: DataFrame, *keep: str, bounds: Bounds = Bounds()) -> Da
     b = bounds
     kept = [k for k in keep if k not in TRIP_COLUMNS]
     stored = [c for c in TRIP_COLUMNS if c in RAW_COLUMNS]
-    candidates = records.where(
-        _all(
-            *[F.col(c).isNotNull() for c in RAW_COLUMNS],
-            F.col("pickup_ts") >= _ntz(b.pickup_from),
-            F.col("pickup_ts") < _ntz(b.pickup_before),
-            F.col("pickup_latitude") >= b.min_latitude,
-            F.col("pickup_latitude") <= b.max_latitude,
-            F.col("pickup_longitude") >= b.min_longitude,
-            F.col("pickup_longitude") <= b.max_longitude,
-            F.col("trip_distance") > 0,
-            F.col("trip_distance") <= b.max_distance,
-            F.col("fare_amount") > 0,
-            F.col("total_amount") > 0,
-            F.col("passenger_count") >= b.min_passengers,
-            F.col("passenger_count") <= b.max_passengers,
-            F.col("dropoff_ts") > F.col("pickup_ts"),
-        )
-    )
-    timed = select_once(candidates, [*kept, *stored], duration_min=P.duration_min())
-    mph = P.speed_mph()
-    plausible = timed.where(
-        _all(
-            F.col("duration_min").between(b.min_minutes, b.max_minutes),
-            mph.between(b.min_mph, b.max_mph),
-        )
-    )
-    derived = {"hour_of_day": P.hour_of_day(), "day_of_week": P.day_of_week()}
-    trip = [derived[c].alias(c) if c in derived else F.col(c) for c in TRIP_COLUMNS]
-    return plausible.select(*kept, *trip)
-
-
-def _all(*conditions: Column) -> Column:
-    return reduce(lambda x, y: x & y, conditions)
+    parsed = " and ".join(f"{c} is not null" for c in RAW_COLUMNS)
+    candidates = records.where(f"""
+        {parsed}
+        and pickup_ts >= {_ntz(b.pickup_from)} and pickup_ts < {_ntz(b.pickup_before)}
+        and pickup_latitude >= {b.min_latitude}D and pickup_latitude <= {b.max_latitude}D
+        and pickup_longitude >= {b.min_longitude}D and pickup_longitude <= {b.max_longitude}D
+        and trip_distance > 0D and trip_distance <= {b.max_distance}D
+        and fare_amount > 0D and total_amount > 0D
+        and passenger_count >= {b.min_passengers} and passenger_count <= {b.max_passengers}
+        and dropoff_ts > pickup_ts""")
+    timed = select_once(candidates, [*kept, *stored], {"duration_min": DURATION_MIN})
+    plausible = timed.where(f"""
+        duration_min between {b.min_minutes}D and {b.max_minutes}D
+        and {SPEED_MPH} between {b.min_mph}D and {b.max_mph}D""")
+    derived = {"hour_of_day": HOUR_OF_DAY, "day_of_week": DAY_OF_WEEK}
+    trip = [f"{derived[c]} as {c}" if c in derived else c for c in TRIP_COLUMNS]
+    return plausible.selectExpr(*kept, *trip)
 
 
 def rejects(ruled: DataFrame) -> DataFrame:
@@ -130,30 +106,33 @@ def rule_totals(ruled: DataFrame) -> DataFrame:
     """
     if "is_header" not in ruled.columns:
         return ruled.groupBy("rule").agg(F.count("*").alias("n"))
-    file = F.col("file_path") if "file_path" in ruled.columns else F.lit("")
-    per_file = ruled.groupBy(file.alias("file"), "is_header", "rule").agg(F.count("*").alias("n"))
-    data = F.col("n") - F.col("is_header").cast("bigint")
-    return per_file.groupBy("rule").agg(F.sum(data).alias("n")).where("n > 0 or rule > 0")
+    file = "file_path" if "file_path" in ruled.columns else "'' as file_path"
+    per_file = (
+        ruled.selectExpr(file, "is_header", "rule")
+        .groupBy("file_path", "is_header", "rule")
+        .agg(F.count("*").alias("n"))
+    )
+    return (
+        per_file.groupBy("rule")
+        .agg(F.expr("sum(n - cast(is_header as bigint))").alias("n"))
+        .where("n > 0")
+    )
 
 
 def rule_counts(ruled: DataFrame) -> DataFrame:
     """Discarded records per rule, 1..9, zeros kept."""
-    spark = ruled.sparkSession
-    every = spark.range(RULES.start, RULES.stop, 1, 1).select(F.col("id").cast("int").alias("rule"))
-    totals = rule_totals(ruled).where("rule > 0")
-    return every.join(totals, "rule", "left").select("rule", F.coalesce("n", F.lit(0)).alias("n"))
+    every = ruled.sparkSession.range(RULES.start, RULES.stop, 1, 1).selectExpr("cast(id as int) rule")
+    joined = every.join(rule_totals(ruled), "rule", "left")
+    return joined.selectExpr("rule", "coalesce(n, 0) as n")
 
 
 def load_report(ruled: DataFrame) -> DataFrame:
     """One row: records read, valid, retention percent, and a count per rule."""
-    totals = rule_totals(ruled)
-    n = F.col("n")
-    total = F.coalesce(F.sum(n), F.lit(0))
-    valid = F.coalesce(F.sum(F.when(F.col("rule") == 0, n)), F.lit(0))
-    counts = [
-        F.coalesce(F.sum(F.when(F.col("rule") == r, n)), F.lit(0)).alias(f"r{r}") for r in RULES
-    ]
-    retention = F.when(total > 0, valid / total * 100).otherwise(F.lit(0.0))
-    return totals.agg(
-        total.alias("total"), valid.alias("valid"), retention.alias("retention_pct"), *counts
+    counts = [f"coalesce(sum(n) filter (where rule = {r}), 0) as r{r}" for r in RULES]
+    totals = rule_totals(ruled).agg(
+        F.expr("coalesce(sum(n), 0) as total"),
+        F.expr("coalesce(sum(n) filter (where rule = 0), 0) as valid"),
+        *[F.expr(c) for c in counts],
     )
+    retention = "case when total > 0 then valid / total * 100 else 0D end as retention_pct"
+    return totals.selectExpr("total", "valid", retention, *[f"r{r}" for r in RULES])

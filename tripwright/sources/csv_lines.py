@@ -78,7 +78,7 @@ def parse_lines(lines: DataFrame, header: str, header_in_lines: bool = True) ->
         .withColumn("fields", F.split("line", ",", -1))
         .select(*kept, *[F.get("fields", F.lit(place[name])).alias(name) for name in types])
     )
-    return select_once(texts, kept, **{n: X.parsed(F.col(n), kind) for n, kind in types.items()})
+    return select_once(texts, kept, {n: X.parsed(n, kind) for n, kind in types.items()})
 
 
 def read_trips_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -40,8 +40,7 @@ _COLUMNS = {
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Unvalidated trip records; the four key columns stay as a total order."""
-    columns = {name: F.expr(sql) for name, sql in _COLUMNS.items()}
-    return select_once(lineitem, KEYS, **columns)
+    return select_once(lineitem, KEYS, _COLUMNS)
 
 
 def trip_id() -> F.Column:
