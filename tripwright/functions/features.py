@@ -18,17 +18,27 @@ X_COLUMNS = [f"x{j}" for j in range(WEIGHT_COUNT)]
 IS_WEEKEND = "day_of_week in (0, 6)"
 IS_AIRPORT = "rate_code_id in (2, 3)"
 
-# The eight unscaled features of a trip, in model order.
-RAW_FEATURES = [
-    "trip_distance",
-    "sin(2D * pi() * hour_of_day / 24D)",
-    "cos(2D * pi() * hour_of_day / 24D)",
-    f"cast({IS_WEEKEND} as double)",
-    "pickup_latitude",
-    "pickup_longitude",
-    f"cast({IS_AIRPORT} as double)",
-    "cast(passenger_count as double)",
-]
+
+def raw_features(
+    distance: str = "trip_distance",
+    hour: str = "hour_of_day",
+    day: str = "day_of_week",
+    latitude: str = "pickup_latitude",
+    longitude: str = "pickup_longitude",
+    rate_code: str = "rate_code_id",
+    passengers: str = "passenger_count",
+) -> list[str]:
+    """The eight unscaled features in model order, over the given column names."""
+    return [
+        distance,
+        f"sin(2D * pi() * {hour} / 24D)",
+        f"cos(2D * pi() * {hour} / 24D)",
+        f"cast({day} in (0, 6) as double)",
+        latitude,
+        longitude,
+        f"cast({rate_code} in (2, 3) as double)",
+        f"cast({passengers} as double)",
+    ]
 
 
 def literal(value: float) -> str:
@@ -37,15 +47,17 @@ def literal(value: float) -> str:
 
 def extract_raw(trips: DataFrame, *keep: str) -> DataFrame:
     """Trip frame -> one double column per feature, plus any columns to keep."""
-    features = [f"{f} as {n}" for f, n in zip(RAW_FEATURES, FEATURE_NAMES)]
+    features = [f"{f} as {n}" for f, n in zip(raw_features(), FEATURE_NAMES)]
     return trips.selectExpr(*keep, *features)
 
 
-def standardised(means: Sequence[float], stds: Sequence[float]) -> list[str]:
-    """z-scored features followed by the constant bias input."""
+def standardised(
+    means: Sequence[float], stds: Sequence[float], features: Sequence[str] | None = None
+) -> list[str]:
+    """z-scored features (those of a trip by default) followed by the constant bias input."""
     scaled = [
         f"({f} - {literal(m)}) / {literal(s)}"
-        for f, m, s in zip(RAW_FEATURES, means, stds, strict=True)
+        for f, m, s in zip(features or raw_features(), means, stds, strict=True)
     ]
     return [*scaled, "1D"]
 

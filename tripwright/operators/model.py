@@ -36,9 +36,12 @@ class LinearModel:
     test_rmse: float = 0.0
     test_r2: float = 0.0
 
-    def prediction(self) -> str:
-        """SQL expression for the predicted minutes of a trip row; not clamped."""
-        return X.dot(X.standardised(self.means, self.stds), self.weights)
+    def prediction(self, features: Sequence[str] | None = None) -> str:
+        """SQL expression for the predicted minutes of a trip row; not clamped.
+
+        ``features`` stands for the raw features of a trip where columns have other names.
+        """
+        return X.dot(X.standardised(self.means, self.stds, features), self.weights)
 
     def predict_standardised(self, columns: Sequence[str]) -> str:
         """SQL expression for the prediction from nine standardised inputs, bias last."""
