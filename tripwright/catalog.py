@@ -7,6 +7,7 @@ its ``events``. Doubles are rounded in both engines, since sums depend on the or
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tripwright.operators.model import LinearModel
 from tripwright.plans import exports, jobs
 from tripwright.plans.registry import Registry
 from tripwright.schemas import FEATURE_NAMES
-from tripwright.session import new_workspace
+from tripwright.session import configure, new_workspace
 from tripwright.sources import csv_lines, lineitem_trips, model_json
 from tripwright.sources.lineitem_trips import KEYS
 from tripwright.streaming import jobs as streams
@@ -33,7 +34,11 @@ FIXED = oracle.FIXED_MODEL
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return function(configure(spark), folder)
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -405,8 +410,7 @@ def dot_product(spark, folder):
 
 @query
 def score_requests(spark, folder):
-    scored = score.score(_text_requests(spark, folder), _fixed_model(), 1)
-    keyed = scored.withColumn("cache_key", F.when(F.col("error").isNull(), score.cache_key()))
+    keyed = score.with_cache_key(score.score(_text_requests(spark, folder), _fixed_model(), 1))
     return keyed.selectExpr(
         *KEYS, "error", "passenger_count", "cache_key", rounded("duration_min"), "model_version"
     )
@@ -637,11 +641,11 @@ def stream_latency(spark, folder):
 def fixed_decimals(spark, folder):
     """Correctly rounded fixed-point text of arbitrary doubles."""
     lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
-    value = F.expr("(l_extendedprice - 50000D) * l_discount / 64D")
-    return lineitem.select(
+    values = lineitem.selectExpr(
         *KEYS,
         "l_extendedprice",
-        text.fixed_decimals(value, 3).alias("d3"),
-        text.fixed_decimals(value, 4).alias("d4"),
-        text.fixed_decimals(F.col("l_extendedprice") / 16, 2).alias("d2"),
+        "(l_extendedprice - 50000D) * l_discount / 64D as a",
+        "l_extendedprice / 16D as b",
     )
+    texts = {"d3": ("a", 3), "d4": ("a", 4), "d2": ("b", 2)}
+    return text.with_fixed_decimals(values, texts).drop("a", "b")

@@ -5,7 +5,9 @@ Everything is a built-in expression, so it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- Fixed values: the characters Unicode calls White_Space --------------------------------
@@ -42,9 +44,6 @@ PLAIN_FORM = {
 _SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in UNICODE_SPACE) + "]*"
 INFINITE_TEXT = r"^[+-]?[iI]"
 
-MAX_LONG = (1 << 63) - 1
-
-
 def trimmed(text: Column) -> Column:
     """Both ends stripped of every Unicode space, not only of U+0020."""
     return F.trim(text, F.lit(UNICODE_SPACE))
@@ -54,6 +53,11 @@ def full_match(text: Column, form: str) -> Column:
     return text.rlike(rf"^(?:{form})\z")
 
 
+def is_form(text: str, type_name: str) -> str:
+    """SQL condition: the text is in the accepted form of the type."""
+    return f"{text} rlike r'^(?:{TEXT_FORM[type_name]})\\z'"
+
+
 def line_form(field_forms: dict[int, str], field_count: int, space: str = _SPACE) -> str:
     """Pattern of a whole comma-separated line: the given fields in their form, the rest free.
 
@@ -95,64 +99,58 @@ def parsed(text: str, type_name: str) -> str:
     return f"case when abs({value}) != {infinite} or {text} rlike '{INFINITE_TEXT}' then {value} end"
 
 
-def lenient_long(text: Column) -> Column:
-    """Integer text; junk is 0 and an out-of-range value sticks to the limit."""
-    limit = F.when(text.startswith("-"), F.lit(-MAX_LONG) - 1).otherwise(F.lit(MAX_LONG))
-    return F.when(
-        full_match(text, INTEGER), F.coalesce(text.try_cast("bigint"), limit)
-    ).otherwise(F.lit(0).cast("bigint"))
-
-
-def lenient_double(text: Column) -> Column:
-    """Double text; junk is 0 and overflow is infinity."""
-    return F.when(
-        full_match(text, FLOAT), F.translate(text, "_", "").try_cast("double")
-    ).otherwise(F.lit(0.0))
+def lenient(text: str, type_name: str) -> str:
+    """SQL expression for number text as it stands: junk and null are 0, overflow the limit.
 
-
-def strict_double(text: Column) -> Column:
-    """Double text; junk and overflow are null."""
-    number = F.translate(text, "_", "").try_cast("double")
-    finite = (F.abs(number) != float("inf")) | text.rlike(INFINITE_TEXT)
-    return F.when(full_match(text, FLOAT) & finite, number)
-
-
-def fixed_decimals(value: Column, digits: int) -> Column:
-    """``%.{digits}f`` of a double, rounding its exact binary value with ties to even.
-
-    ``format_string`` rounds the shortest decimal text half up, so it writes 2.001 for 2.0005 whose
-    binary value lies below the tie. Here the product with 10^digits is split into its rounded
-    value and its exact rounding error (Dekker's two-product), and both decide the last digit.
-    Values whose scaled size passes 2^52 have no fraction left to round and use the built-in.
+    Integers stick to the end of the 64-bit range, doubles become infinite.
     """
-    scale = float(10**digits)
-    split = 134217729.0  # 2^27 + 1
-    x = F.abs(value)
-    product = x * F.lit(scale)
-    x_high = (x * split) - (x * split - x)
-    x_low = x - x_high
-    s_high = (scale * split) - (scale * split - scale)
-    s_low = scale - s_high
-    error = ((x_high * s_high - product) + x_high * s_low + x_low * s_high) + x_low * s_low
-    whole = F.floor(product)
-    rest = product - whole
-    even = whole % 2 == 0
-    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & ~even)))
-    scaled = whole + F.when(up, 1).otherwise(0)
-    negative_zero = (value == 0) & value.cast("string").startswith("-")
-    unit = 10**digits
-    last = scaled % unit
-    text = F.concat(
-        F.when((value < 0) | negative_zero, "-").otherwise(""),
-        ((scaled - last) / unit).cast("bigint").cast("string"),
-        F.lit("."),
-        F.lpad(last.cast("string"), digits, "0"),
-    )
-    return (
-        F.when(F.isnan(value), "NaN")
-        .when(value == float("inf"), "+Inf")
-        .when(value == float("-inf"), "-Inf")
-        .when(product < 2.0**52, text)
-        .otherwise(F.format_string(f"%.{digits}f", value))
-    )
-
+    if type_name == "double":
+        cast = f"try_cast(translate({text}, '_', '') as double)"
+    else:
+        low, high = "-9223372036854775807L - 1L", "9223372036854775807L"
+        limit = f"if(left({text}, 1) = '-', {low}, {high})"
+        cast = f"coalesce(try_cast({text} as bigint), {limit})"
+    zero = f"cast(0 as {type_name})"
+    return f"case when {is_form(text, type_name)} then {cast} else {zero} end"
+
+
+def with_fixed_decimals(df: DataFrame, wanted: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """Adds ``%.{digits}f`` texts: new column -> (double column, digits from 1 to 6).
+
+    The exact binary value is rounded, ties to even. ``format_string`` rounds the shortest decimal
+    text half up, so it writes 2.001 for 2.0005, whose binary value lies below the tie. Here
+    10^digits times the value is kept as a product and its exact rounding error (Dekker's
+    two-product, with the value split in halves), and both decide the last digit.
+
+    The steps are separate projections: each is used several times by the next and would be
+    computed as often if written as one expression. A value whose product passes 2^52 has no
+    fraction to round and takes the built-in.
+    """
+    exact, halves, errors, whole, texts = 2.0**52, [], [], [], []
+    for i, (name, (source, digits)) in enumerate(wanted.items()):
+        unit, x = 10**digits, f"abs({source})"
+        halves += [
+            f"least({x} * {unit}D, {exact}D) as p_{i}",
+            f"{x} * 134217729D - ({x} * 134217729D - {x}) as high_{i}",
+        ]
+        errors += [
+            f"floor(p_{i}) as floor_{i}",
+            f"(high_{i} * {unit}D - p_{i}) + ({x} - high_{i}) * {unit}D as error_{i}",
+        ]
+        tie_up = f"error_{i} > 0 or (error_{i} = 0 and floor_{i} % 2 = 1)"
+        whole.append(
+            f"""floor_{i} + case when p_{i} - floor_{i} > 0.5D then 1
+                                 when p_{i} - floor_{i} = 0.5D and ({tie_up}) then 1
+                                 else 0 end as scaled_{i}"""
+        )
+        negative = f"{source} < 0 or ({source} = 0 and left(cast({source} as string), 1) = '-')"
+        texts.append(
+            f"""case when isnan({source}) then 'NaN'
+                     when {source} = double('infinity') then '+Inf'
+                     when {source} = double('-infinity') then '-Inf'
+                     when p_{i} >= {exact}D then format_string('%.{digits}f', {source})
+                     else concat(if({negative}, '-', ''), scaled_{i} div {unit}, '.',
+                                 lpad(scaled_{i} % {unit}, {digits}, '0')) end as {name}"""
+        )
+    steps = df.selectExpr("*", *halves).selectExpr("*", *errors).selectExpr("*", *whole)
+    return steps.selectExpr(*df.columns, *texts)

@@ -35,27 +35,37 @@ def scoring_inputs(requests: DataFrame) -> DataFrame:
     """
     types = dict(requests.dtypes)
 
-    def typed(name: str, type_name: str) -> Column:
+    def typed(name: str, type_name: str) -> str:
         if name not in types:
-            return F.lit(0).cast(type_name)
-        column = F.col(name)
-        if types[name] != "string":
-            return F.coalesce(column.try_cast(type_name), F.lit(0).cast(type_name))
-        read = X.lenient_long if type_name == "bigint" else X.lenient_double
-        return read(F.coalesce(column, F.lit("")))
+            return f"cast(0 as {type_name})"
+        if types[name] == "string":
+            return X.lenient(name, type_name)
+        return f"coalesce(try_cast({name} as {type_name}), cast(0 as {type_name}))"
 
+    others = [c for c in requests.columns if c not in _INPUTS]
     columns = {f.name: typed(f.name, f.dataType.simpleString()) for f in SCORING_INPUT.fields}
-    distance = F.col("trip_distance") if "trip_distance" in types else F.lit(None).cast("double")
-    text = types.get("trip_distance") == "string"
-    columns["trip_distance"] = X.strict_double(distance) if text else distance.try_cast("double")
-    missing = (F.coalesce(distance, F.lit("")) == "") if text else distance.isNull()
-    passengers = columns["passenger_count"]
-    columns["passenger_count"] = F.when(passengers <= 0, 1).otherwise(passengers)
-    columns["error"] = F.when(missing, "trip_distance: missing value").when(
-        columns["trip_distance"].isNull(), "trip_distance: invalid value"
+    # What the distance was written as; numbers need no text to tell a bad value from a missing one.
+    given = "trip_distance" if "trip_distance" in types else "cast(null as double)"
+    read = requests.selectExpr(
+        *others, f"{given} as given", *[f"{sql} as {name}" for name, sql in columns.items()]
+    )
+    missing, invalid = "given is null", "false"
+    if types.get("trip_distance") == "string":
+        missing = "coalesce(given, '') = ''"
+        overflow = f"abs(trip_distance) = double('infinity') and not given rlike '{X.INFINITE_TEXT}'"
+        invalid = f"not {X.is_form('given', 'double')} or {overflow}"
+    checked = read.selectExpr(
+        "* except (given)",
+        f"""case when {missing} then 'trip_distance: missing value'
+                 when {invalid} then 'trip_distance: invalid value' end as error""",
+    )
+    return checked.selectExpr(
+        *others,
+        "case when error is null then trip_distance end as trip_distance",
+        *_INPUTS[1:-1],
+        "greatest(passenger_count, 1L) as passenger_count",
+        "error",
     )
-    others = [c for c in requests.columns if c not in columns]
-    return requests.select(*others, *[c.alias(name) for name, c in columns.items()])
 
 
 def prediction(model: LinearModel) -> str:
@@ -80,15 +90,12 @@ def score(requests: DataFrame, model: LinearModel, version: int) -> DataFrame:
     )
 
 
-def cache_key() -> Column:
-    """The quantised inputs as one text key."""
-    parts = [
-        X.fixed_decimals(F.col(name), KEY_DECIMALS[name])
-        if name in KEY_DECIMALS
-        else F.col(name).cast("string")
-        for name in _INPUTS
-    ]
-    return F.concat_ws(":", *parts)
+def with_cache_key(scored: DataFrame) -> DataFrame:
+    """Adds ``cache_key``, the quantised inputs as one text; null where ``error`` is set."""
+    texts = {f"{name}_text": (name, digits) for name, digits in KEY_DECIMALS.items()}
+    parts = [f"{name}_text" if name in KEY_DECIMALS else name for name in _INPUTS]
+    key = f"case when error is null then concat_ws(':', {', '.join(parts)}) end as cache_key"
+    return X.with_fixed_decimals(scored, texts).selectExpr(*scored.columns, key)
 
 
 def score_with_memo(
@@ -109,8 +116,7 @@ def score_with_memo(
     shuffled, combined before the shuffle. The join back holds one row per key on its small side;
     adaptive execution splits the partition of a hot key on the other.
     """
-    scored = score(requests, model, version)
-    keyed = scored.withColumn("cache_key", F.when(F.col("error").isNull(), cache_key()))
+    keyed = with_cache_key(score(requests, model, version))
     firsts = (
         keyed.where("error is null")
         .groupBy("cache_key")

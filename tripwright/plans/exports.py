@@ -6,19 +6,15 @@ each report is one sorted part file in a folder of its name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.functions import trip as P
-from tripwright.functions.text import fixed_decimals
+from tripwright.functions.text import with_fixed_decimals
 from tripwright.operators.profile import Profile
 from tripwright.operators.train import loss_curve
 
 
-def _text(column: str, digits: int) -> Column:
-    return fixed_decimals(F.col(column), digits)
-
-
 def hour_report(profile: Profile) -> DataFrame:
     rows = profile.trips_by_hour().orderBy("hour_of_day")
     return rows.selectExpr("hour_of_day as hora", "n as viajes")
@@ -33,29 +29,28 @@ def weekday_report(profile: Profile) -> DataFrame:
 def duration_report(profile: Profile) -> DataFrame:
     """Empty bins are left out."""
     rows = profile.duration_histogram().orderBy("bin_start")
-    return rows.select(_text("bin_start", 1).alias("bin_inicio_min"), F.col("n").alias("conteo"))
+    rows = with_fixed_decimals(rows, {"bin_inicio_min": ("bin_start", 1)})
+    return rows.selectExpr("bin_inicio_min", "n as conteo")
 
 
 def distance_report(profile: Profile) -> DataFrame:
     """Empty bins are left out."""
     rows = profile.distance_histogram().orderBy("bin_start")
-    return rows.select(_text("bin_start", 1).alias("bin_inicio_mi"), F.col("n").alias("conteo"))
+    rows = with_fixed_decimals(rows, {"bin_inicio_mi": ("bin_start", 1)})
+    return rows.selectExpr("bin_inicio_mi", "n as conteo")
 
 
 def speed_report(profile: Profile) -> DataFrame:
     rows = profile.speed_by_hour().orderBy("hour_of_day")
-    mph = _text("mean_mph", 4).alias("velocidad_media_mph")
-    return rows.select(F.col("hour_of_day").alias("hora"), mph)
+    rows = with_fixed_decimals(rows, {"velocidad_media_mph": ("mean_mph", 4)})
+    return rows.selectExpr("hour_of_day as hora", "velocidad_media_mph")
 
 
 def cells_report(profile: Profile) -> DataFrame:
     rows = profile.top_cells().orderBy(F.desc("n"), "lat_cell", "lon_cell")
-    return rows.select(
-        F.col("lat_cell").alias("lat_celda"),
-        F.col("lon_cell").alias("lon_celda"),
-        _text("lat_centre", 5).alias("lat_centro"),
-        _text("lon_centre", 5).alias("lon_centro"),
-        F.col("n").alias("conteo"),
+    centres = {"lat_centro": ("lat_centre", 5), "lon_centro": ("lon_centre", 5)}
+    return with_fixed_decimals(rows, centres).selectExpr(
+        "lat_cell as lat_celda", "lon_cell as lon_celda", *centres, "n as conteo"
     )
 
 
@@ -96,4 +91,5 @@ def insights(profile: Profile) -> dict[str, DataFrame]:
 
 def loss_report(models: DataFrame) -> DataFrame:
     curve = loss_curve(models).orderBy("epoch")
-    return curve.select(F.col("epoch").alias("epoca"), _text("mse", 6).alias("mse_train"))
+    curve = with_fixed_decimals(curve, {"mse_train": ("mse", 6)})
+    return curve.selectExpr("epoch as epoca", "mse_train")

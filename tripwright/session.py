@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+# HotSpot does not compile methods above this size; they run interpreted, some ten times slower.
+_JIT_METHOD_LIMIT = "8000"
+_HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+_SPARK_DEFAULT = "65535"
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings for the engine's wide projections, left alone where the user chose others.
+
+    Text parsing and request scoring generate long code. With the limit at HotSpot's, a stage that
+    outgrows it runs operator by operator in methods that do get compiled.
+    """
+    if spark.conf.get(_HUGE_METHOD, _SPARK_DEFAULT) == _SPARK_DEFAULT:
+        spark.conf.set(_HUGE_METHOD, _JIT_METHOD_LIMIT)
+    return spark
+
+
 def local_session(app: str = "tripwright", cpus: int | str = 8, **conf: str) -> SparkSession:
     """Session for tests and benchmarks on one machine; a cluster brings its own."""
     builder = (
@@ -23,7 +39,7 @@ def local_session(app: str = "tripwright", cpus: int | str = 8, **conf: str) ->
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,6 +62,3 @@ def new_workspace(spark: SparkSession, label: str) -> str:
     """A path no other run uses, under the shared folder."""
     return f"{shared_dir(spark)}/tripwright/{label}-{uuid.uuid4().hex}"
 
-
-def is_local_path(path: str) -> bool:
-    return os.path.isabs(path) or path.startswith("file:")
