@@ -84,19 +84,20 @@ def canonical_line(line: Column, types: dict[int, str], field_count: int) -> Col
 
 
 def parsed(text: str, type_name: str) -> str:
-    """SQL expression for the typed value of a canonical field, else null.
+    """SQL expression for the typed value of a canonical field, null out of range.
 
-    Integers out of 64-bit range and digits that overflow to infinity become null; a spelled-out
-    infinity stays. Fraction digits past the microsecond are cut off, which is all TIMESTAMP_NTZ
-    can hold.
+    Fraction digits past the microsecond are cut off, which is all TIMESTAMP_NTZ can hold. Digits
+    that overflow still become infinite here, see :func:`without_overflow`.
     """
     if type_name == "timestamp_ntz":
         return f"try_cast(left({text}, 26) as timestamp_ntz)"
-    value = f"try_cast({text} as {type_name})"
-    if type_name == "bigint":
-        return value
-    infinite = "double('infinity')"
-    return f"case when abs({value}) != {infinite} or {text} rlike '{INFINITE_TEXT}' then {value} end"
+    return f"try_cast({text} as {type_name})"
+
+
+def without_overflow(value: str, text: str) -> str:
+    """SQL expression: null for an infinite value that was not spelled out as one."""
+    overflow = f"abs({value}) = double('infinity') and not {text} rlike '{INFINITE_TEXT}'"
+    return f"case when {overflow} then null else {value} end"
 
 
 def lenient(text: str, type_name: str) -> str:

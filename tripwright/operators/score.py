@@ -52,7 +52,7 @@ def scoring_inputs(requests: DataFrame) -> DataFrame:
     missing, invalid = "given is null", "false"
     if types.get("trip_distance") == "string":
         missing = "coalesce(given, '') = ''"
-        overflow = f"abs(trip_distance) = double('infinity') and not given rlike '{X.INFINITE_TEXT}'"
+        overflow = f"({X.without_overflow('trip_distance', 'given')}) is null"
         invalid = f"not {X.is_form('given', 'double')} or {overflow}"
     checked = read.selectExpr(
         "* except (given)",

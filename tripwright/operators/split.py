@@ -23,9 +23,10 @@ def in_train_by_hash(key: Column, seed: int = 42, fraction: float = DEFAULT_FRAC
     The same row falls on the same side whatever the partitioning, so a lost task recomputes the
     split it had; ``randomSplit`` does not promise that. md5 is used because any engine has it.
     """
-    limit = int(train_fraction(fraction) * 2**32)
+    # Eight hex digits compare as text like the number they spell.
+    limit = f"{int(train_fraction(fraction) * 2**32):08x}"
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < F.lit(limit)
+    return F.substring(digest, 1, 8) < F.lit(limit)
 
 
 def in_first(df: DataFrame, keys: Sequence[str], n: int) -> Column:

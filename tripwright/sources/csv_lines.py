@@ -76,9 +76,19 @@ def parse_lines(lines: DataFrame, header: str, header_in_lines: bool = True) ->
     texts = (
         lines.withColumn("line", line)
         .withColumn("fields", F.split("line", ",", -1))
-        .select(*kept, *[F.get("fields", F.lit(place[name])).alias(name) for name in types])
+        .selectExpr(*kept, *[f"get(fields, {place[name]}) as {name}_text" for name in types])
     )
-    return select_once(texts, kept, {n: X.parsed(n, kind) for n, kind in types.items()})
+    doubles = [name for name, kind in types.items() if kind == "double"]
+    values = select_once(
+        texts,
+        [*kept, *[f"{name}_text" for name in doubles]],
+        {name: X.parsed(f"{name}_text", kind) for name, kind in types.items()},
+    )
+    checked = [
+        f"{X.without_overflow(name, f'{name}_text')} as {name}" if name in doubles else name
+        for name in types
+    ]
+    return values.selectExpr(*kept, *checked)
 
 
 def read_trips_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
