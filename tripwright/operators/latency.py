@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tripwright.operators.hot_keys import join_per_key
+
 NEWEST = 200
 TARGET_P95 = 100.0
 _SALTS = 64
@@ -39,9 +41,9 @@ def order_statistics(samples: DataFrame, key: str, value: str, **fractions: floa
     """Per key the samples ``sorted[floor(n * fraction)]``, counted from 0, one column each.
 
     A first pass brackets every wanted sample by approximate percentiles, whose rank error is
-    bounded. In a second, each sample counts toward the least bracket value not below it; that
-    leaves all ranks inside the brackets as they are. So rows are combined into few counts before
-    the shuffle, and the running count of a key walks over a sliver of its distinct values.
+    bounded. Then each distinct value counts toward the least bracket value not below it; that
+    leaves all ranks inside the brackets as they are, and the running count of a key walks over a
+    sliver of its distinct values.
     """
     margin = 2.0 / _ACCURACY
     edges = []
@@ -57,13 +59,13 @@ def order_statistics(samples: DataFrame, key: str, value: str, **fractions: floa
         f"when v < edges[{i}] then edges[{i}] when v <= edges[{i + 1}] then v"
         for i in range(0, len(edges), 2)
     )
+    values = known.groupBy(key, F.col(value).alias("v")).agg(F.count("*").alias("rows"))
     counts = (
-        known.withColumnRenamed(value, "v")
-        .join(brackets, key)
-        .selectExpr(key, "total", f"case {clip} end as v")
-        .groupBy(key, "total", "v")
-        .agg(F.count("*").alias("rows"))
+        join_per_key(values, brackets, key, "total", ["v"])
+        .selectExpr(key, "total", f"case {clip} end as v", "rows")
         .where("v is not null")
+        .groupBy(key, "total", "v")
+        .agg(F.sum("rows").alias("rows"))
     )
     running = counts.withColumn("upto", F.sum("rows").over(W.partitionBy(key).orderBy("v")))
     picks = [

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripwright.functions import text as X
 from tripwright.functions.features import raw_features
+from tripwright.operators.hot_keys import join_per_key
 from tripwright.operators.model import LinearModel
 from tripwright.schemas import SCORING_INPUT
 
@@ -113,27 +114,28 @@ def score_with_memo(
     minutes at ``now`` answer all requests of their key. Being hit does not renew an entry.
 
     Predictions are cheap, so every row is predicted and only (key, id, prediction) triples are
-    shuffled, combined before the shuffle. The join back holds one row per key on its small side;
-    adaptive execution splits the partition of a hot key on the other.
+    shuffled, combined before the shuffle. Their results join back with hot keys spread out.
     """
     keyed = with_cache_key(score(requests, model, version))
     firsts = (
         keyed.where("error is null")
         .groupBy("cache_key")
         .agg(
+            F.count("*").alias("requests_of_key"),
             F.min(request_id).alias("first_id"),
             F.min_by("duration_min", request_id).alias("first_minutes"),
         )
     )
-    if memo is not None:
+    if memo is None:
+        firsts = firsts.withColumn("memo_minutes", F.lit(None).cast("double"))
+    else:
         live = live_entries(memo, now).selectExpr("cache_key", "duration_min as memo_minutes")
         firsts = firsts.join(live, "cache_key", "left")
-    else:
-        firsts = firsts.withColumn("memo_minutes", F.lit(None).cast("double"))
-    answer = keyed.drop("duration_min", "model_version").join(firsts, "cache_key", "left")
+    asked = keyed.drop("duration_min", "model_version")
+    answered = join_per_key(asked, firsts, "cache_key", "requests_of_key", [request_id])
     cached = f"coalesce(memo_minutes is not null or {request_id} != first_id, false)"
-    return answer.selectExpr(
-        *[c for c in answer.columns if c not in ("first_id", "first_minutes", "memo_minutes")],
+    return answered.selectExpr(
+        *asked.columns,
         "coalesce(memo_minutes, first_minutes) as duration_min",
         f"""case when error is null
                  then if({cached}, {CACHED_VERSION}, {int(version)}) end as model_version""",

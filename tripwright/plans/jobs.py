@@ -14,6 +14,7 @@ from tripwright.operators.model import LinearModel
 from tripwright.plans import exports
 from tripwright.plans.registry import Registry, utc_now
 from tripwright.schemas import Bounds
+from tripwright.session import stored
 
 
 def timed_load_report(records: DataFrame, bounds: Bounds = Bounds()) -> dict[str, object]:
@@ -105,14 +106,15 @@ def train_and_register(
 ) -> DataFrame:
     """Validate, train, store model and run under the next version, activate it; one summary row.
 
+    The valid trips are written once, since finding the cut and fitting read them several times.
     A failed save fails the job, so no model becomes active that is not stored.
     """
     spark: SparkSession = records.sparkSession
     started, clock = utc_now(), time.monotonic()
-    trips = rules.valid_trips(records, *order, bounds=bounds)
     request = request.with_defaults()
-    rows_used = trips.count()
-    model = train_ordered(trips, order, request, nodes)
+    with stored(rules.valid_trips(records, *order, bounds=bounds), "trips") as trips:
+        rows_used = trips.count()
+        model = train_ordered(trips, order, request, nodes)
     duration_ms = int((time.monotonic() - clock) * 1000)
     version = registry.next_version()
     registry.save_model(model, version, nodes)

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.operators.model import LinearModel
@@ -51,7 +51,7 @@ class Registry:
         row = model.to_frame(self.spark).select(
             *MODEL.names,
             F.lit(nodes).alias("nodes"),
-            F.lit(_now()).cast("timestamp").alias("created_at"),
+            F.lit(utc_now()).cast("timestamp").alias("created_at"),
         )
         row.coalesce(1).write.parquet(self._path(f"models/version={version}"))
 
@@ -66,7 +66,7 @@ class Registry:
 
     def activate(self, version: int) -> None:
         """Make a version the active one. Activations are appended; the newest counts."""
-        row = self.spark.createDataFrame([(version, _now())], ACTIVATION)
+        row = self.spark.createDataFrame([(version, utc_now())], ACTIVATION)
         row.coalesce(1).write.mode("append").parquet(self._path("activations"))
 
     def active_model(self) -> DataFrame:
@@ -121,13 +121,6 @@ class Registry:
             raise NotFound(f"insight not found: {name}") from error
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc)
-
 
 def utc_now() -> datetime:
-    return _now()
-
-
-def created_now() -> Column:
-    return F.current_timestamp()
+    return datetime.now(timezone.utc)

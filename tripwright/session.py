@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # HotSpot does not compile methods above this size; they run interpreted, some ten times slower.
@@ -58,6 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+@contextmanager
+def stored(frame: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The frame as a table in the shared folder, for jobs that read it many times.
+
+    It survives lost executors, and later scans read only the columns and row groups they need. The
+    table is dropped on leaving.
+    """
+    spark = frame.sparkSession
+    path = new_workspace(spark, label)
+    frame.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A path no other run uses, under the shared folder."""
     return f"{shared_dir(spark)}/tripwright/{label}-{uuid.uuid4().hex}"

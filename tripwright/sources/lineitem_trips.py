@@ -5,7 +5,7 @@ Deterministic integer arithmetic on the keys, so another engine can build the sa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwright.functions.once import select_once
@@ -43,7 +43,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return select_once(lineitem, KEYS, _COLUMNS)
 
 
-def trip_id() -> F.Column:
+def trip_id() -> Column:
     return F.concat_ws("-", *KEYS)
 
 
