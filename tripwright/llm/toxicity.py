@@ -265,7 +265,8 @@ def fit(sample: DataFrame, max_words: int = SAMPLE_WORDS, trainer: Callable[...,
     """The model of a bounded sample, trained in one task; rows beyond ``max_words`` words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, pa.schema([("key", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]))
+        empty = pa.schema([("key", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]).empty_table()
+        table = pa.concat_tables([empty, *(pa.Table.from_batches([b]).cast(empty.schema) for b in batches)])
         table = table.sort_by([("key", "ascending"), ("toxic", "ascending"), ("text", "ascending")])
         text = pa.chunked_array([table["text"]]).combine_chunks()
         fits = np.cumsum(W.words(text).counts()) <= max_words if len(text) else np.zeros(0, bool)
