@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import quality, toxicity
+from tripwright.llm import quality, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,19 @@ def _remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def _public(name: str) -> str:
+    """Path of a public tokenizer's file; their folder is a parameter of the installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op3_token_files(spark, folder):
+    written = token_files.write(table(spark, folder, "documents"), _public("byte_bpe_50k.json"))
+    return token_files.digest(spark, written)
+
+
 @query
 def op8_quality_rules(spark, folder):
     judged = quality.judge(table(spark, folder, "documents"))
