@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import quality, token_files, toxicity
+from tripwright.llm import katz, quality, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,16 @@ def op3_token_files(spark, folder):
     return token_files.digest(spark, written)
 
 
+@query
+def op5_katz_scores(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = katz.score(katz.fit(docs, _remainder(7) != 2))
+    return scored.select(
+        "doc_id", F.coalesce(_remainder(7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )
+
+
 @query
 def op8_quality_rules(spark, folder):
     judged = quality.judge(table(spark, folder, "documents"))
