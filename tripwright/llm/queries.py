@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, quality, token_files, toxicity
+from tripwright.llm import katz, quality, sentencepiece, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,14 @@ def _public(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_sentencepiece(spark, folder):
+    with open(_public("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    encoded = sentencepiece.encode(table(spark, folder, "documents").select("doc_id", "text"), model)
+    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
+
+
 @query
 def op3_token_files(spark, folder):
     written = token_files.write(table(spark, folder, "documents"), _public("byte_bpe_50k.json"))
