@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, quality, sentencepiece, token_files, toxicity
+from tripwright.llm import katz, quality, sentencepiece, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,27 @@ def op5_katz_scores(spark, folder):
     )
 
 
+@query
+def op6_warc(spark, folder):
+    archives = warc.write(table(spark, folder, "pages"))
+    index = warc.index(warc.records(spark, archives))
+    place = ["file", "offset", "length"]
+    found = warc.captures(spark, index).select(*place)
+    return warc.records(spark, archives).join(found, place).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLE["op6_warc"] = """
+with p as (select page_id, coalesce(html, '') as payload from pages),
+q as (select page_id, strlen(payload) as payload_bytes, sha1(payload) as payload_digest,
+             max(page_id) over (partition by payload) as newest from p)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id <> newest then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id <> newest then newest end as refers_to
+from q"""
+
+
 @query
 def op8_quality_rules(spark, folder):
     judged = quality.judge(table(spark, folder, "documents"))
