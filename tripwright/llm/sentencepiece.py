@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
+from tripwright.llm import shared
 from tripwright.llm import words as W
 
 SPACE = "▁"
@@ -304,14 +305,14 @@ def compile_model(raw: bytes, kind: int | None = None) -> Transducer:
 def encode(docs: DataFrame, model: bytes, column: str = "text", decoded: bool = False) -> DataFrame:
     """All columns and ``ids``, ``round_trip`` (whether decoding the ids gives the text back) and, if asked
     for, ``decoded``. A column of the documents with one of these names is replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(compile_model(model))  # as large as the model file
+    sent = shared.send(docs.sparkSession.sparkContext, compile_model(model))  # as large as the model file
     new = ["ids", "round_trip"] + ["decoded"] * decoded
     docs = docs.drop(*[n for n in new if n != column])
     names = docs.columns
     fields = [StructField("ids", ArrayType(IntegerType(), False)), StructField("round_trip", BooleanType()), StructField("decoded", StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = shared.receive(sent)
         for block in W.blocks(batches, column):
             texts = W.column(block, column).to_pylist()
             ids = [own.encode(t) for t in texts]

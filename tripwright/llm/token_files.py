@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripwright.llm import shared
 from tripwright.llm import words as W
 from tripwright.session import new_workspace
 
@@ -40,7 +41,7 @@ END_ID = 0
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: No token begins with a visible character and goes on with white space.
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_PLAIN = re.compile(f" ?[^{_SPACE}]+")
+_PLAIN = re.compile(f" ?[^{_SPACE}]+\\Z")
 
 SEGMENTS = (
     "part int, segment int, dictionary string, doc_id array<long>, offset array<long>, "
@@ -48,10 +49,22 @@ SEGMENTS = (
 )
 
 
+class Encoders:
+    """Sent to tasks by broadcast, so a worker opens the tokenizer once and keeps what it has learnt."""
+
+    def __init__(self, tokenizer_file: str) -> None:
+        self.file, self.encoder = tokenizer_file, None
+
+    def get(self) -> ChunkEncoder:
+        if self.encoder is None:
+            self.encoder = ChunkEncoder(self.file)
+        return self.encoder
+
+
 class ChunkEncoder:
-    """Encodes texts by their chunks; the tokenizer sees each distinct chunk once."""
+    """Encodes texts by their chunks; the tokenizer sees each distinct chunk once, as long as it is kept."""
 
-    def __init__(self, tokenizer_file: str, most: int = 200_000) -> None:
+    def __init__(self, tokenizer_file: str, most: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -66,18 +79,18 @@ class ChunkEncoder:
         self.begin = np.zeros(1, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        def plain(chunk: str) -> bool:
-            return self.line is not None and "<|" not in chunk and _PLAIN.fullmatch(chunk) is not None
-
-        easy, hard = [c for c in new if plain(c)], [c for c in new if not plain(c)]
+        easy, hard = [], []
+        for c in new:
+            (easy if self.line is not None and "<|" not in c and _PLAIN.match(c) else hard).append(c)
         # Easy chunks are encoded many at once, a line end between them: it always is a token of its own.
         groups = [easy[i : i + 50] for i in range(0, len(easy), 50)]
         found: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
-        for e in self.tokenizer.encode_batch(["\n".join(g) for g in groups], add_special_tokens=False):
-            ids = np.array(e.ids, dtype=np.uint32)
+        if groups:
+            lists = [e.ids + [self.line] for e in self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
             cut = np.flatnonzero(ids == self.line)
-            sizes.append(np.diff(np.concatenate(([-1], cut, [len(ids)]))) - 1)
+            sizes.append(np.diff(cut, prepend=-1) - 1)
             found.append(np.delete(ids, cut))
         for e in self.tokenizer.encode_batch(hard, add_special_tokens=False):
             found.append(np.array(e.ids, dtype=np.uint32))
@@ -93,7 +106,7 @@ class ChunkEncoder:
         if len(self.known) > self.most:
             self.forget()
         known = self.known
-        new = list(dict.fromkeys(c for c in chain.from_iterable(cut) if c not in known))
+        new = sorted(set(chain.from_iterable(cut)).difference(known))
         if new:
             self._learn(new)
         counts = np.array([len(c) for c in cut], dtype=np.int64)
@@ -157,8 +170,10 @@ def write(docs: DataFrame, tokenizer_file: str) -> str:
     folder = new_workspace(spark, "token-files")
     spark.createDataFrame([(dictionary.key, dictionary.raw)], "dictionary string, raw binary").write.parquet(f"{folder}/dictionary")
 
+    encoders = shared.send(spark.sparkContext, Encoders(tokenizer_file))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_file)
+        encoder = shared.receive(encoders).get()
         compress = zstandard.ZstdCompressor(level=3, dict_data=dictionary.data()).compress
         part, number = TaskContext.get().partitionId(), 0
         doc_id: list[int | None] = []
@@ -171,7 +186,7 @@ def write(docs: DataFrame, tokenizer_file: str) -> str:
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _ARROW)], _NAMES)
 
         held = 0
-        for block in W.blocks(batches, "text"):
+        for block in W.blocks(batches, "text", 1 << 20):
             for i, ids in zip(W.column(block, "doc_id").to_pylist(), _with_end(encoder, W.column(block, "text"))):
                 frame = compress(ids.astype("<u4").tobytes())
                 doc_id.append(i), frames.append(frame), n_ids.append(len(ids))
