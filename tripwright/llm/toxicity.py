@@ -258,7 +258,8 @@ def labelled(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_RO
     for toxic, n in sorted(counts.items()):
         top = min(span - 1, int(span * min(1.0, rows_per_class / n))) - (span >> 1)
         keep = keep | ((F.col("toxic") == toxic) & (F.col("key") <= F.lit(top)))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known.where(keep), "doc_id").select("key", "text", "toxic")
+    # Some 2 * rows_per_class rows of three numbers: that is all that is broadcast.
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known.where(keep)), "doc_id").select("key", "text", "toxic")
 
 
 def fit(sample: DataFrame, max_words: int = SAMPLE_WORDS, trainer: Callable[..., Model] = train) -> Model:
