@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, quality, sentencepiece, token_files, toxicity, warc
+from tripwright.llm import katz, neighbours, quality, sentencepiece, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,8 @@ def op9_toxicity(spark, folder):
     return scored.select(
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op10_neighbours(spark, folder):
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
