@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, neighbours, quality, sentencepiece, token_files, toxicity, warc
+from tripwright.llm import katz, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +44,11 @@ def op1_sentencepiece(spark, folder):
     return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
+@query
+def op2_ngram_jaccard(spark, folder):
+    return ngram_jaccard.join(table(spark, folder, "documents"), size=3, num=90, den=100)
+
+
 @query
 def op3_token_files(spark, folder):
     written = token_files.write(table(spark, folder, "documents"), _public("byte_bpe_50k.json"))
