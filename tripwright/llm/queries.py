@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
+from tripwright.llm import katz, line_chunks, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +86,11 @@ select page_id, payload_bytes, payload_digest,
 from q"""
 
 
+@query
+def op7_line_chunks(spark, folder):
+    return line_chunks.remove(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op8_quality_rules(spark, folder):
     judged = quality.judge(table(spark, folder, "documents"))
