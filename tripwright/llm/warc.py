@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripwright.llm.tables import written
 from tripwright.session import new_workspace
 
 REVISIT_BYTES = 1000
@@ -66,6 +67,8 @@ def typed(pages: DataFrame) -> DataFrame:
         .where("n > 1 and newest is not null")
         .drop("n")
     )
+    # Stored, so that its size is known: Spark broadcasts it below its threshold, and then no payload is shuffled.
+    again = written(again, "warc-repeated")
     joined = rows.join(again, "payload_digest", "left")
     is_revisit = F.coalesce((F.col("payload_bytes") >= REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("newest")) & F.col("newest").isNotNull(), F.lit(False))
     return joined.withColumns({
