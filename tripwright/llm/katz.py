@@ -24,6 +24,7 @@ count as often as they occur; without training rows all tokens are unknown and e
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,18 +41,36 @@ from tripwright.llm.tables import written
 #: Good-Turing applies to counts up to this one.
 MOST = 5
 #: Tokens per bucket, about.
-BUCKET_TOKENS = 400_000
+BUCKET_TOKENS = 600_000
+BLOCK_BYTES = 8 << 20
 HOT = 2
 _END = np.uint64(1)
 _START_ID = 0
 
 
 def _pack(values: np.ndarray, dtype: str) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values.astype(dtype)).tobytes(), 1)
-
-
-def _open(raw: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(raw), dtype=dtype)
+    """Numbers byte by byte: all lowest bytes compressed, then all next ones, and so on; zeros cost nothing."""
+    values = np.ascontiguousarray(values.astype(dtype)).reshape(-1)
+    size = values.itemsize
+    planes = values.view(np.uint8).reshape(-1, size)
+    parts = [struct.pack("<IB", len(values), size)]
+    for j in range(size):
+        plane = np.ascontiguousarray(planes[:, j])
+        body = zstandard.compress(plane.tobytes(), 1) if plane.any() else b""
+        parts += [struct.pack("<I", len(body)), body]
+    return b"".join(parts)
+
+
+def _open(raw: bytes, kind: str) -> np.ndarray:
+    """Numbers of ``_pack``; kind is u or f."""
+    n, size = struct.unpack_from("<IB", raw)
+    planes, at = np.zeros((n, size), dtype=np.uint8), 5
+    for j in range(size):
+        length = struct.unpack_from("<I", raw, at)[0]
+        if length:
+            planes[:, j] = np.frombuffer(zstandard.decompress(raw[at + 4 : at + 4 + length]), np.uint8)
+        at += 4 + length
+    return planes.reshape(-1).view(f"<{kind}{size}")
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -116,7 +135,7 @@ def blocks(docs: DataFrame, train: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
-        for number, part in enumerate(W.blocks(batches, "text")):
+        for number, part in enumerate(W.blocks(batches, "text", BLOCK_BYTES)):
             w = W.words(W.column(part, "text"), lower=True)
             counts = w.counts() + 1
             ends = np.cumsum(counts) - 1
@@ -153,17 +172,17 @@ def unigram_totals(stored: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                words, tokens = _open(row["vocabulary"], "<u8"), _open(row["tokens"], "<u4")
-                learnt = np.repeat(_open(row["train"], "u1"), _open(row["sizes"], "<u4"))
+                words, tokens = _open(row["vocabulary"], "u"), _open(row["tokens"], "u")
+                learnt = np.repeat(_open(row["train"], "u"), _open(row["sizes"], "u"))
                 counts = np.bincount(tokens, learnt, minlength=len(words))
                 e = _edges(words, buckets)
                 yield _rows(message, [(b, row["block"], _pack(words[e[b] : e[b + 1]], "<u8"), _pack(counts[e[b] : e[b + 1]], "<u4")) for b in range(buckets)])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in groups(batches, "bucket"):
-            words = [_open(r["words"], "<u8") for r in rows]
+            words = [_open(r["words"], "u") for r in rows]
             distinct, at = np.unique(np.concatenate(words), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([_open(r["counts"], "<u4") for r in rows]), minlength=len(distinct)).astype(np.int64)
+            counts = np.bincount(at, np.concatenate([_open(r["counts"], "u") for r in rows]), minlength=len(distinct)).astype(np.int64)
             # Frequent words get small ids, which compress well.
             rank = np.empty(len(distinct), dtype=np.int64)
             rank[np.argsort(-counts, kind="stable")] = np.arange(len(distinct))
@@ -198,7 +217,7 @@ _PAIR_SQL = "bucket int, block long, kind int, history binary, h_count binary, r
 
 def _triples(row: dict, ids: np.ndarray, counts: np.ndarray, uni: Unigrams, buckets: int, hot_count: int) -> list[tuple]:
     """A block's distinct (history, word, text) as messages to buckets, and its texts' own row."""
-    tokens, sizes, train = _open(row["tokens"], "<u4"), _open(row["sizes"], "<u4").astype(np.int64), _open(row["train"], "u1")
+    tokens, sizes, train = _open(row["tokens"], "u"), _open(row["sizes"], "u").astype(np.int64), _open(row["train"], "u")
     text = np.repeat(np.arange(len(sizes)), sizes)
     word = ids[tokens]
     first = np.concatenate(([True], text[1:] != text[:-1]))
@@ -236,11 +255,6 @@ def _triples(row: dict, ids: np.ndarray, counts: np.ndarray, uni: Unigrams, buck
     return out
 
 
-def _wide(raw: bytes, n: int) -> np.ndarray:
-    data = zstandard.decompress(raw)
-    return np.frombuffer(data, dtype={n: "u1", 2 * n: "<u2", 4 * n: "<u4", 8 * n: "<u8"}[len(data)]).astype(np.int64)
-
-
 #: kind 0: a block's texts; 1: sums of a block's texts; 2: backing off; 3: a hot history's part; 4: a bucket's model.
 _OUT = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64())] + [(c, pa.binary()) for c in ("a", "b", "c", "d", "e")] + [("doc_id", pa.list_(pa.int64()))])
 _OUT_SQL = "kind int, bucket int, block long, a binary, b binary, c binary, d binary, e binary, doc_id array<long>"
@@ -251,12 +265,11 @@ def _bucket(bucket: int, rows: list[dict], uni: Unigrams, hot_count: int) -> Ite
     """Totals of a bucket's pairs, and from them what each block's texts need."""
     parts = []
     for r in rows:
-        run = _open(r["run"], "<u4")
-        n = int(run.sum())
-        w = _wide(r["word"], n)
+        run = _open(r["run"], "u")
+        w = _open(r["word"], "u").astype(np.int64)
         _, one, back = np.unique(w, return_index=True, return_inverse=True)
-        count = _wide(r["w_count"], n)[one][back]
-        parts.append((np.repeat(_open(r["history"], "<u8").astype(np.int64), run), np.repeat(_open(r["h_count"], "<u8").astype(np.int64), run), w, count, _wide(r["text"], n), _open(r["times"], "<u4").astype(np.int64), _open(r["train"], "u1")))
+        count = _open(r["w_count"], "u").astype(np.int64)[one][back]
+        parts.append((np.repeat(_open(r["history"], "u").astype(np.int64), run), np.repeat(_open(r["h_count"], "u").astype(np.int64), run), w, count, _open(r["text"], "u").astype(np.int64), _open(r["times"], "u").astype(np.int64), _open(r["train"], "u")))
     history, h_count, word, w_count, text, times, train = (np.concatenate(x) for x in zip(*parts))
     owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
     order = np.lexsort((word, history))
@@ -310,8 +323,8 @@ def pair_totals(stored: DataFrame, totals: DataFrame, uni: Unigrams, buckets: in
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groups(batches, "block"):
-            ids = np.concatenate([_open(r["train"], "<u8") for r in rows[1:]]).astype(np.int64)
-            counts = np.concatenate([_open(r["sizes"], "<u8") for r in rows[1:]]).astype(np.int64)
+            ids = np.concatenate([_open(r["train"], "u") for r in rows[1:]]).astype(np.int64)
+            counts = np.concatenate([_open(r["sizes"], "u") for r in rows[1:]]).astype(np.int64)
             yield _rows(_PAIR, _triples(rows[0], ids, counts, uni, buckets, hot_count))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,10 +358,10 @@ class Model:
         def run(batches):
             for _, rows in groups(batches, "bucket"):
                 for r in rows:
-                    counts = _open(r["counts"], "<u8").astype(np.int64)
+                    counts = _open(r["counts"], "u").astype(np.int64)
                     rank = np.empty(len(counts), dtype=np.int64)
                     rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), r["bucket"], np.int32)), pa.array(_open(r["ids"], "<u8").astype(np.int64)), pa.array(rank * buckets + r["bucket"] + 1), pa.array(counts)], ["bucket", "word", "id", "count"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(counts), r["bucket"], np.int32)), pa.array(_open(r["ids"], "u").astype(np.int64)), pa.array(rank * buckets + r["bucket"] + 1), pa.array(counts)], ["bucket", "word", "id", "count"])
 
         return self.totals.where("block is null").mapInArrow(run, "bucket int, word long, id long, count long")
 
@@ -358,7 +371,7 @@ class Model:
         def run(batches):
             for _, rows in groups(batches, "bucket"):
                 for r in rows:
-                    cols = [pa.array(_open(r[c], "<u8").astype(np.int64)) for c in "abc"]
+                    cols = [pa.array(_open(r[c], "u").astype(np.int64)) for c in "abc"]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), r["bucket"], np.int32)), *cols], ["bucket", "history", "word", "count"])
 
         return self.answers.where("kind = 4").select("bucket", "a", "b", "c").mapInArrow(run, "bucket int, history long, word long, count long")
@@ -384,9 +397,9 @@ def fit(docs: DataFrame, train: Column, bucket_tokens: int = BUCKET_TOKENS) -> M
     hot: dict[int, np.ndarray] = {}
     # One histogram per bucket and the few hot histories: no more rows than a few per bucket.
     for row in answers.where("kind = 4").select("e").toLocalIterator():
-        histogram += _open(bytes(row[0]), "<u8").astype(np.int64)
+        histogram += _open(bytes(row[0]), "u").astype(np.int64)
     for row in answers.where("kind = 3").select("a", "b").toLocalIterator():
-        for h, part in zip(_open(bytes(row[0]), "<u8").tolist(), _open(bytes(row[1]), "<f8").reshape(-1, _STATS)):
+        for h, part in zip(_open(bytes(row[0]), "u").tolist(), _open(bytes(row[1]), "f").reshape(-1, _STATS)):
             if h in hot:
                 hot[h][1:] += part[1:]
             else:
@@ -407,22 +420,22 @@ def score(model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groups(batches, "block"):
             info = rows[0]
-            sizes, known = _open(info["a"], "<u4").astype(np.int64), _open(info["b"], "<u4").astype(np.int64)
+            sizes, known = _open(info["a"], "u").astype(np.int64), _open(info["b"], "u").astype(np.int64)
             scores = np.zeros(len(sizes))
             for r in rows[1:]:
-                where = _open(r["a"], "<u4")
+                where = _open(r["a"], "u")
                 if r["kind"] == 1:
-                    rare = _open(r["c"], "<u4").reshape(-1, MOST)
-                    scores[where] += _open(r["b"], "<f8") + rare @ logs_d
+                    rare = _open(r["c"], "u").reshape(-1, MOST)
+                    scores[where] += _open(r["b"], "f") + rare @ logs_d
                 else:
-                    at, times = _open(r["c"], "<u4").reshape(2, -1)
-                    weight = np.log10(alpha(_open(r["e"], "<f8").reshape(-1, _STATS), d))
-                    for i, h in enumerate(_open(r["d"], "<u8").tolist()):
+                    at, times = _open(r["c"], "u").reshape(2, -1)
+                    weight = np.log10(alpha(_open(r["e"], "f").reshape(-1, _STATS), d))
+                    for i, h in enumerate(_open(r["d"], "u").tolist()):
                         weight[i] = hot.get(h, weight[i])
-                    np.add.at(scores, where, _open(r["b"], "<f8") + times * weight[at])
-            base = _open(info["c"], "<f8") - sizes * np.log10(uni.tokens + uni.types + 1.0)
+                    np.add.at(scores, where, _open(r["b"], "f") + times * weight[at])
+            base = _open(info["c"], "f") - sizes * np.log10(uni.tokens + uni.types + 1.0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(info["doc_id"], pa.int64()), pa.array(_open(info["d"], "u1") > 0), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), uni.tokens)), pa.array(base), pa.array(scores)],
+                [pa.array(info["doc_id"], pa.int64()), pa.array(_open(info["d"], "u") > 0), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), uni.tokens)), pa.array(base), pa.array(scores)],
                 ["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
