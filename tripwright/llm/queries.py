@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, line_chunks, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
+from tripwright.llm import katz, line_chunks, mixing, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +65,19 @@ def op5_katz_scores(spark, folder):
     )
 
 
+def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Domains of the labelled documents: their languages."""
+    known = docs.select("doc_id", F.col("lang").alias("domain"))
+    return known.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+@query
+def op4_mixing(spark, folder):
+    docs = table(spark, folder, "documents")
+    mixture = mixing.mix(docs, language_labels(docs, table(spark, folder, "labels")))
+    return mixture.rows.select("doc_id", "n_tokens", F.col("p").alias("posterior"), "rate", "copies")
+
+
 @query
 def op6_warc(spark, folder):
     archives = warc.write(table(spark, folder, "pages"))
