@@ -36,11 +36,15 @@ def _public(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def public_file(name: str) -> bytes:
+    with open(_public(name), "rb") as file:
+        return file.read()
+
+
 @query
 def op1_sentencepiece(spark, folder):
-    with open(_public("piece_bpe_32k.model"), "rb") as file:
-        model = file.read()
-    encoded = sentencepiece.encode(table(spark, folder, "documents").select("doc_id", "text"), model)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = sentencepiece.encode(docs, public_file("piece_bpe_32k.model"))
     return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
