@@ -2,55 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+from tripwright.session import written
+
 # A key is hot above this share of all rows, so there are fewer than its inverse of them.
 HOT_SHARE = 1 / 10_000
 
 
 def join_per_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    key: str,
-    count: str,
-    spread_by: Sequence[str],
-    salts: int = SALTS,
-    hot_share: float = HOT_SHARE,
+    rows: DataFrame, per_key: DataFrame, key: str, count: str, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """Left join of ``rows`` with ``per_key``, which holds each key once and its row ``count``.
 
-    Rows of a hot key take their values from a broadcast of the hot keys, fewer than
-    ``1 / hot_share`` by their definition. They, and rows without a key, then pass the join of the
-    other keys with no key to match, dealt over ``salts`` tasks by a hash of ``spread_by``, so no
-    task gets a hot key whole. Adaptive execution cannot do that here: it does not split a
-    partition whose other side comes out of an aggregate. The salt is a function of the row, so a
-    recomputed task deals the same.
+    Rows of hot keys meet a broadcast of these keys, fewer than ``1 / hot_share`` by their
+    definition, and are not shuffled; nor are rows without a key. The rows of all other keys take an
+    ordinary shuffle join, in which no key is hot. ``per_key`` is stored once, since it is read for
+    the total, the hot and the other keys.
     """
-    limit = per_key.agg(F.sum(count)).scalar() * hot_share
+    per_key = written(per_key, "per-key")
+    limit = (per_key.agg(F.sum(count)).head()[0] or 0) * hot_share
     values = [c for c in per_key.columns if c != key]
-    hot = per_key.where(F.col(count) > limit).select(
-        F.col(key).alias("hot_key"), *[F.col(v).alias(f"hot_{v}") for v in values]
-    )
-    cold = per_key.where(F.col(count) <= limit).select(
-        F.col(key).alias("cold_key"),
-        F.lit(0).cast("bigint").alias("cold_salt"),
-        *[F.col(v).alias(f"cold_{v}") for v in values],
-    )
-    dealt = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumns(
-        {
-            "open_key": F.when(F.col("hot_key").isNull(), F.col(key)),
-            "salt": F.when(
-                F.col("hot_key").isNotNull() | F.col(key).isNull(),
-                F.pmod(F.xxhash64(*spread_by), F.lit(salts)),
-            ).otherwise(0),
-        }
-    )
-    same = (F.col("open_key") == F.col("cold_key")) & (F.col("salt") == F.col("cold_salt"))
-    joined = dealt.join(cold, same, "left")
-    return joined.select(
-        *rows.columns, *[F.coalesce(f"hot_{v}", f"cold_{v}").alias(v) for v in values]
-    )
+    hot = F.broadcast(per_key.where(F.col(count) > limit))
+    columns = [*rows.columns, *values]
+    spread = rows.join(hot.withColumn("is_hot", F.lit(True)), key, "left")
+    kept = spread.where(F.col("is_hot") | F.col(key).isNull()).select(columns)
+    others = rows.where(F.col(key).isNotNull()).join(hot.select(key), key, "left_anti")
+    cold = others.join(per_key.where(F.col(count) <= limit), key, "left").select(columns)
+    return kept.unionAll(cold)

@@ -61,7 +61,7 @@ def order_statistics(samples: DataFrame, key: str, value: str, **fractions: floa
     )
     values = known.groupBy(key, F.col(value).alias("v")).agg(F.count("*").alias("rows"))
     counts = (
-        join_per_key(values, brackets, key, "total", ["v"])
+        join_per_key(values, brackets, key, "total")
         .selectExpr(key, "total", f"case {clip} end as v", "rows")
         .where("v is not null")
         .groupBy(key, "total", "v")

@@ -114,7 +114,7 @@ def score_with_memo(
     minutes at ``now`` answer all requests of their key. Being hit does not renew an entry.
 
     Predictions are cheap, so every row is predicted and only (key, id, prediction) triples are
-    shuffled, combined before the shuffle. Their results join back with hot keys spread out.
+    shuffled, combined before the shuffle. Their results join back; rows of hot keys stay in place.
     """
     keyed = with_cache_key(score(requests, model, version))
     firsts = (
@@ -132,7 +132,7 @@ def score_with_memo(
         live = live_entries(memo, now).selectExpr("cache_key", "duration_min as memo_minutes")
         firsts = firsts.join(live, "cache_key", "left")
     asked = keyed.drop("duration_min", "model_version")
-    answered = join_per_key(asked, firsts, "cache_key", "requests_of_key", [request_id])
+    answered = join_per_key(asked, firsts, "cache_key", "requests_of_key")
     cached = f"coalesce(memo_minutes is not null or {request_id} != first_id, false)"
     return answered.selectExpr(
         *asked.columns,

@@ -77,6 +77,13 @@ def stored(frame: DataFrame, label: str) -> Iterator[DataFrame]:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder that outlives this call, for plans built on it."""
+    path = new_workspace(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A path no other run uses, under the shared folder."""
     return f"{shared_dir(spark)}/tripwright/{label}-{uuid.uuid4().hex}"
