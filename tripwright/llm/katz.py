@@ -24,18 +24,19 @@ count as often as they occur; without training rows all tokens are unknown and e
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripwright.llm import words as W
+from tripwright.llm.packing import groups
+from tripwright.llm.packing import pack as _pack
+from tripwright.llm.packing import unpack as _open
 from tripwright.llm.tables import written
 
 #: Good-Turing applies to counts up to this one.
@@ -48,31 +49,6 @@ _END = np.uint64(1)
 _START_ID = 0
 
 
-def _pack(values: np.ndarray, dtype: str) -> bytes:
-    """Numbers byte by byte: all lowest bytes compressed, then all next ones, and so on; zeros cost nothing."""
-    values = np.ascontiguousarray(values.astype(dtype)).reshape(-1)
-    size = values.itemsize
-    planes = values.view(np.uint8).reshape(-1, size)
-    parts = [struct.pack("<IB", len(values), size)]
-    for j in range(size):
-        plane = np.ascontiguousarray(planes[:, j])
-        body = zstandard.compress(plane.tobytes(), 1) if plane.any() else b""
-        parts += [struct.pack("<I", len(body)), body]
-    return b"".join(parts)
-
-
-def _open(raw: bytes, kind: str) -> np.ndarray:
-    """Numbers of ``_pack``; kind is u or f."""
-    n, size = struct.unpack_from("<IB", raw)
-    planes, at = np.zeros((n, size), dtype=np.uint8), 5
-    for j in range(size):
-        length = struct.unpack_from("<I", raw, at)[0]
-        if length:
-            planes[:, j] = np.frombuffer(zstandard.decompress(raw[at + 4 : at + 4 + length]), np.uint8)
-        at += 4 + length
-    return planes.reshape(-1).view(f"<{kind}{size}")
-
-
 def discounts(n: np.ndarray) -> np.ndarray:
     """``d[r]`` for r = 0..MOST from ``n[r]``, the number of types seen r times (r = 0..MOST + 1).
 
@@ -107,21 +83,6 @@ class Unigrams:
         return np.where(counts > 0, _discounted(counts, np.array(self.d)) / (self.tokens + 1), self.unknown)
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
-    """Consecutive rows of equal key."""
-    now, rows = None, []
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            if rows and row[key] != now:
-                yield now, rows
-                rows = []
-            now = row[key]
-            rows.append(row)
-    if rows:
-        yield now, rows
-
-
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -179,7 +140,7 @@ def unigram_totals(stored: DataFrame, buckets: int) -> DataFrame:
                 yield _rows(message, [(b, row["block"], _pack(words[e[b] : e[b + 1]], "<u8"), _pack(counts[e[b] : e[b + 1]], "<u4")) for b in range(buckets)])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in groups(batches, "bucket"):
+        for (bucket,), rows in groups(batches, "bucket"):
             words = [_open(r["words"], "u") for r in rows]
             distinct, at = np.unique(np.concatenate(words), return_inverse=True)
             counts = np.bincount(at, np.concatenate([_open(r["counts"], "u") for r in rows]), minlength=len(distinct)).astype(np.int64)
@@ -328,7 +289,7 @@ def pair_totals(stored: DataFrame, totals: DataFrame, uni: Unigrams, buckets: in
             yield _rows(_PAIR, _triples(rows[0], ids, counts, uni, buckets, hot_count))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in groups(batches, "bucket"):
+        for (bucket,), rows in groups(batches, "bucket"):
             for r in rows:
                 if r["kind"] == 0:
                     yield _rows(_OUT, [(0, bucket, r["block"], r["history"], r["h_count"], r["run"], r["train"], None, r["doc_id"])])

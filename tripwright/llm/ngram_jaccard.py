@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import words as W
 from tripwright.llm.components import components
+from tripwright.llm.packing import groups, pack, pack_sorted, unpack, unpack_sorted
 from tripwright.llm.tables import written
 
 BUCKET_GRAMS = 600_000
@@ -70,21 +71,6 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Consecutive rows of equal keys."""
-    now, rows = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            key = tuple(row[k] for k in keys)
-            if rows and key != now:
-                yield now, rows
-                rows = []
-            now = key
-            rows.append(row)
-    if rows:
-        yield now, rows
-
-
 def shared_grams(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """For each row: id, size of its set, the class of its set, and, where it can link at all, its n-grams
     that others have too, in the global order. An n-gram is one long: 8 bits of rarity, 56 of hash."""
@@ -105,19 +91,19 @@ def shared_grams(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 of_set.append(W.mix(sums ^ n.astype(np.uint64)).view(np.int64))
             rows = [(block % buckets, block, 0, W.column(part, "doc_id").to_pylist(), n.astype("<u4").tobytes(), of_set[0].tobytes(), of_set[1].tobytes())]
             cut = np.append(np.searchsorted(value, edges), len(value))
-            small = text.astype("<u2" if len(n) < 1 << 16 else "<u4")
+            width = "<u2" if len(n) < 1 << 16 else "<u4"
             rows += [
-                (b, block, 1, None, value[cut[b] : cut[b + 1]].tobytes(), small[cut[b] : cut[b + 1]].tobytes(), None)
+                (b, block, 1, None, pack_sorted(value[cut[b] : cut[b + 1]]), pack(text[cut[b] : cut[b + 1]], width), None)
                 for b in np.flatnonzero(np.diff(cut)).tolist()
             ]
             yield _batch(_SENT, rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket,), rows in _grouped(batches, ("bucket",)):
+        for (bucket,), rows in groups(batches, "bucket"):
             sent = [r for r in rows if r["kind"] == 1]
             out = [tuple(r[f.name] for f in _SENT) for r in rows if r["kind"] == 0]
             if sent:
-                values = [np.frombuffer(r["a"], "<u8") for r in sent]
+                values = [unpack_sorted(r["a"]) for r in sent]
                 _, at, many = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
                 many = many[at]
                 begin = 0
@@ -126,18 +112,19 @@ def shared_grams(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                     begin += len(v)
                     common = df > 1
                     if common.any():
-                        order = (np.minimum(df[common], 255).astype(np.uint64) << np.uint64(56)) | (v[common] >> np.uint64(8))
-                        text = np.frombuffer(r["b"], f"<u{len(r['b']) // len(v)}")[common]
-                        out.append((bucket, r["block"], 1, None, order.tobytes(), text.astype("<u4").tobytes(), None))
+                        text = unpack(r["b"], "u")[common]
+                        out.append((bucket, r["block"], 1, None, pack_sorted(v[common]), pack(text, "<u4"), pack(np.minimum(df[common], 255), "u1")))
             if out:
                 yield _batch(_SENT, out)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _grouped(batches, ("block",)):
+        for _, rows in groups(batches, "block"):
             info = rows[0]
             n = np.frombuffer(info["a"], "<u4").astype(np.int64)
-            order = np.concatenate([np.zeros(0, "<u8")] + [np.frombuffer(r["a"], "<u8") for r in rows[1:]])
-            text = np.concatenate([np.zeros(0, "<u4")] + [np.frombuffer(r["b"], "<u4") for r in rows[1:]])
+            value = np.concatenate([np.zeros(0, "<u8")] + [unpack_sorted(r["a"]) for r in rows[1:]])
+            text = np.concatenate([np.zeros(0, "<u4")] + [unpack(r["b"], "u") for r in rows[1:]])
+            rarity = np.concatenate([np.zeros(0, "u1")] + [unpack(r["c"], "u") for r in rows[1:]])
+            order = (rarity.astype(np.uint64) << np.uint64(56)) | (value >> np.uint64(8))
             held = np.bincount(text, minlength=len(n))
             able = (held * den >= num * n) & (n > 0)
             kept = able[text]
@@ -193,8 +180,10 @@ def _links(classes: DataFrame, num: int, den: int) -> DataFrame:
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                grams = np.array(r["grams"], dtype=np.int64)
+            lists = batch.column(batch.num_columns - 1)
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for k, r in enumerate(batch.select(range(batch.num_columns - 1)).to_pylist()):
+                grams = flat[ends[k] : ends[k + 1]]
                 cut = np.concatenate(([0], np.searchsorted(grams, pivots), [len(grams)]))
                 pieces = [grams[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
                 for other in range(r["blocks"]):
@@ -208,7 +197,7 @@ def _links(classes: DataFrame, num: int, den: int) -> DataFrame:
                 yield _batch(seg, out)
 
     def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, group in _grouped(batches, ("family", "i", "j", "fragment")):
+        for key, group in groups(batches, "family", "i", "j", "fragment"):
             grams = [np.frombuffer(r["grams"], np.int64) for r in group]
             _, at = np.unique(np.concatenate(grams), return_inverse=True)
             here = np.zeros((len(group), at.max() + 1 if len(at) else 1), dtype=np.float32)
@@ -217,7 +206,7 @@ def _links(classes: DataFrame, num: int, den: int) -> DataFrame:
             yield _batch(cnt, [(*key, *([r[c] for r in group] for c in ("class", "n", "copies", "side")), counts.tobytes())])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, i, j), group in _grouped(batches, ("family", "i", "j")):
+        for (_, i, j), group in groups(batches, "family", "i", "j"):
             first = group[0]
             size = len(first["classes"])
             overlap = sum(np.frombuffer(r["counts"], "<u4").astype(np.int64) for r in group).reshape(size, size)
