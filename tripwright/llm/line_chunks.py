@@ -7,6 +7,7 @@ those long lines, that occur more than once in the corpus are removed everywhere
 place (smallest doc_id, then position), after their bytes have been compared: equal hashes with
 different bytes stay. All other lines stay as they are.
 
+What is repeated grows with the corpus, so texts meet it in joins by row, in the same plan at any size.
 Hashes travel first; texts are only fetched for chunks whose hash occurs again. Sums and minima per
 hash are combined before they are shuffled, so a passage in a third of all texts is one row a task.
 
@@ -110,7 +111,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     places = written(docs.mapInArrow(_places, "hash long, doc_id long, row long, number int").distinct(), "line-places")
     again = places.groupBy("hash").count().where("count > 1").select("hash")
     wanted = places.join(again, "hash").groupBy("row").agg(F.sort_array(F.collect_list("number")).alias("numbers"))
-    texts = written(docs.dropDuplicates(["row"]).join(wanted, "row").mapInArrow(_texts, "hash long, body binary, doc_id long, row long, number int"), "line-bodies")
+    texts = written(docs.dropDuplicates(["row"]).join(wanted.hint("merge"), "row").mapInArrow(_texts, "hash long, body binary, doc_id long, row long, number int"), "line-bodies")
     # Minima combine before the shuffle; the first place is the one of the smallest id, null last.
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "number")
     kept = texts.groupBy("hash", "body").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -126,7 +127,8 @@ def remove(docs: DataFrame) -> DataFrame:
     own = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").contains(" ") | F.col("text").contains("\n"))
     lost = repeated(own)
     held = F.struct(*[F.col(f"`{n}`") for n in names]).alias("held")
-    joined = docs.select(row.alias("_row"), held).join(lost.select(F.col("row").alias("_row"), F.col("numbers").alias("_numbers")), "_row", "left")
+    lost = lost.select(F.col("row").alias("_row"), F.col("numbers").alias("_numbers"))
+    joined = docs.select(row.alias("_row"), held).join(lost.hint("merge"), "_row", "left")
     clean = joined.select("held.*", "_numbers")
     text_at = names.index("text")
 
