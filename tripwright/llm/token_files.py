@@ -64,7 +64,7 @@ class Encoders:
 class ChunkEncoder:
     """Encodes texts by their chunks; the tokenizer sees each distinct chunk once, as long as it is kept."""
 
-    def __init__(self, tokenizer_file: str, most: int = 300_000) -> None:
+    def __init__(self, tokenizer_file: str, most: int = 150_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
