@@ -39,16 +39,9 @@ def chunks(texts: pa.Array) -> dict[str, np.ndarray]:
     """All chunks of the texts: ``text``, ``number`` in it, ``begin`` and ``end`` (bytes within the text, without
     the last line's end), ``lines``, ``words``, ``hash``."""
     w = W.words(texts)
-    data, offsets, n = w.data, w.offsets, w.n_docs
-    breaks = np.flatnonzero(data == 10)
-    in_text = np.searchsorted(offsets, breaks, side="right") - 1
-    order = np.lexsort((np.concatenate([np.zeros(n, np.int64), breaks + 1]), np.concatenate([np.arange(n), in_text])))
-    start = np.concatenate([offsets[:-1], breaks + 1])[order]
-    text = np.concatenate([np.arange(n), in_text])[order]
-    stop = np.empty_like(start)
+    data, offsets = w.data, w.offsets
+    text, start, stop = W.lines(data, offsets)
     last = np.append(text[1:] != text[:-1], True) if len(text) else np.zeros(0, bool)
-    stop[last] = offsets[1:][text[last]]
-    stop[np.flatnonzero(~last)] = start[np.flatnonzero(~last) + 1] - 1
     n_words = np.searchsorted(w.start, stop) - np.searchsorted(w.start, start)
     hashes = W.span_hashes(data, start, stop)
     first = np.append(True, text[1:] != text[:-1]) if len(text) else np.zeros(0, bool)

@@ -66,16 +66,11 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
         "n_upper": _per_text(_UPPER[data], offsets),
         "n_marks": _per_text(_MARK[data], offsets),
     }
-    # Lines: cut at \n and at the ends of texts; of these, the ones with a word.
-    breaks = np.flatnonzero(data == 10)
-    start = np.union1d(offsets[:-1][np.diff(offsets) > 0], breaks + 1)
-    start = start[start < len(data)]
-    ends = np.union1d(offsets[1:], breaks)
-    end = ends[np.searchsorted(ends, start)] if len(start) else start
+    # Of all lines, the ones with a word.
+    line_doc, start, end = W.lines(data, offsets)
     seen = np.concatenate(([0], np.cumsum(black)))
     worded = seen[end] > seen[start]
-    start, end = start[worded], end[worded]
-    line_doc = np.searchsorted(offsets, start, side="right") - 1
+    line_doc, start, end = line_doc[worded], start[worded], end[worded]
     again = _repeated(line_doc, W.span_hashes(data, start, end)) == 2
     out["n_lines"] = np.bincount(line_doc, minlength=n)
     out["n_dup_lines"] = np.bincount(line_doc[again], minlength=n)

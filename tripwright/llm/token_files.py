@@ -159,7 +159,8 @@ def shared_dictionary(docs: DataFrame, tokenizer_file: str) -> Dictionary:
         yield pa.RecordBatch.from_arrays([pa.array([train_dictionary(sorted(samples)).raw], pa.binary())], ["raw"])
 
     sample = docs.where(key <= F.lit(top)).select("text").repartition(1)
-    return Dictionary(bytes(sample.mapInArrow(run, "raw binary").first()[0]))
+    row = sample.mapInArrow(run, "raw binary").first()
+    return Dictionary(bytes(row[0]) if row else b"")
 
 
 def write(docs: DataFrame, tokenizer_file: str) -> str:

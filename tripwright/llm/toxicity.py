@@ -275,7 +275,8 @@ def fit(sample: DataFrame, max_words: int = SAMPLE_WORDS, trainer: Callable[...,
         model = trainer(text.slice(0, n), table["toxic"].to_numpy()[:n])
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], ["model"])
 
-    return Model.from_bytes(sample.repartition(1).mapInArrow(run, "model binary").first()[0])
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return Model.from_bytes(bytes(row[0])) if row else trainer(pa.array([], pa.string()), np.zeros(0))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

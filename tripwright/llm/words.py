@@ -141,3 +141,19 @@ def windows(doc: np.ndarray, hashes: np.ndarray, size: int) -> tuple[np.ndarray,
     for k in range(size):
         value = mix(value * np.uint64(_BASE) + hashes[at + k])
     return at, value
+
+
+def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, begin and end of each line of some texts, cut at ``\\n``; an empty text has one empty line."""
+    n = len(offsets) - 1
+    breaks = np.flatnonzero(data == 10)
+    text = np.concatenate([np.arange(n), np.searchsorted(offsets, breaks, side="right") - 1])
+    start = np.concatenate([offsets[:-1], breaks + 1])
+    order = np.lexsort((start, text))
+    text, start = text[order], start[order]
+    last = np.append(text[1:] != text[:-1], True) if len(text) else np.zeros(0, bool)
+    stop = np.empty_like(start)
+    stop[last] = offsets[1:][text[last]]
+    inner = np.flatnonzero(~last)
+    stop[inner] = start[inner + 1] - 1
+    return text, start, stop
