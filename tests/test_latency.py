@@ -64,3 +64,20 @@ def test_one_value_only(spark):
     row = latency.latency_summary(frame, "key", "value").head()
     assert (row.p50, row.p95, row.passed) == (7.0, 7.0, True)
     assert latency.latency_summary(frame, "key", "value", target=7.0).head().passed is False
+
+
+def test_many_values_of_one_key_are_narrowed(spark, monkeypatch):
+    """Two million distinct values of one key leave more inside a bracket than one task walks over."""
+    monkeypatch.setattr(latency, "_WALK", 100)
+    n = 2_000_000
+    frame = spark.range(0, n, 1, 8).selectExpr("'a' as key", "cast(id * 3 as double) / 7 as value")
+    frame = frame.unionByName(spark.range(40).selectExpr("'b' as key", "cast(5 as double) as value"))
+    rows = {r.key: (r.p50, r.p95) for r in latency.p50_p95(frame, "key", "value").collect()}
+    assert rows == {"a": (n // 2 * 3 / 7, int(n * 0.95) * 3 / 7), "b": (5.0, 5.0)}
+
+
+def test_nulls_and_integers(spark):
+    given = [("a", 3), ("a", None), ("a", 1), (None, 7), (None, 8), ("c", None)]
+    frame = spark.createDataFrame(given, "key string, value bigint")
+    rows = {r.key: (r.p50, r.p95) for r in latency.p50_p95(frame, "key", "value").collect()}
+    assert rows == {"a": (3, 3)}

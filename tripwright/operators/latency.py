@@ -7,11 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripwright.operators.hot_keys import join_per_key
+from tripwright.session import written
 
 NEWEST = 200
 TARGET_P95 = 100.0
 _SALTS = 64
 _ACCURACY = 10000
+# Values of a key that one task may walk over, and slices that a round cuts a bracket into.
+_WALK = 4096
+_SLICES = 1024
 
 
 def newest_per_key(
@@ -40,39 +44,83 @@ def newest_per_key(
 def order_statistics(samples: DataFrame, key: str, value: str, **fractions: float) -> DataFrame:
     """Per key the samples ``sorted[floor(n * fraction)]``, counted from 0, one column each.
 
-    A first pass brackets every wanted sample by approximate percentiles, whose rank error is
-    bounded. Then each distinct value counts toward the least bracket value not below it; that
-    leaves all ranks inside the brackets as they are, and the running count of a key walks over a
-    sliver of its distinct values.
+    One scan brackets every wanted sample by approximate percentiles, a second counts the samples
+    below each bracket and each value inside it; nearly all samples fall to that before the first
+    shuffle. Where a key has more than ``_WALK`` values inside a bracket, slices of the bracket are
+    counted until the wanted rank lies in one with few enough, so no task walks over more. A rank
+    outside its bracket, which the error bound of the percentiles excludes, widens the brackets.
     """
+    names = sorted(fractions, key=fractions.get)
+    known = samples.select(F.col(key).alias("k"), F.col(value).alias("v")).where("v is not null")
     margin = 2.0 / _ACCURACY
-    edges = []
-    for fraction in sorted(fractions.values()):
-        edges += [max(fraction - margin, 0.0), min(fraction + margin, 1.0)]
-    known = samples.select(key, value).where(F.col(value).isNotNull())
+    while True:
+        inside = _inside_brackets(known, [fractions[n] for n in names], margin)
+        missed = "rank < below or rank >= below + rows"
+        if not _totals(inside).where(missed).limit(1).count():
+            break
+        margin *= 16
+    while _totals(inside).where(f"distinct > {_WALK} and high > low").limit(1).count():
+        inside = _narrowed(inside)
+    rank = W.partitionBy("k", "slot").orderBy("v")
+    running = inside.withColumn("upto", F.col("below") + F.sum("rows").over(rank))
+    picks = [
+        F.expr(f"min(v) filter (where slot = {i} and upto > rank) as {name}")
+        for i, name in enumerate(names)
+    ]
+    return running.groupBy(F.col("k").alias(key)).agg(*picks).select(key, *fractions)
+
+
+def _inside_brackets(known: DataFrame, fractions: list[float], margin: float) -> DataFrame:
+    """``k, slot, v, rows, rank, below``: the counted values inside each bracket of a key, the wanted
+    rank and how many samples are smaller than the bracket."""
+    edges = [min(max(f + m, 0.0), 1.0) for f in fractions for m in (-margin, margin)]
     wanted = ", ".join(f"{e!r}D" for e in edges)
-    brackets = known.groupBy(key).agg(
+    brackets = known.groupBy("k").agg(
         F.count("*").alias("total"),
-        F.expr(f"percentile_approx({value}, array({wanted}), {_ACCURACY})").alias("edges"),
+        F.expr(f"percentile_approx(v, array({wanted}), {_ACCURACY})").alias("edges"),
     )
-    clip = " ".join(
-        f"when v < edges[{i}] then edges[{i}] when v <= edges[{i + 1}] then v"
-        for i in range(0, len(edges), 2)
-    )
-    values = known.groupBy(key, F.col(value).alias("v")).agg(F.count("*").alias("rows"))
+    slots = ", ".join(
+        f"case when v < edges[{2 * i}] then named_struct('slot', {i}, 'at', cast(null as {{t}}))"
+        f" when v <= edges[{2 * i + 1}] then named_struct('slot', {i}, 'at', v) end"
+        for i in range(len(fractions))
+    ).format(t=dict(known.dtypes)["v"])
+    ranks = " ".join(f"when {i} then floor(total * {f!r}D)" for i, f in enumerate(fractions))
     counts = (
-        join_per_key(values, brackets, key, "total")
-        .selectExpr(key, "total", f"case {clip} end as v", "rows")
-        .where("v is not null")
-        .groupBy(key, "total", "v")
-        .agg(F.sum("rows").alias("rows"))
+        join_per_key(known, brackets, "k", "total")
+        .selectExpr("k", "total", f"explode(filter(array({slots}), x -> x is not null)) as s")
+        .groupBy("k", "total", "s.slot", "s.at")
+        .agg(F.count("*").alias("rows"))
     )
-    running = counts.withColumn("upto", F.sum("rows").over(W.partitionBy(key).orderBy("v")))
-    picks = [
-        F.expr(f"min(v) filter (where upto > floor(total * {fraction}D)) as {name}")
-        for name, fraction in fractions.items()
-    ]
-    return running.groupBy(key).agg(*picks)
+    counts = written(counts, "bracketed")
+    below = counts.where("at is null").select("k", "slot", F.col("rows").alias("below"))
+    values = counts.where("at is not null").withColumn("rank", F.expr(f"case slot {ranks} end"))
+    joined = values.join(below, ["k", "slot"], "left")
+    return joined.selectExpr("k", "slot", "at as v", "rows", "rank", "coalesce(below, 0) as below")
+
+
+def _totals(inside: DataFrame) -> DataFrame:
+    """One row per key and slot."""
+    return inside.groupBy("k", "slot", "rank", "below").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("distinct"),
+        F.min("v").cast("double").alias("low"), F.max("v").cast("double").alias("high"),
+    )
+
+
+def _narrowed(inside: DataFrame) -> DataFrame:
+    """The same brackets cut down to the slice, of ``_SLICES`` equal ones, that holds the wanted rank."""
+    ends = _totals(inside).select("k", "slot", "low", "high", "distinct")
+    slice_no = f"least(cast(floor((v - low) / (high - low) * {_SLICES}) as int), {_SLICES - 1})"
+    dealt = inside.join(ends, ["k", "slot"]).withColumn(
+        "slice", F.expr(f"case when distinct > {_WALK} and high > low then {slice_no} else 0 end")
+    )
+    order = W.partitionBy("k", "slot").orderBy("slice")
+    sums = dealt.groupBy("k", "slot", "slice", "rank", "below").agg(F.sum("rows").alias("n"))
+    sums = sums.withColumn("before", F.col("below") + F.sum("n").over(order) - F.col("n"))
+    found = sums.where("before <= rank and rank < before + n")
+    kept = dealt.drop("rank", "below").join(
+        found.select("k", "slot", "slice", "rank", F.col("before").alias("below")), ["k", "slot", "slice"]
+    )
+    return written(kept.select("k", "slot", "v", "rows", "rank", "below"), "narrowed")
 
 
 def p50_p95(samples: DataFrame, key: str, value: str) -> DataFrame:
