@@ -230,3 +230,47 @@ def test_rules_on_other_bounds(spark):
     assert rules.valid_trips(records).count() == 0
     assert rules.valid_trips(records, bounds=wide).count() == 1
     assert rules.with_rule(records, wide).head().rule == 0
+
+
+def swapped(header_or_line):
+    """The same fields with two columns in each other's place."""
+    f = header_or_line.split(",")
+    f[4], f[12] = f[12], f[4]
+    return ",".join(f)
+
+
+def test_each_file_has_its_own_header(spark, folder):
+    rows = [line(f4="3.5"), line(f4="1.5"), "", line(f4="x")]
+    write_lines(f"{folder}/a.csv", rows)
+    with open(f"{folder}/b.csv", "w") as file:
+        file.write("\n".join(swapped(x) if x else x for x in [CSV_HEADER, *rows, CSV_HEADER]) + "\n")
+    one = rules.rule_counts(rules.with_rule(csv_lines.read_trips_csv(spark, f"{folder}/a.csv")))
+    both = rules.with_rule(csv_lines.read_trips_csv(spark, folder))
+    alone = {r.rule: r.n for r in one.collect()}
+    # The second file's repeated header is one more rejected record.
+    assert {r.rule: r.n for r in rules.rule_counts(both).collect()} == {
+        rule: 2 * n + (rule == 1) for rule, n in alone.items()
+    }
+    trips = rules.valid_trips(csv_lines.read_trips_csv(spark, folder)).collect()
+    assert sorted(t.trip_distance for t in trips) == [1.5, 1.5, 3.5, 3.5]
+
+
+def test_a_file_without_a_required_column_is_named(spark, folder):
+    write_lines(f"{folder}/good.csv", [line()])
+    with open(f"{folder}/bad.csv", "w") as file:
+        file.write(CSV_HEADER.replace("fare_amount", "fare") + "\n" + line() + "\n")
+    with pytest.raises(ValueError, match="bad.csv.*fare_amount"):
+        csv_lines.read_trips_csv(spark, folder)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 8])
+def test_first_lines_do_not_depend_on_splits(spark, folder, n):
+    for name in "ab":
+        write_lines(f"{folder}/{name}.csv", [line(f4=f"{i}.25") for i in range(4)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        built = csv_lines.first_lines(spark, folder, n)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    found = sorted(r.trip_distance for r in built.where("not is_header").collect())
+    assert found == sorted(([i + 0.25 for i in range(4)] * 2)[:n])

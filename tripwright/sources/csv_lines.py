@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tripwright.functions import text as X
 from tripwright.functions.once import select_once
+from tripwright.operators.split import in_first
 from tripwright.schemas import CSV_FIELD_COUNT, RAW_TRIP, REQUIRED_COLUMNS
+from tripwright.session import written
 
 LINE_ORDER = ["file_path", "file_block_start", "line_id"]
 
@@ -35,12 +37,10 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def header_line(lines: DataFrame) -> str:
-    """First line of a file; all files of one call share one layout."""
-    first = lines.where("file_block_start = 0").select("value").head(1)
-    if not first:
-        raise ValueError("empty CSV: no header line")
-    return first[0].value
+def header_lines(lines: DataFrame) -> DataFrame:
+    """``file_path`` and ``header``, the first line, of each file that has any line."""
+    first = lines.where("file_block_start = 0").groupBy("file_path")
+    return first.agg(F.min_by("value", "line_id").alias("header"))
 
 
 def header_positions(header: str) -> dict[str, int]:
@@ -91,56 +91,87 @@ def parse_lines(lines: DataFrame, header: str, header_in_lines: bool = True) ->
     return values.selectExpr(*kept, *checked)
 
 
-def read_trips_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Unvalidated trip records of files that share one header layout.
+def parse_files(lines: DataFrame) -> DataFrame:
+    """``parse_lines`` with each file's own header.
 
-    For several layouts call this once each and combine with ``unionByName``.
+    There are few layouts, so each is parsed by one plan over the files that have it. A file whose
+    header lacks a required column is an error that names it.
     """
-    lines = read_lines(spark, paths)
-    return parse_lines(lines, header_line(lines))
+    headers = header_lines(lines)
+    layouts = [r.header for r in headers.select("header").distinct().orderBy("header").collect()]
+    if not layouts:
+        raise ValueError("empty CSV: no header line")
+    for header in layouts:
+        try:
+            header_positions(header)
+        except ValueError as error:
+            at = headers.where(F.col("header") == header).agg(F.min("file_path")).head()[0]
+            raise ValueError(f"{at}: {error}") from error
+    if len(layouts) == 1:
+        return parse_lines(lines, layouts[0])
+    parts = []
+    for header in layouts:
+        own = headers.where(F.col("header") == header).select("file_path")
+        parts.append(parse_lines(lines.join(own, "file_path", "left_semi"), header))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def read_trips_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Unvalidated trip records of CSV files, each read by the header it has."""
+    return parse_files(read_lines(spark, paths))
 
 
 def first_lines(spark: SparkSession, paths: str | Sequence[str], n: int) -> DataFrame:
     """Trip records of the first ``n`` data lines in (path, position) order; 0 means all.
 
-    Files are counted block by block in path order, more of them each round, until they hold n
-    lines; later files are never opened. The result is a filter on the line's place, so no line is
-    moved or sorted.
+    Lines are counted per file in path order, more files each round, until they hold n; later files
+    are never opened. Counts do not depend on how files are split. Files before the one with the
+    n-th line are taken whole; that one's lines are stored once, and the cut is made in what is
+    stored, so reading it with other splits later changes nothing.
     """
-    everything = spark.read.text(paths).inputFiles()
-    if not everything:
+    files = sorted(spark.read.text(paths).inputFiles())
+    if not files:
         raise ValueError("empty CSV: no header line")
-    files = sorted(everything)
-    header = header_line(read_lines(spark, files[0]))
     if n <= 0:
-        return parse_lines(read_lines(spark, files), header)
+        return read_trips_csv(spark, files)
     take = 1
     while True:
         lines = read_lines(spark, files[:take])
-        blocks = (
-            lines.groupBy("file_path", "file_block_start")
-            .agg(F.count("*").alias("n"), F.min("line_id").alias("first_id"))
-            .orderBy("file_path", "file_block_start")
-        )
-        before, cut = 0, None
-        for block in blocks.toLocalIterator():
-            start = block.first_id
-            data = block.n
-            if block.file_block_start == 0:
-                start, data = start + 1, data - 1
-            if before + data >= n:
-                cut = (block.file_path, block.file_block_start, start + n - before)
+        # One row per listed file; the listing itself is on the driver.
+        counts = sorted(map(tuple, lines.groupBy("file_path").count().collect()))
+        before, boundary = 0, None
+        for path, rows in counts:
+            if before + rows - 1 >= n:
+                boundary = path
                 break
-            before += data
-        if cut is not None or take >= len(files):
+            before += rows - 1
+        if boundary is not None or take >= len(files):
             break
         take = min(take * 8, len(files))
-    parsed = parse_lines(lines, header)
-    if cut is None:
-        return parsed
-    path, block_start, end_id = cut
-    here = (F.col("file_path") == path) & (F.col("file_block_start") == block_start)
-    earlier = (F.col("file_path") < path) | (
-        (F.col("file_path") == path) & (F.col("file_block_start") < block_start)
-    )
-    return parsed.where(earlier | (here & (F.col("line_id") < end_id)))
+    if boundary is None:
+        return parse_files(lines)
+    cut = _first_of_file(lines.where(F.col("file_path") == boundary), n - before + 1)
+    whole = lines.where(F.col("file_path") < boundary)
+    if boundary == counts[0][0]:
+        return parse_files(cut)
+    return parse_files(whole).unionByName(parse_files(cut))
+
+
+def _first_of_file(lines: DataFrame, n: int) -> DataFrame:
+    """The first n lines of one file, from a stored copy."""
+    kept = written(lines, "csv-boundary")
+    blocks = kept.groupBy("file_block_start").agg(F.count("*").alias("n"))
+    # One row per block of one file.
+    left, last = n, None
+    for start, rows in sorted(map(tuple, blocks.collect())):
+        last = start
+        if left <= rows:
+            break
+        left -= rows
+    block = kept.where(F.col("file_block_start") == last)
+    cut = in_first(block, ["line_id"], left)
+    earlier = F.col("file_block_start") < last
+    return kept.where(earlier | ((F.col("file_block_start") == last) & cut))
