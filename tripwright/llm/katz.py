@@ -42,7 +42,9 @@ from tripwright.llm.tables import written
 #: Good-Turing applies to counts up to this one.
 MOST = 5
 #: Tokens per bucket, about.
-BUCKET_TOKENS = 600_000
+BUCKET_TOKENS = 1_200_000
+#: Parts of a score travel as multiples of this.
+STEP = 2.0**-34
 BLOCK_BYTES = 8 << 20
 HOT = 2
 _END = np.uint64(1)
@@ -266,11 +268,11 @@ def _bucket(bucket: int, rows: list[dict], uni: Unigrams, hot_count: int) -> Ite
         where, at = np.unique(t, return_inverse=True)
         sums = np.bincount(at, np.where(known, value[s], 0))
         rare = np.stack([np.bincount(at, np.where(r[s] == c, times[s], 0)) for c in range(1, MOST + 1)], axis=1)
-        yield (1, bucket, row["block"], _pack(where, "<u4"), _pack(sums, "<f8"), _pack(rare, "<u4"), None, None, None)
+        yield (1, bucket, row["block"], _pack(where, "<u4"), _pack(np.rint(sums / -STEP), "<u8"), _pack(rare, "<u4"), None, None, None)
         if not known.all():
             pair = pair_of[s][~known]
             of, at = np.unique(h_of[pair], return_inverse=True)
-            yield (2, bucket, row["block"], _pack(t[~known], "<u4"), _pack(times[s][~known] * np.log10(p_word[pair]), "<f8"), _pack(np.stack([at, times[s][~known]]), "<u4"), _pack(ids[of], "<u8"), _pack(stats[of], "<f8"), None)
+            yield (2, bucket, row["block"], _pack(t[~known], "<u4"), _pack(np.rint(times[s][~known] * np.log10(p_word[pair]) / -STEP), "<u8"), _pack(np.stack([at, times[s][~known]]), "<u4"), _pack(ids[of], "<u8"), _pack(stats[of], "<f8"), None)
 
 
 def pair_totals(stored: DataFrame, totals: DataFrame, uni: Unigrams, buckets: int, hot_count: int) -> DataFrame:
@@ -387,13 +389,13 @@ def score(model: Model) -> DataFrame:
                 where = _open(r["a"], "u")
                 if r["kind"] == 1:
                     rare = _open(r["c"], "u").reshape(-1, MOST)
-                    scores[where] += _open(r["b"], "f") + rare @ logs_d
+                    scores[where] += _open(r["b"], "u") * -STEP + rare @ logs_d
                 else:
                     at, times = _open(r["c"], "u").reshape(2, -1)
                     weight = np.log10(alpha(_open(r["e"], "f").reshape(-1, _STATS), d))
                     for i, h in enumerate(_open(r["d"], "u").tolist()):
                         weight[i] = hot.get(h, weight[i])
-                    np.add.at(scores, where, _open(r["b"], "f") + times * weight[at])
+                    np.add.at(scores, where, _open(r["b"], "u") * -STEP + times * weight[at])
             base = _open(info["c"], "f") - sizes * np.log10(uni.tokens + uni.types + 1.0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(info["doc_id"], pa.int64()), pa.array(_open(info["d"], "u") > 0), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), uni.tokens)), pa.array(base), pa.array(scores)],

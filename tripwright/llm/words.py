@@ -14,6 +14,7 @@ import pyarrow as pa
 
 #: Text bytes handled at once. A longer text makes a block of its own.
 BLOCK_BYTES = 4 << 20
+_WINDOW_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -50,12 +51,24 @@ def _powers_of(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of ``data[start:end]`` for each span, by prefix sums of a polynomial."""
-    n = len(data)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODES[data] * _powers_of(_BASE, n), out=sums[1:])
-    value = (sums[end] - sums[start]) * _powers_of(_INVERSE, n + 1)[start]
-    return mix(value + (end - start).astype(np.uint64))
+    """64-bit hash of ``data[start:end]`` for each span, by prefix sums of a polynomial; starts ascend.
+
+    Sums reach over a window of the data at a time, so memory does not grow with the texts.
+    """
+    out = np.empty(len(start), dtype=np.uint64)
+    at = 0
+    while at < len(start):
+        low = int(start[at])
+        to = int(np.searchsorted(start, low + _WINDOW_BYTES, side="left"))
+        to = max(to, at + 1)
+        s, e = start[at:to] - low, end[at:to] - low
+        own = data[low : low + int(e.max())]
+        sums = np.zeros(len(own) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODES[own] * _powers_of(_BASE, len(own)), out=sums[1:])
+        value = (sums[e] - sums[s]) * _powers_of(_INVERSE, len(own) + 1)[s]
+        out[at:to] = mix(value + (e - s).astype(np.uint64))
+        at = to
+    return out
 
 
 @dataclass
