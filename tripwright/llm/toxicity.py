@@ -36,7 +36,7 @@ BUCKETS = 1 << 16
 SIZES = (3, 4, 5, 6)
 DIM = 4
 TELLING = 2.5
-FALSE_ALARM = 2.0
+FALSE_ALARM = 3.0
 
 
 def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
