@@ -443,6 +443,25 @@ def score_memo(spark, folder):
     return _answers(score.score_with_memo(requests, _fixed_model(), 3, "request_id"))
 
 
+@query
+def score_by_time(spark, folder):
+    """Entries answer for five minutes from the arrival that computed them."""
+    requests = _coarse_requests(spark.read.parquet(f"{folder}/lineitem.parquet")).withColumn(
+        "arrived_at", F.timestamp_seconds(F.expr("request_id div 20"))
+    )
+    answers, _ = score.score_by_time(requests, _fixed_model(), 3, "request_id", "arrived_at")
+    return _answers(answers)
+
+
+@query
+def csv_first_n(spark, folder):
+    """The first half of the lines of CSV files: those of whole files and a part of one."""
+    path = _csv(spark, folder)
+    lines = csv_lines.read_trips_csv(spark, path).where("not is_header").count()
+    first = csv_lines.first_lines(spark, path, lines // 2).where("not is_header")
+    return first.agg(F.count("*").alias("n"))
+
+
 @query
 def prediction_log(spark, folder):
     """Model answers stored in the prediction table; memo hits are not."""
@@ -611,7 +630,7 @@ def stream_score(spark, folder):
 def stream_memo(spark, folder):
     work = new_workspace(spark, "stream")
     requests = _coarse_requests(_lineitem_stream(spark, folder)).withColumn(
-        "arrived_at", F.timestamp_seconds("request_id")
+        "arrived_at", F.timestamp_seconds(F.expr("request_id div 20"))
     )
     streams.run_to_end(
         streams.memo_stream(

@@ -10,6 +10,7 @@ from tripwright.functions.features import raw_features
 from tripwright.operators.hot_keys import join_per_key
 from tripwright.operators.model import LinearModel
 from tripwright.schemas import SCORING_INPUT
+from tripwright.session import written
 
 MEMO_SECONDS = 300
 CACHED_VERSION = -1
@@ -143,6 +144,92 @@ def score_with_memo(
     )
 
 
+def score_by_time(
+    requests: DataFrame,
+    model: LinearModel,
+    version: int,
+    request_id: str,
+    arrived_at: str,
+    memo: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Answers by the memo as it stands when each request arrives, and the newest entry per key.
+
+    The first request of a key computes, and its entry answers the key for five minutes from then;
+    the first request after that computes again. ``memo`` holds an earlier entry per key; it also
+    answers requests older than itself. Requests of one time go by id. So cutting a sequence of
+    requests into batches does not change the answers.
+
+    Entries are found in rounds: each takes, per key, the first request that no entry so far
+    answers. That is a minimum, combined before it is shuffled, and there are as many rounds as a key
+    has entries in the batch: one or two for a batch of minutes.
+    """
+    spark = requests.sparkSession
+    keyed = with_cache_key(score(requests, model, version))
+    keyed = written(keyed.withColumn("own_minutes", F.col("duration_min")), "memo-requests")
+    asked = keyed.where("error is null")
+    none = spark.createDataFrame([], "cache_key string, duration_min double, scored_at timestamp")
+    memo = none if memo is None else memo.select(*none.columns)
+    counts = asked.groupBy("cache_key").agg(F.count("*").alias("requests_of_key"))
+    known = counts.join(memo, "cache_key").withColumnsRenamed(
+        {"duration_min": "memo_minutes", "scored_at": "memo_at"}
+    )
+    met = join_per_key(asked, known, "cache_key", "requests_of_key")
+    life = F.expr(f"interval {MEMO_SECONDS} seconds")
+    at = F.col(arrived_at).cast("timestamp")
+    from_memo = F.coalesce(at <= F.col("memo_at") + life, F.lit(False))
+    opened = written(met.where(~from_memo).drop("memo_minutes", "memo_at", "requests_of_key"), "memo-open")
+    first = F.min(F.struct(at.alias("at"), F.col(request_id).alias("id"), "own_minutes"))
+    rounds: list[DataFrame] = []
+    later = opened
+    while True:
+        found = later.groupBy("cache_key").agg(first.alias("entry"), F.count("*").alias("many"))
+        found = written(found, "memo-entries")
+        if found.isEmpty():
+            break
+        rounds.append(found)
+        here = join_per_key(opened, found, "cache_key", "many")
+        later = here.where(at > F.col("entry.at") + life).select(opened.columns)
+    entries = none.selectExpr(
+        "cache_key", "cast(null as struct<at timestamp, id bigint, own_minutes double>) as entry"
+    )
+    if rounds:
+        entries = rounds[0].select("cache_key", "entry")
+        for more in rounds[1:]:
+            entries = entries.unionByName(more.select("cache_key", "entry"))
+    # An entry lives in two slots of its life's length at most, and no slot has more than two entries.
+    slot_of = "cast(floor(unix_micros({}) / {}e6D) as bigint)"
+    begun = slot_of.format("entry.at", MEMO_SECONDS)
+    slots = entries.withColumn("slot", F.explode(F.expr(f"array({begun}, {begun} + 1)")))
+    slots = slots.groupBy(F.expr("concat(cache_key, '#', slot)").alias("memo_slot")).agg(
+        F.min("entry").alias("older"), F.max("entry").alias("newer")
+    )
+    placed = opened.withColumn(
+        "memo_slot", F.expr(f"concat(cache_key, '#', {slot_of.format(f'cast({arrived_at} as timestamp)', MEMO_SECONDS)})")
+    )
+    many = placed.groupBy("memo_slot").agg(F.count("*").alias("requests_of_slot"))
+    entry = F.when(F.col("newer.at") <= at, F.col("newer")).otherwise(F.col("older"))
+    computed = join_per_key(placed, slots.join(many, "memo_slot"), "memo_slot", "requests_of_slot")
+    others = [c for c in keyed.columns if c not in ("duration_min", "model_version", "own_minutes")]
+
+    def answers(rows: DataFrame, minutes: Column, cached: Column) -> DataFrame:
+        number = F.when(cached, F.lit(CACHED_VERSION)).otherwise(F.lit(int(version)))
+        return rows.select(
+            *others,
+            minutes.cast("double").alias("duration_min"),
+            F.when(F.col("error").isNull(), number).alias("model_version"),
+            cached.alias("cached"),
+        )
+
+    out = answers(computed.withColumn("entry", entry), F.col("entry.own_minutes"), F.col("entry.id") != F.col(request_id))
+    out = out.unionByName(answers(met.where(from_memo), F.col("memo_minutes"), F.lit(True)))
+    out = out.unionByName(answers(keyed.where("error is not null"), F.lit(None), F.lit(False)))
+    made = entries.select("cache_key", F.col("entry.own_minutes").alias("duration_min"), F.col("entry.at").alias("scored_at"))
+    newest = memo.unionByName(made).groupBy("cache_key").agg(
+        F.max_by("duration_min", "scored_at").alias("duration_min"), F.max("scored_at").alias("scored_at")
+    )
+    return out, newest
+
+
 def live_entries(memo: DataFrame, now: Column) -> DataFrame:
     """Memo entries that still answer requests at ``now``."""
     return memo.where(F.col("scored_at") >= now - F.expr(f"interval {MEMO_SECONDS} seconds"))

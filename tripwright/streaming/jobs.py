@@ -56,32 +56,20 @@ def memo_stream(
     folder: str,
     checkpoint: str,
 ) -> DataStreamWriter:
-    """Answer every request, from the memo where its key was computed in the last five minutes.
+    """Answer every request, from the memo where its key was computed in the five minutes before it.
 
-    A batch's requests count as arriving together, at the latest ``arrived_at`` among them, which
-    makes replays repeat their answers. Answers go to ``folder/answers``, the live memo entries to
-    ``folder/memo``; both are keyed by batch.
+    Times are those of ``arrived_at``, so batches may be cut anywhere. Answers go to
+    ``folder/answers``, the newest live entry per key to ``folder/memo``; both are keyed by batch.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            answer(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def answer(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         memo = _state(spark, f"{folder}/memo", batch_id, _MEMO)
-        latest = batch.agg(F.max(arrived_at)).head()[0]
-        if latest is not None:
-            now = F.lit(latest).cast("timestamp")
-            memo = score.live_entries(memo, now)
-            answers = score.score_with_memo(batch, model, version, request_id, memo, now)
-            path = f"{folder}/answers/batch={batch_id}"
-            answers.write.mode("overwrite").parquet(path)
-            memo = memo.unionByName(score.new_entries(spark.read.parquet(path), now))
-        memo.write.mode("overwrite").parquet(f"{folder}/memo/batch={batch_id}")
+        answers, entries = score.score_by_time(batch, model, version, request_id, arrived_at, memo)
+        answers.write.mode("overwrite").parquet(f"{folder}/answers/batch={batch_id}")
+        latest = batch.agg(F.max(F.col(arrived_at).cast("timestamp"))).head()[0]
+        live = entries if latest is None else score.live_entries(entries, F.lit(latest).cast("timestamp"))
+        live.write.mode("overwrite").parquet(f"{folder}/memo/batch={batch_id}")
 
     return requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
