@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -104,6 +105,53 @@ def test_latency_equals_batch(spark, folder):
     assert max(len(rows) for rows in by_key([tuple(r) for r in kept.collect()]).values()) == 200
 
 
+def test_memo_does_not_depend_on_batches(spark, folder):
+    """One key ten minutes apart, and a backlog of hours: any cut gives the same answers."""
+    start = datetime(2015, 1, 10, 9)
+    rows = [(i, 1.0, start + timedelta(minutes=10 * i)) for i in range(4)]
+    rows += [(100 + i, 2.0 + (i % 3), start + timedelta(seconds=97 * i)) for i in range(90)]
+    frame = spark.createDataFrame(rows, "id bigint, trip_distance double, at timestamp")
+    seen = []
+    for cuts in (1, 4):
+        for k in range(cuts):
+            low, high = (start + timedelta(minutes=200 * n / cuts) for n in (k, k + 1))
+            part = frame.where((F.col("at") >= low) & (F.col("at") < high))
+            part.coalesce(1).write.mode("append").parquet(f"{folder}/in{cuts}")
+            stream = jobs.read_parquet_stream(spark, f"{folder}/in{cuts}", 1)
+            jobs.run_to_end(
+                jobs.memo_stream(stream, MODEL, 2, "id", "at", f"{folder}/{cuts}", f"{folder}/check{cuts}")
+            )
+        answers = spark.read.parquet(f"{folder}/{cuts}/answers")
+        seen.append(sorted(map(tuple, answers.select("id", "duration_min", "cached").collect())))
+    assert seen[0] == seen[1]
+    last, wanted = {}, {}
+    for i, distance, at in sorted(rows, key=lambda r: (r[2], r[0])):
+        hit = distance in last and at <= last[distance] + timedelta(minutes=5)
+        if not hit:
+            last[distance] = at
+        wanted[i] = hit
+    assert {i: cached for i, _, cached in seen[0]} == wanted
+    assert not any(wanted[i] for i in range(4)) and any(wanted.values())
+
+
+def test_old_state_goes(spark, folder):
+    """At most two state folders, and a new run does not read what another one left."""
+    made = spark.createDataFrame(samples(300), SCHEMA)
+    write_files(made, f"{folder}/in", "id", 5)
+    for check in ("one", "two"):
+        stream = jobs.read_parquet_stream(spark, f"{folder}/in", 1)
+        jobs.run_to_end(
+            jobs.latency_stream(stream, "key", "value", ["at", "id"], f"{folder}/out", f"{folder}/{check}")
+        )
+        assert len([n for n in os.listdir(f"{folder}/out") if n.startswith("batch=")]) <= 2
+    spark.createDataFrame([("new", 1.0, datetime(2030, 1, 1), 1)], SCHEMA).write.parquet(f"{folder}/in2")
+    stream = jobs.read_parquet_stream(spark, f"{folder}/in2")
+    jobs.run_to_end(
+        jobs.latency_stream(stream, "key", "value", ["at", "id"], f"{folder}/out", f"{folder}/three")
+    )
+    assert [r.key for r in jobs.last_state(spark, f"{folder}/out").collect()] == ["new"]
+
+
 def test_no_state_yet(spark, folder):
     with pytest.raises(LookupError):
         jobs.last_state(spark, f"{folder}/none")

@@ -604,11 +604,25 @@ def stream_profile(spark, folder):
     work = new_workspace(spark, "stream")
     trips = rules.valid_trips(lineitem_trips.trips_from_lineitem(_lineitem_stream(spark, folder)))
 
-    def by_hour(stream: DataFrame) -> DataFrame:
-        return stream.groupBy("hour_of_day").agg(F.count("*").alias("n"))
-
-    streams.run_to_end(streams.profile_stream(trips, by_hour, f"{work}/out", f"{work}/check"))
-    return spark.read.parquet(f"{work}/out")
+    streams.run_to_end(
+        streams.profile_stream(trips, profile.profile, f"{work}/out", f"{work}/check")
+    )
+    found = profile.Profile(spark.read.parquet(f"{work}/out"))
+    parts = [
+        found.trips_by_hour().selectExpr("'hour' as metric", "hour_of_day as k1", "null as k2", "n"),
+        found.trips_by_weekday().selectExpr("'weekday'", "day_of_week", "null", "n"),
+        found.duration_histogram(dense=True).selectExpr("'duration'", "bin_start", "null", "n"),
+        found.distance_histogram(dense=True).selectExpr("'distance'", "bin_start", "null", "n"),
+        found.speed_by_hour().selectExpr("'speed'", "hour_of_day", "null", rounded("mean_mph", 6, "n")),
+        found.top_cells().selectExpr("'cell'", "lat_cell", "lon_cell", "n"),
+    ]
+    tall = [p.toDF("metric", "k1", "k2", "n").selectExpr(
+        "metric", "cast(k1 as double) as k1", "cast(k2 as double) as k2", "cast(n as double) as value"
+    ) for p in parts]
+    out = tall[0]
+    for more in tall[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 @query

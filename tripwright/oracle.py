@@ -526,7 +526,14 @@ select event_type, max(n) as n, min(value) as min, {_r("avg(value)", 6, "avg")},
        max(value) as max,
        min(value) filter (where pos = cast(floor(n * 0.95::double) as bigint)) < 100 as passed
 from ranked group by 1""",
-        "stream_profile": trips + "select hour_of_day, count(*) as n from trips group by 1",
+        "stream_profile": profiled
+        + f"""select metric, k1::double as k1, k2::double as k2, n::double as value from (
+  select 'hour' as metric, hour_of_day::double as k1, null::double as k2, n::double as n from by_hour
+  union all select 'weekday', day_of_week, null, n from by_day
+  union all select 'duration', bin * 2::double, null, n from by_duration
+  union all select 'distance', bin, null, n from by_distance
+  union all select 'speed', hour_of_day, null, v from (select hour_of_day, {_r("mean_mph", 6, "v")} from by_hour)
+  union all select 'cell', lat_cell, lon_cell, n from ({_top_cells("trunc")}))""",
         "fixed_decimals": f"""select {_K}, l_extendedprice, printf('%.3f', {value}) as d3,
        printf('%.4f', {value}) as d4, printf('%.2f', l_extendedprice / 16::double) as d2
 from lineitem""",

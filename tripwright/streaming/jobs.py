@@ -26,6 +26,21 @@ def _state(spark: SparkSession, folder: str, batch_id: int, schema: str) -> Data
     return spark.read.schema(schema).parquet(f"{folder}/batch={batch_id - 1}")
 
 
+def _leave_state(frame: DataFrame, folder: str, batch_id: int) -> None:
+    """Write a batch's state; of the older ones only the one before it stays, for a replay.
+
+    A first batch starts anew: what another run left in the folder would otherwise pass for the
+    newest state.
+    """
+    spark = frame.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if batch_id == 0:
+        files.delete(path, True)
+    frame.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch={batch_id - 2}"), True)
+
+
 def score_stream(
     requests: DataFrame, model: LinearModel, version: int, folder: str, checkpoint: str
 ) -> DataStreamWriter:
@@ -69,7 +84,7 @@ def memo_stream(
         answers.write.mode("overwrite").parquet(f"{folder}/answers/batch={batch_id}")
         latest = batch.agg(F.max(F.col(arrived_at).cast("timestamp"))).head()[0]
         live = entries if latest is None else score.live_entries(entries, F.lit(latest).cast("timestamp"))
-        live.write.mode("overwrite").parquet(f"{folder}/memo/batch={batch_id}")
+        _leave_state(live, f"{folder}/memo", batch_id)
 
     return requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
@@ -86,7 +101,7 @@ def latency_stream(
         known = _state(batch.sparkSession, folder, batch_id, schema)
         both = known.unionByName(batch.select(*columns))
         newest = latency.newest_per_key(both, key, *order)
-        newest.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        _leave_state(newest, folder, batch_id)
 
     return samples.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
@@ -103,7 +118,11 @@ def last_state(spark: SparkSession, folder: str) -> DataFrame:
 def profile_stream(
     trips: DataFrame, aggregate: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Running group-by over a stream of trips; each batch overwrites the whole small result."""
+    """Running group-by over a stream of trips; each batch overwrites the whole small result.
+
+    With ``profile.profile`` as the aggregate, ``profile.Profile`` reads all six results from it, empty
+    hours and bins filled in.
+    """
 
     def run(result: DataFrame, _batch_id: int) -> None:
         result.write.mode("overwrite").parquet(folder)
