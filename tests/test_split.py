@@ -46,12 +46,21 @@ def test_first_rows_by_times(spark):
 
 def test_order_keys_are_checked(spark):
     frame = spark.createDataFrame([(1, "x"), (None, "y")], "a int, s string")
-    with pytest.raises(ValueError):
-        split.in_first(frame, ["a"], 1)
     with pytest.raises(TypeError):
         split.in_first(frame, ["s"], 1)
 
 
+def test_nulls_come_first(spark):
+    made = [(a, b) for a in (None, None, 1, 2) for b in (None, 5, 6, 7)]
+    made = [(a, b, i) for i, (a, b) in enumerate(made)]
+    frame = spark.createDataFrame(made, "a int, b int, i int").repartition(3)
+    order = sorted(made, key=lambda r: tuple((x is not None, x or 0) for x in r))
+    for n in range(1, 17):
+        first = split.in_first(frame, ["a", "b", "i"], n)
+        assert {r.i for r in frame.where(first).collect()} == {r[2] for r in order[:n]}
+        assert frame.where(~first).count() == 16 - n
+
+
 def test_equal_rows_stay_together(spark):
     frame = spark.createDataFrame([(1,), (2,), (2,), (2,), (3,)], "a int")
     assert frame.where(split.in_first(frame, ["a"], 2)).count() == 4

@@ -12,6 +12,10 @@ from tripwright.operators.model import LinearModel
 from tripwright.schemas import SCORING_INPUT
 from tripwright.session import written
 
+# --- Fixed values: texts of the two request errors -------------------------------------------
+MISSING, INVALID = "trip_distance: missing value", "trip_distance: invalid value"
+# --- end of fixed values ---------------------------------------------------------------------
+
 MEMO_SECONDS = 300
 CACHED_VERSION = -1
 _INPUTS = SCORING_INPUT.names
@@ -58,8 +62,8 @@ def scoring_inputs(requests: DataFrame) -> DataFrame:
         invalid = f"not {X.is_form('given', 'double')} or {overflow}"
     checked = read.selectExpr(
         "* except (given)",
-        f"""case when {missing} then 'trip_distance: missing value'
-                 when {invalid} then 'trip_distance: invalid value' end as error""",
+        f"""case when {missing} then '{MISSING}'
+                 when {invalid} then '{INVALID}' end as error""",
     )
     return checked.selectExpr(
         *others,

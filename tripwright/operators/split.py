@@ -30,7 +30,7 @@ def in_train_by_hash(key: Column, seed: int = 42, fraction: float = DEFAULT_FRAC
 
 
 def in_first(df: DataFrame, keys: Sequence[str], n: int) -> Column:
-    """True for the first ``n`` rows of ``df`` in ascending order of integer or time keys.
+    """True for the first ``n`` rows of ``df`` in ascending order of integer or time keys, nulls first.
 
     Finds the n-th row by counting, not by sorting: each pass counts the rows per slice of the key
     range (at most 32,768 counts reach the driver), then narrows the range to the slice where the
@@ -45,9 +45,24 @@ def in_first(df: DataFrame, keys: Sequence[str], n: int) -> Column:
     scope, wanted = df, n
     chosen, tied = F.lit(False), F.lit(True)
     for key in keys:
-        found = _nth_value(scope, _as_long(key, types[key]), wanted)
-        if found is None:
+        values = scope.select(_as_long(key, types[key]).alias("v"))
+        rows, known, low, high = values.agg(
+            F.count("*"), F.count("v"), F.min("v"), F.max("v")
+        ).head()
+        nulls = rows - known
+        if nulls >= wanted:
+            tied = tied & F.col(key).isNull()
+            if nulls == wanted:
+                return chosen | tied
+            scope = scope.where(F.col(key).isNull())
+            continue
+        if nulls:
+            chosen = chosen | (tied & F.col(key).isNull())
+            tied = tied & F.col(key).isNotNull()
+            wanted -= nulls
+        if wanted >= known:
             return chosen | tied
+        found = _nth_value(values, wanted, low, high)
         value, below, equal = found
         cut = _literal(value, types[key])
         chosen = chosen | (tied & (F.col(key) < cut))
@@ -66,16 +81,8 @@ def in_train_by_order(
     return in_first(df, keys, int(df.count() * train_fraction(fraction)))
 
 
-def _nth_value(df: DataFrame, value: Column, n: int) -> tuple[int, int, int] | None:
-    """(n-th smallest value, rows below it, rows equal to it); None if all rows are wanted."""
-    values = df.select(value.alias("v"))
-    total, known, low, high = values.agg(
-        F.count("*"), F.count("v"), F.min("v"), F.max("v")
-    ).head()
-    if known < total:
-        raise ValueError("order keys must not be null")
-    if n >= total:
-        return None
+def _nth_value(values: DataFrame, n: int, low: int, high: int) -> tuple[int, int, int]:
+    """(n-th smallest ``v``, rows below it, rows equal to it); all lie between ``low`` and ``high``."""
     below = 0
     while True:
         width = -(-(high - low + 1) // _BINS)

@@ -55,24 +55,30 @@ def cells_report(profile: Profile) -> DataFrame:
 
 
 # --- Fixed values: report and insight names ------------------------------------------------
-REPORTS = {
-    "trips_por_hora": hour_report,
-    "trips_por_dia_semana": weekday_report,
-    "histograma_duracion": duration_report,
-    "histograma_distancia": distance_report,
-    "velocidad_media_por_hora": speed_report,
-    "top_celdas_pickup": cells_report,
-}
-INSIGHTS = {
-    "trips_por_hora": Profile.trips_by_hour,
-    "trips_por_dia_semana": Profile.trips_by_weekday,
-    "histograma_duracion": lambda p: p.duration_histogram(dense=True),
-    "histograma_distancia": lambda p: p.distance_histogram(dense=True),
-    "velocidad_media_por_hora": Profile.speed_by_hour,
-    "top_celdas_pickup": lambda p: p.top_cells().select("lat_cell", "lon_cell", "n"),
-}
+NAMES = [
+    "trips_por_hora",
+    "trips_por_dia_semana",
+    "histograma_duracion",
+    "histograma_distancia",
+    "velocidad_media_por_hora",
+    "top_celdas_pickup",
+]
 # --- end of fixed values -------------------------------------------------------------------
 
+_REPORTS = [
+    hour_report, weekday_report, duration_report, distance_report, speed_report, cells_report
+]
+_INSIGHTS = [
+    Profile.trips_by_hour,
+    Profile.trips_by_weekday,
+    lambda p: p.duration_histogram(dense=True),
+    lambda p: p.distance_histogram(dense=True),
+    Profile.speed_by_hour,
+    lambda p: p.top_cells().select("lat_cell", "lon_cell", "n"),
+]
+REPORTS = dict(zip(NAMES, _REPORTS))
+INSIGHTS = dict(zip(NAMES, _INSIGHTS))
+
 
 def write_report(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

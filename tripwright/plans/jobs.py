@@ -50,6 +50,7 @@ class TrainRequest:
     learning_rate: float = 0.05
     batch_size: int = 1024
     fraction: float = split.DEFAULT_FRACTION
+    limit: int = 0  # records to use, in the order of the keys; 0 for all
 
     def with_defaults(self) -> TrainRequest:
         """Values of 0 or less stand for the defaults."""
@@ -59,6 +60,7 @@ class TrainRequest:
             learning_rate=self.learning_rate if self.learning_rate > 0 else 0.05,
             batch_size=self.batch_size if self.batch_size > 0 else 1024,
             fraction=split.train_fraction(self.fraction),
+            limit=max(self.limit, 0),
         )
 
 
@@ -112,6 +114,8 @@ def train_and_register(
     spark: SparkSession = records.sparkSession
     started, clock = utc_now(), time.monotonic()
     request = request.with_defaults()
+    if request.limit:
+        records = records.where(split.in_first(records, order, request.limit))
     with stored(rules.valid_trips(records, *order, bounds=bounds), "trips") as trips:
         rows_used = trips.count()
         model = train_ordered(trips, order, request, nodes)

@@ -76,7 +76,7 @@ class Registry:
         )
         rows = newest.limit(1).collect()
         if not rows:
-            raise NotFound("no active model: train first")
+            raise NotFound("no version has been activated yet")
         return self.models().where(F.col("version") == rows[0].version)
 
     def active(self) -> tuple[LinearModel, int]:
@@ -118,7 +118,7 @@ class Registry:
         try:
             return self.spark.read.parquet(self._path(f"insights/{name}"))
         except AnalysisException as error:
-            raise NotFound(f"insight not found: {name}") from error
+            raise NotFound(f"nothing is stored under the name {name}") from error
 
 
 
