@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tripwright import catalog
 from tripwright.operators import profile, rules, score, split, train
+from tripwright.plans import jobs
+from tripwright.plans.registry import Registry
 from tripwright.session import local_session, new_workspace
 from tripwright.sources import csv_lines, lineitem_trips
 from tripwright.sources.lineitem_trips import KEYS, trip_id
@@ -93,6 +95,13 @@ def main() -> None:
     def requests():
         return score.requests_from_trips(trips())
 
+    def skewed():
+        """Half of the requests ask the same."""
+        numbered = requests().withColumn("id", F.monotonically_increasing_id())
+        same = F.pmod(F.col("id"), F.lit(2)) == 0
+        names = [c for c in numbered.columns if c != "id"]
+        return numbered.withColumns({c: F.when(same, F.lit(1)).otherwise(F.col(c)) for c in names})
+
     queries = {
         "validate": lambda: rules.load_report(rules.with_rule(records())).collect(),
         "validate_csv": lambda: rules.load_report(
@@ -111,6 +120,14 @@ def main() -> None:
                 requests().withColumn("id", F.monotonically_increasing_id()), model, 1, "id"
             )
         ),
+        "score_memo_one_key_half": lambda: noop(
+            score.score_with_memo(skewed(), model, 1, "id")
+        ),
+        "csv_first_half": lambda: csv_lines.first_lines(spark, csv, rows // 2).count(),
+        "train_and_register": lambda: jobs.train_and_register(
+            records(), ["pickup_ts", *KEYS], Registry(spark, new_workspace(spark, "bench-registry"))
+        ).collect(),
+        "latency_summary": lambda: catalog.QUERIES["latency_summary"](spark, FOLDER).collect(),
         "adapter_rule_counts": lambda: catalog.QUERIES["rule_counts"](spark, FOLDER).collect(),
         "latency_p50_p95": lambda: catalog.QUERIES["latency_p50_p95"](spark, FOLDER).collect(),
     }
