@@ -53,6 +53,27 @@ def op2_ngram_jaccard(spark, folder):
     return ngram_jaccard.join(table(spark, folder, "documents"), size=3, num=90, den=100)
 
 
+ORACLE["op2_ngram_jaccard"] = r"""
+with recursive t as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+         else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g
+  from t),
+n as (select doc_id, count(*) as n from s group by 1),
+o as (select a.doc_id as x, b.doc_id as y, count(*) as shared
+      from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from o join n a on a.doc_id = x join n b on b.doc_id = y
+          where 100 * shared >= 90 * (a.n + b.n - shared)),
+reach as (select doc_id as x, doc_id as y from documents
+          union select r.x, l.y from reach r join links l on l.x = r.y)
+select d.doc_id, coalesce(n.n, 0) as n_shingles,
+       (select min(y) from reach r where r.x = d.doc_id) as component_id,
+       (select count(*) from links l where l.x = d.doc_id) as n_links
+from documents d left join n using (doc_id)"""
+
+
 @query
 def op3_token_files(spark, folder):
     written = token_files.write(table(spark, folder, "documents"), _public("byte_bpe_50k.json"))
