@@ -443,6 +443,30 @@ def score_memo(spark, folder):
     return _answers(score.score_with_memo(requests, _fixed_model(), 3, "request_id"))
 
 
+def _dirty(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged lines in two layouts, in one folder."""
+    path = new_workspace(spark, "dirty-csv")
+    records = _records(spark, folder)
+    for odd in (False, True):
+        part = records.where((F.col("l_linenumber") % 2 == 1) == F.lit(odd))
+        lineitem_trips.write_dirty_csv(part, path, swapped=odd)
+    return rules.with_rule(csv_lines.read_trips_csv(spark, path))
+
+
+@query
+def csv_dirty_rule_counts(spark, folder):
+    return rules.rule_counts(_dirty(spark, folder))
+
+
+@query
+def csv_dirty_trips(spark, folder):
+    """What is valid in damaged text of two layouts, each column from its own place."""
+    valid = _dirty(spark, folder).where("rule = 0")
+    return valid.groupBy("rate_code_id").agg(
+        F.count("*").alias("n"), F.expr(rounded("sum(trip_distance)", 6, "miles"))
+    )
+
+
 @query
 def score_by_time(spark, folder):
     """Entries answer for five minutes from the arrival that computed them."""

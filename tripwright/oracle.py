@@ -500,6 +500,13 @@ union all {table_row("Baseline: vel. media", "e_speed", "tested")}""",
         "score_memo": _MEMO,
         "score_by_time": _BY_TIME,
         "stream_memo": _BY_TIME,
+        "csv_dirty_rule_counts": f"""with {_TRIPS},
+dirty as (select case when l_orderkey % 16 < 6 then 1 else rule end as rule from ruled)
+select cast(range as int) as rule, coalesce(n, 0) as n from range(1, 10)
+left join (select rule as range, count(*) as n from dirty group by 1) using (range)""",
+        "csv_dirty_trips": trips
+        + f"""select rate_code_id, count(*) as n, {_r("sum(trip_distance)", 6, "miles")}
+from ruled where l_orderkey % 16 >= 6 and rule = 0 group by 1""",
         "csv_first_n": "select count(*) // 2 as n from lineitem",
         "prediction_log": f"""with {_COARSE}, {_ANSWERS}
 select {_r("trip_distance")}, hour, passenger_count, {_r("answer", 6, "duration_min")},

@@ -63,13 +63,56 @@ CSV_HEADER = (
 
 def write_csv(records: DataFrame, path: str) -> None:
     """The same records as a folder of headered CSV files, to feed the text source."""
+    fields = _fields(records)
+    records.select(*fields).write.option("header", True).option("emptyValue", "").csv(path)
+
+
+#: What ``write_dirty_csv`` does to a line, by ``l_orderkey % 16``; other lines stay as they are.
+REJECTED_AS = {0: "a field more", 1: "a field less", 2: "blank", 3: "the header again", 4: "1e400", 5: "1d"}
+
+
+def write_dirty_csv(records: DataFrame, path: str, swapped: bool = False) -> None:
+    """The records as CSV lines of which some are damaged, in ways that reject them or do not.
+
+    ``swapped`` writes distance and total in each other's place, in lines and header.
+    """
+    fields = _fields(records)
+    names = CSV_HEADER.split(",")
+    if swapped:
+        a, b = names.index("trip_distance"), names.index("total_amount")
+        names[a], names[b], fields[a], fields[b] = names[b], names[a], fields[b], fields[a]
+    header = ",".join(names)
+    texts = [F.coalesce(f, F.lit("")) for f in fields]
+    fare = names.index("fare_amount")
+
+    def line(value: str | None = None) -> Column:
+        return F.concat_ws(",", *[F.lit(value) if value and i == fare else t for i, t in enumerate(texts)])
+
+    kind = F.col("l_orderkey") % 16
+    dirty = (
+        F.when(kind == 0, F.concat(line(), F.lit(",x")))
+        .when(kind == 1, F.concat_ws(",", *texts[:-1]))
+        .when(kind == 2, " ")
+        .when(kind == 3, header)
+        .when(kind == 4, line("1e400"))
+        .when(kind == 5, line("1d"))
+        .otherwise(line())
+    )
+    # One column that no character cuts or quotes: its name becomes the header line.
+    writer = records.select(dirty.alias(header)).write.option("header", True)
+    writer = writer.option("sep", "\u0001").option("quote", "\u0002").option("escapeQuotes", False)
+    writer = writer.option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False)
+    writer.option("emptyValue", "").option("quoteAll", False).mode("append").csv(path)
+
+
+def _fields(records: DataFrame) -> list[Column]:
+    """The fields of a CSV line, as text, in the order of the header."""
     columns = {
         "tpep_pickup_datetime": F.date_format("pickup_ts", "yyyy-MM-dd HH:mm:ss"),
         "tpep_dropoff_datetime": F.date_format("dropoff_ts", "yyyy-MM-dd HH:mm:ss"),
     }
     for name, column in REQUIRED_COLUMNS.items():
         columns.setdefault(name, F.col(column).cast("string"))
-    fields = [
+    return [
         columns.get(name.lower(), F.lit("0")).alias(name) for name in CSV_HEADER.split(",")
     ]
-    records.select(*fields).write.option("header", True).option("emptyValue", "").csv(path)
