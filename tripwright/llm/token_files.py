@@ -41,7 +41,7 @@ END_ID = 0
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: No token begins with a visible character and goes on with white space.
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_PLAIN = re.compile(f" ?[^{_SPACE}]+\\Z")
+_SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 
 SEGMENTS = (
     "part int, segment int, dictionary string, doc_id array<long>, offset array<long>, "
@@ -74,14 +74,22 @@ class ChunkEncoder:
         self.forget()
 
     def forget(self) -> None:
+        """What was learnt becomes the older generation, from which chunks in use come back."""
+        self.older = (getattr(self, "known", {}), getattr(self, "ids", None), getattr(self, "begin", None))
         self.known: dict[str, int] = {}
         self.ids = np.zeros(0, dtype=np.uint32)
         self.begin = np.zeros(1, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        easy, hard = [], []
+        easy, hard, back = [], [], []
+        before = self.older[0]
         for c in new:
-            (easy if self.line is not None and "<|" not in c and _PLAIN.match(c) else hard).append(c)
+            if c in before:
+                back.append(c)
+                continue
+            visible = c[1:2] if c[0] == " " else c[0]
+            plain = self.line is not None and visible and visible not in _SPACES and "<|" not in c
+            (easy if plain else hard).append(c)
         # Easy chunks are encoded many at once, a line end between them: it always is a token of its own.
         groups = [easy[i : i + 50] for i in range(0, len(easy), 50)]
         found: list[np.ndarray] = []
@@ -95,7 +103,12 @@ class ChunkEncoder:
         for e in self.tokenizer.encode_batch(hard, add_special_tokens=False):
             found.append(np.array(e.ids, dtype=np.uint32))
             sizes.append(np.array([len(e.ids)]))
-        for chunk in chain(easy, hard):
+        if back:
+            at = np.fromiter(map(before.__getitem__, back), np.int64, len(back))
+            begin, size = self.older[2][at], self.older[2][at + 1] - self.older[2][at]
+            found.append(self.older[1][np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())])
+            sizes.append(size)
+        for chunk in chain(easy, hard, back):
             self.known[chunk] = len(self.known)
         self.ids = np.concatenate([self.ids, *found])
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
@@ -106,7 +119,7 @@ class ChunkEncoder:
         if len(self.known) > self.most:
             self.forget()
         known = self.known
-        new = sorted(set(chain.from_iterable(cut)).difference(known))
+        new = list(set(chain.from_iterable(cut)).difference(known))
         if new:
             self._learn(new)
         counts = np.array([len(c) for c in cut], dtype=np.int64)
