@@ -37,7 +37,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_length(line_chunks.remove(docs).drop("n_lines_removed"))
+    return _with_length(line_chunks.remove(docs, whole=True).drop("n_lines_removed"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

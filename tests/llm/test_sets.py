@@ -217,3 +217,41 @@ def test_cuts_do_not_shift():
     body = "\n".join(f"line {i}" for i in range(60))
     hashes = [set(line_chunks.chunks(pa.array([t]))["hash"].tolist()) for t in (body, "one more\n" + body, "a\nb\n" + body)]
     assert len(hashes[0] & hashes[1]) >= len(hashes[0]) - 2 and len(hashes[0] & hashes[2]) >= len(hashes[0]) - 2
+
+
+def brute_passages(rows):
+    """Without chunks: a line goes if lines of 50 words or more around it occur at an earlier place that ends before them."""
+    out, seen = [], {}
+    for r, (doc, text) in enumerate(rows):
+        lines, gone = text.split("\n"), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(len(WORD.findall(x)) for x in lines[a:b]) >= 50:
+                    at = seen.setdefault("\n".join(lines[a:b]), (r, b))
+                    if at[0] < r or at[1] <= a:
+                        gone |= set(range(a, b))
+        out.append((doc, "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone)))
+    return out
+
+
+def test_short_passages_go_whatever_surrounds_them(spark):
+    rng = np.random.default_rng(5)
+    line = lambda name, n: " ".join(f"{name}.{k}" for k in range(n))
+    passages = []
+    for n_lines in (2, 3, 4, 5, 6) * 3:
+        at = len(passages)
+        passages.append("\n".join([line(f"p{at}.{k}", 60 // n_lines + int(rng.integers(0, 9))) for k in range(n_lines)] + [""] * (at % 2)))
+    rows = []
+    for doc in range(60):
+        parts = []
+        for k in range(4):
+            parts += [line(f"own{doc}.{k}", int(rng.integers(1, 9))), passages[int(rng.integers(0, len(passages)))]]
+        rows.append((doc, "\n".join([*parts, f"end {doc}"])))
+    rows.append((100, "\n".join(["ten words that are the same in all these lines"] * 16)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = line_chunks.remove(docs, whole=True).collect()
+    expected = brute_passages(rows)
+    assert sorted(map(tuple, got)) == expected and sum(n for _, _, n in expected) > 500
+    # Each passage is left once, whole.
+    left = "\n".join(r.text for r in got)
+    assert all(left.count(p) == 1 for p in passages)

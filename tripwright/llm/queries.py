@@ -126,7 +126,7 @@ from q"""
 
 @query
 def op7_line_chunks(spark, folder):
-    return line_chunks.remove(table(spark, folder, "documents").select("doc_id", "text"))
+    return line_chunks.remove(table(spark, folder, "documents").select("doc_id", "text"), whole=True)
 
 
 @query
