@@ -159,6 +159,32 @@ def test_no_pages(spark):
     assert warc.records(spark, folder).count() == warc.captures(spark, index).count() == 0
 
 
+@pytest.mark.parametrize("ranged", [True, False])
+def test_captures_of_many_urls(spark, monkeypatch, ranged):
+    hot = "http://hot.example.com/a b"
+    given = [(i, hot if i % 3 == 0 else f"https://h{i % 7}.example.com/{i % 40}?q={i}", f"page {i} " * (i % 9)) for i in range(300)] + [(300, None, "no url")]
+    pages = spark.createDataFrame(given, "page_id long, url string, html string").repartition(3)
+    folder = warc.write(pages)
+    index = warc.index(warc.records(spark, folder).where("page_id % 4 <> 1"), block_lines=16)
+    if not ranged:
+        monkeypatch.setattr(warc, "_store", lambda uri: None)
+    asked = [(hot,), (hot,), (None,), ("http://no",), *((u,) for i, u, _ in given if i % 5 == 0 and i < 300)]
+    wanted = {warc.surt(u and u.replace(" ", "%20")) for (u,) in asked}
+    got = warc.captured(spark, folder, index, spark.createDataFrame(asked, "url string")).collect()
+    # Only what the index holds is found, each capture once.
+    expected = sorted(i for i, u, _ in given if i % 4 != 1 and warc.surt(u and u.replace(" ", "%20")) in wanted)
+    assert sorted(r.page_id for r in got) == expected and 100 < len(expected) < 200
+    assert {r.page_id: r.payload_digest for r in got} == {i: hashlib.sha1(given[i][2].encode()).hexdigest() for i in expected}
+
+
+def test_query_of_archives_looks_urls_up(spark, small, monkeypatch):
+    scans = []
+    monkeypatch.setattr(warc, "records", lambda *a, f=warc.records: scans.append(a) or f(*a))
+    monkeypatch.setattr(warc, "captures", None)
+    assert queries.QUERIES["op6_warc"](spark, small).count() == queries.table(spark, small, "pages").count()
+    assert len(scans) == 1  # to build the index
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_against_sql(spark, small, name):
     import duckdb

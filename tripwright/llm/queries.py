@@ -105,11 +105,10 @@ def op4_mixing(spark, folder):
 
 @query
 def op6_warc(spark, folder):
-    archives = warc.write(table(spark, folder, "pages"))
+    pages = table(spark, folder, "pages")
+    archives = warc.write(pages)
     index = warc.index(warc.records(spark, archives))
-    place = ["file", "offset", "length"]
-    found = warc.captures(spark, index).select(*place)
-    return warc.records(spark, archives).join(found, place).select(
+    return warc.captured(spark, archives, index, pages.select("url")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

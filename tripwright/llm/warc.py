@@ -6,9 +6,11 @@ any file leaving Spark. Of pages with one payload of ``REVISIT_BYTES`` or more t
 id is a response, the others are revisits that refer to it.
 
 ``index`` sorts the captures by key (host name reversed, then path and query) into compressed blocks of
-``BLOCK_LINES`` lines and keeps a sparse directory: the first and last key of each block. ``lookup`` finds
-the blocks of a key by the directory, opens only these, searches them by bisection and reads only the
-byte range of each record found.
+``BLOCK_LINES`` lines and keeps a sparse directory: the first and last key of each block. ``captured`` takes a
+table of urls: it finds the blocks of their keys by the directory, opens only these, searches them by bisection
+and reads only the byte range of each record found, all of it in tasks. Only the directory, a row per
+block, is broadcast. Ranges are read by pyarrow, which knows local, HDFS, S3 and GCS paths; of archives in another store
+Spark reads the files that hold a record whole, and the ranges are cut out of them.
 
 Defined cases: null html is an empty payload; a null url has no target header and the key "-"; rows of
 one id and payload that are the largest are all responses; a null id never is referred to; without
@@ -20,11 +22,13 @@ from __future__ import annotations
 import hashlib
 import json
 import zlib
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +57,13 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
 
+def _target(url: Column) -> Column:
+    """A url as a record's header has it."""
+    for char, code in (("\r", "%0D"), ("\n", "%0A"), (" ", "%20")):
+        url = F.replace(url, F.lit(char), F.lit(code))
+    return url
+
+
 def typed(pages: DataFrame) -> DataFrame:
     """Pages with ``payload``, ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``."""
     payload = F.coalesce(F.col("html"), F.lit(""))
@@ -83,16 +94,13 @@ def write(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> str:
     head = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(_END)
     )
-    url = F.col("url")
-    for char, code in (("\r", "%0D"), ("\n", "%0A"), (" ", "%20")):
-        url = F.replace(url, F.lit(char), F.lit(code))
     length = F.octet_length(head) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
     record = F.concat(
         F.lit(f"{_VERSION}\r\n"),
         _header("WARC-Type", F.col("record_type")),
         _header("WARC-Record-ID", _record_id(F.col("page_id"), F.col("payload_digest"))),
         _header("WARC-Date", F.lit(date)),
-        _header("WARC-Target-URI", url),
+        _header("WARC-Target-URI", _target(F.col("url"))),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
         F.when(revisit, _header("WARC-Profile", F.lit(_PROFILE))).otherwise(""),
         F.when(revisit, _header("WARC-Refers-To", _record_id(F.col("refers_to"), F.col("payload_digest")))).otherwise(""),
@@ -145,8 +153,9 @@ _RECORD = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", p
 RECORDS = "file string, offset long, length long, key string, url string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def _read(file: str, offset: int, rest: memoryview) -> tuple:
+def _read(file: str, offset: int, rest: bytes | memoryview) -> tuple:
     """The row of the record at the front of ``rest``. A response's payload must have the digest it names."""
+    rest = memoryview(rest)
     headers, block = parse(rest)
     length = _head_length(rest) + block.nbytes + len(_END)
     digest = headers["warc-payload-digest"].partition(":")[2]
@@ -228,29 +237,129 @@ def captures(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks").select("payload").mapInArrow(run, _LINES)
 
 
-def _range(spark: SparkSession, path: str, offset: int, length: int) -> bytes:
-    """Some bytes of a file in any store that Spark reads."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+def keys(urls: DataFrame) -> DataFrame:
+    """Each ``key`` of some urls (column ``url``) once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([surt(url) for url in batch.column(0).to_pylist()], pa.string())], ["key"])
+
+    return urls.select(_target(F.col("url")).alias("url")).mapInArrow(run, "key string").distinct()
+
+
+def places(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """``file``, ``offset`` and ``length`` of all captures of the wanted keys (column ``key``, each once)."""
+    names = _BLOCKS.replace(", payload binary", "")
+    directory = spark.read.schema(names).parquet(f"{folder}/directory").orderBy("part", "block").collect()  # a row per block
+    number = spark.sparkContext.broadcast([(r["part"], r["block"]) for r in directory])
+    edges = spark.sparkContext.broadcast(([r["first_key"] for r in directory], [r["last_key"] for r in directory]))
+
+    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last = edges.value
+        for batch in batches:
+            found: dict[int, list[str]] = {}
+            for key in batch.column(0).to_pylist():
+                for k in range(bisect_left(last, key), bisect_right(first, key)):
+                    found.setdefault(k, []).append(key)
+            if found:
+                part, block = zip(*(number.value[k] for k in found))
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(block, pa.int32()), pa.array(list(found.values()), pa.list_(pa.string()))], ["part", "block", "keys"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload, own in zip(batch.column(0), batch.column(1)):
+                text = zlib.decompress(payload.as_buffer()).decode().split("\n")
+                lines: list[list | None] = [None] * len(text)
+
+                def line(k: int) -> list:
+                    if lines[k] is None:
+                        lines[k] = json.loads(text[k])
+                    return lines[k]
+
+                found = []
+                for key in own.as_py():
+                    at = bisect_left(range(len(text)), key, key=lambda k: line(k)[0])
+                    while at < len(text) and line(at)[0] == key:
+                        found.append(line(at)[1:4])
+                        at += 1
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.int64(), pa.int64()))], ["file", "offset", "length"])
+
+    # In the order of keys, those of one block come together.
+    near = written(wanted.select("key"), "capture-keys").repartitionByRange("key").sortWithinPartitions("key")
+    hits = near.mapInArrow(hit, "part int, block int, keys array<string>")
+    blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks").select("part", "block", "payload")
+    return hits.join(blocks, ["part", "block"]).select("payload", "keys").mapInArrow(search, "file string, offset long, length long")
+
+
+def _store(uri: str) -> tuple[FileSystem, str] | None:
+    """The store and path of a folder, if pyarrow can read it."""
     try:
-        stream.seek(offset)
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, length))
-    finally:
-        stream.close()
+        return FileSystem.from_uri(uri)
+    except (pa.ArrowException, OSError, ValueError):
+        return None
+
+
+def _pieces(spark: SparkSession, archives: str, found: DataFrame, make: Callable[[Iterator[tuple]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``make`` of the (file, offset, bytes) of records at some places."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(archives)
+    uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().toString()
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        store, path = FileSystem.from_uri(uri)
+        name, source = None, None
+        try:
+            for batch in batches:
+                for file, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
+                    if file != name:
+                        if source is not None:
+                            source.close()
+                        name, source = file, store.open_input_file(f"{path}/{file}")
+                    piece = source.read_at(length, offset)
+                    if len(piece) != length:
+                        raise ValueError(f"{file}: no {length} bytes at {offset}")
+                    yield file, offset, piece
+        finally:
+            if source is not None:
+                source.close()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for path, content, own in zip(*batch.columns):
+                data = memoryview(content.as_buffer())
+                for place in own.as_py():
+                    yield path.as_py(), place["offset"], data[place["offset"] : place["offset"] + place["length"]]
+
+    if _store(uri):
+        # Stored, as dealing out by range looks at its input twice.
+        near = written(found.select("file", "offset", "length"), "capture-places").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+        return near.mapInArrow(lambda batches: make(ranges(batches)), schema)
+    own = found.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(archives)
+    whole = files.select(F.substring_index("path", "/", -1).alias("file"), "content").join(own, "file")
+    return whole.select("file", "content", "places").mapInArrow(lambda batches: make(cut(batches)), schema)
+
+
+def captured(spark: SparkSession, archives: str, folder: str, urls: DataFrame) -> DataFrame:
+    """The rows (as of ``records``) of every capture of some urls: directory, blocks, bisection, range reads."""
+
+    def make(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        while rows := [_read(*piece) for piece in islice(pieces, 1000)]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RECORD)], schema=_RECORD)
+
+    return _pieces(spark, archives, places(spark, folder, keys(urls)), make, RECORDS)
 
 
 def lookup(spark: SparkSession, archives: str, folder: str, url: str) -> list[tuple[dict[str, str], bytes]]:
-    """Headers and block of every capture of a url: directory, blocks, bisection, range reads."""
-    key = surt(url)
-    places = spark.read.schema(_BLOCKS.replace(", payload binary", "")).parquet(f"{folder}/directory")
-    wanted = places.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).select("part", "block")
-    blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
-    found = []
-    for row in blocks.join(F.broadcast(wanted), ["part", "block"]).orderBy("part", "block").toLocalIterator():
-        lines = [json.loads(line) for line in zlib.decompress(bytes(row["payload"])).decode().split("\n")]
-        at = bisect_left(lines, key, key=lambda line: line[0])
-        while at < len(lines) and lines[at][0] == key:
-            headers, block = parse(_range(spark, f"{archives}/{lines[at][1]}", lines[at][2], lines[at][3]))
-            found.append((headers, bytes(block)))
-            at += 1
-    return found
+    """Headers and block of every capture of one url, found in the same way and brought to the driver."""
+
+    def make(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        for file, offset, piece in pieces:
+            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([offset]), pa.array([bytes(piece)], pa.binary())], ["file", "offset", "record"])
+
+    urls = spark.createDataFrame([(url,)], "url string")
+    read = _pieces(spark, archives, places(spark, folder, keys(urls)), make, "file string, offset long, record binary")
+    parsed = (parse(bytes(r["record"])) for r in read.orderBy("file", "offset").toLocalIterator())
+    return [(headers, bytes(block)) for headers, block in parsed]
