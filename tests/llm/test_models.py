@@ -169,6 +169,25 @@ def test_mixing_of_odd_rows(spark, odd, none):
     assert unlabelled.goals == {} and {r.copies for r in unlabelled.rows.collect()} == {1}
 
 
+def test_no_domain_is_dropped(spark):
+    rows = [(i, f"w{i % 65} w{i % 65} common", f"d{i % 65}") for i in range(130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    with pytest.raises(ValueError, match="64 domains"):
+        mixing.mix(docs, docs.select("doc_id", "domain"))
+    with pytest.raises(ValueError, match="unknown"):
+        mixing.mix(docs, docs.where("domain < 'd2'").select("doc_id", "domain"), targets={"d1": 0.5, "unknown": 0.5})
+
+
+def test_rare_domains_are_sampled(spark):
+    rows = [(i, "rare words here" if i % 500 == 0 else "many other words", "rare" if i % 500 == 0 else "common") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    model = mixing.train(docs, docs.select("doc_id", "domain"), sample=40)
+    weights = {r.word: r.weights for r in model.words.collect()}
+    assert model.domains == ("common", "rare") and weights["rare"][1] - weights["rare"][0] > 1
+    p = mixing.posteriors(docs, model)
+    assert p.where("p[1] > 0.5").count() == 8
+
+
 def test_mixing_plan_has_no_python(spark, small, capsys):
     docs, m = mixed(spark, small)
     mixing.repeat(docs, m).explain()
