@@ -169,6 +169,27 @@ def test_mixing_of_odd_rows(spark, odd, none):
     assert unlabelled.goals == {} and {r.copies for r in unlabelled.rows.collect()} == {1}
 
 
+def test_tokens_of_sources_meet_their_weights(spark, small):
+    """Texts do not tell their source: what the documents name counts."""
+    source = {r.doc_id: r.source for r in queries.table(spark, small, "documents").collect()}
+    before, after = Counter(), Counter()
+    for r in queries.QUERIES["op4_mixing"](spark, small).collect():
+        before[source[r.doc_id]] += r.n_tokens
+        after[source[r.doc_id]] += r.n_tokens * r.rate
+    assert len(before) > 10
+    scale = sum(before.values()) / sum(x**0.7 for x in before.values())
+    assert all(np.isclose(after[s], scale * before[s] ** 0.7, rtol=1e-4) for s in before)
+
+
+def test_rows_without_a_source_are_classified(spark):
+    rows = [(i, "some words of one" if i % 3 else "other text of two", None if i % 10 == 0 else "one" if i % 3 else "two") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    m = mixing.mix(docs, queries.source_labels(docs), given="source")
+    got = {r.doc_id: r.p for r in m.rows.collect()}
+    assert len(got) == 60 and list(m.goals) == ["one", "two"]
+    assert all((got[i][0] > 0.5) == (i % 3 > 0) and (got[i][0] in (0, 1)) == (i % 10 > 0) for i in got)
+
+
 def test_no_domain_is_dropped(spark):
     rows = [(i, f"w{i % 65} w{i % 65} common", f"d{i % 65}") for i in range(130)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")

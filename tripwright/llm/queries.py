@@ -96,10 +96,15 @@ def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
+def source_labels(docs: DataFrame) -> DataFrame:
+    """Domains of the documents that name their source."""
+    return docs.select("doc_id", F.col("source").alias("domain"))
+
+
 @query
 def op4_mixing(spark, folder):
     docs = table(spark, folder, "documents")
-    mixture = mixing.mix(docs, language_labels(docs, table(spark, folder, "labels")))
+    mixture = mixing.mix(docs, source_labels(docs), given="source")
     return mixture.rows.select("doc_id", "n_tokens", F.col("p").alias("posterior"), "rate", "copies")
 
 
