@@ -105,6 +105,19 @@ def test_toxicity_query(spark, small):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
 
 
+def test_a_long_text_does_not_end_the_training_set(spark):
+    bad = texts_with(["idiot", "stupid"], 100, 1)
+    rows = [(0, "word " * 5000, 0)] + [(k + 1, t, k % 2) for k, t in enumerate(x for pair in zip(texts_with([], 100, 2), bad) for x in pair)]
+    sample = spark.createDataFrame(rows, "key long, text string, toxic int")
+    total = sum(len(WORD.findall(t)) for _, t, _ in rows[1:])
+    model = toxicity.fit(sample, max_words=total + 4000)
+    found = model.scores(pa.array(bad)) >= 0.5
+    assert found.mean() > 0.95 and (model.scores(pa.array(texts_with([], 100, 3))) >= 0.5).mean() < 0.05
+    words, toxic = np.array([10, 900, 10, 10, 900]), np.array([0, 0, 1, 0, 1])
+    assert toxicity._fitting(words, toxic, 100).tolist() == [True, False, True, True, False]
+    assert toxicity._fitting(words, toxic, 5000).all() and toxicity._fitting(words, toxic, 10).sum() == 2
+
+
 @pytest.mark.parametrize("given", [[], [(1, 1), (3, None), (None, 0)], [(5, 0), (6, 0), (6, 1), (8, 1), (7, 0)]])
 def test_toxicity_of_odd_rows(spark, odd, none, given):
     labels = spark.createDataFrame(given, "doc_id long, toxic int")

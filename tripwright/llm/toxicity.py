@@ -262,17 +262,38 @@ def labelled(docs: DataFrame, labels: DataFrame, rows_per_class: int = SAMPLE_RO
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known.where(keep)), "doc_id").select("key", "text", "toxic")
 
 
+def _fitting(words: np.ndarray, toxic: np.ndarray, max_words: int) -> np.ndarray:
+    """Which texts to train on: of each class those that still fit into its share of the words, in order.
+
+    What the smaller class leaves goes to the other; a class of which no text fits keeps its shortest.
+    """
+    keep = np.zeros(len(words), dtype=bool)
+    classes = sorted(set(toxic.tolist()), key=lambda c: (int(words[toxic == c].sum()), c))
+    left = max_words
+    for i, c in enumerate(classes):
+        own, share = np.flatnonzero(toxic == c), left // (len(classes) - i)
+        used = 0
+        for k in own.tolist():
+            if used + int(words[k]) <= share:
+                keep[k] = True
+                used += int(words[k])
+        if not keep[own].any():
+            keep[own[np.argmin(words[own])]] = True
+        left = max(0, left - used)
+    return keep
+
+
 def fit(sample: DataFrame, max_words: int = SAMPLE_WORDS, trainer: Callable[..., Model] = train) -> Model:
-    """The model of a bounded sample, trained in one task; rows beyond ``max_words`` words are left out."""
+    """The model of a bounded sample, trained in one task; texts that do not fit into ``max_words`` words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = pa.schema([("key", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]).empty_table()
         table = pa.concat_tables([empty, *(pa.Table.from_batches([b]).cast(empty.schema) for b in batches)])
         table = table.sort_by([("key", "ascending"), ("toxic", "ascending"), ("text", "ascending")])
         text = pa.chunked_array([table["text"]]).combine_chunks()
-        fits = np.cumsum(W.words(text).counts()) <= max_words if len(text) else np.zeros(0, bool)
-        n = int(fits.sum())
-        model = trainer(text.slice(0, n), table["toxic"].to_numpy()[:n])
+        toxic = table["toxic"].to_numpy()
+        fits = _fitting(W.words(text).counts(), toxic, max_words) if len(text) else np.zeros(0, bool)
+        model = trainer(text.filter(pa.array(fits, pa.bool_())), toxic[fits])
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], ["model"])
 
     row = sample.repartition(1).mapInArrow(run, "model binary").first()
