@@ -281,3 +281,17 @@ def test_short_passages_go_whatever_surrounds_them(spark):
     # Each passage is left once, whole.
     left = "\n".join(r.text for r in got)
     assert all(left.count(p) == 1 for p in passages)
+
+
+def test_passages_of_other_blanks_go(spark):
+    for blank in "\t\r\x0b\x0c":
+        text = blank.join(f"w{k}" for k in range(60))
+        got = line_chunks.remove(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")).collect()
+        assert sorted(map(tuple, got)) == [(1, text, 0), (2, "", 1)]
+
+
+def test_length_cuts_count_from_the_last_cut():
+    lengths = lambda t: line_chunks.chunks(pa.array([t]))["lines"].tolist()
+    body = next(b for b in ("\n".join([f"same {k}"] * 200) for k in range(99)) if len(lengths(b)) == 4)
+    long = " ".join(["long"] * 60)
+    assert lengths(body) == [64, 64, 64, 8] and lengths(f"{long}\n{body}") == [1, 64, 64, 64, 8]

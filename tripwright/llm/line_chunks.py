@@ -56,10 +56,13 @@ def chunks(texts: pa.Array) -> dict[str, np.ndarray]:
     for k in range(1, WINDOW):
         before = np.flatnonzero(position >= k)
         rolling[before] = rolling[before] + hashes[before - k] * np.uint64(W._BASE) * np.uint64(k)
-    cut = (W.mix(rolling) % np.uint64(PERIOD) == 0) | last | (position % MOST_LINES == MOST_LINES - 1)
+    cut = (W.mix(rolling) % np.uint64(PERIOD) == 0) | last
     long = n_words >= LONG
     cut |= long
     cut[:-1] |= long[1:]
+    # Lines count from the last cut, so that the same lines after it are cut alike wherever they stand.
+    since = np.arange(len(text)) - np.maximum.accumulate(np.where(np.append(True, cut[:-1])[: len(text)], np.arange(len(text)), 0))
+    cut |= since % MOST_LINES == MOST_LINES - 1
     final = np.flatnonzero(cut)
     initial = np.append(0, final[:-1] + 1) if len(final) else final
     begin, end, of = start[initial], stop[final], text[initial]
@@ -159,7 +162,7 @@ def remove(docs: DataFrame, whole: bool = False) -> DataFrame:
     docs = docs.drop("n_lines_removed")
     names = docs.columns
     row = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
-    own = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").contains(" ") | F.col("text").contains("\n"))
+    own = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike("[\\x20\\x09-\\x0D]"))
     lost = repeated(own, whole)
     held = F.struct(*[F.col(f"`{n}`") for n in names]).alias("held")
     lost = lost.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
