@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import katz, line_chunks, mixing, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
+from tripwright.llm import filter_audit, katz, line_chunks, mixing, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -160,3 +160,40 @@ def op9_toxicity(spark, folder):
 @query
 def op10_neighbours(spark, folder):
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_filter_audit(spark, folder):
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE["op13_filter_audit"] = r"""
+with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as x from documents),
+w as (select *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by x) as first from t),
+l as (select doc_id, max((coalesce(quality, 0) = 1)::int) as good, max((coalesce(toxic, 0) = 1)::int) as toxic
+      from labels group by 1),
+m as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        concat(case when len(w) < 200 then 'A' else '' end,
+          case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end,
+          case when 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 3 * length(x) then 'C' else '' end,
+          case when regexp_matches(x, '[#$%&*|]') then 'D' else '' end,
+          case when first < doc_id then 'E' else '' end) as fails
+      from w left join l using (doc_id)),
+c as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from m group by 1, 2),
+f as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+o as (select a.f || b.f || c.f || d.f || e.f as o from f a, f b, f c, f d, f e
+      where a.f not in (b.f, c.f, d.f, e.f) and b.f not in (c.f, d.f, e.f) and c.f not in (d.f, e.f) and d.f <> e.f),
+s as (select o, step, substr(o, step, 1) as f, substr(o, 1, step - 1) as earlier
+      from o, (select unnest([1, 2, 3, 4, 5]) as step)),
+r as (select c.part, o as filter_order, step, f,
+        sum(case when translate(fails, earlier || f, '') = fails then n else 0 end) as kept,
+        sum(case when contains(fails, f) and translate(fails, earlier, '') = fails then n else 0 end) as removed,
+        sum(case when contains(fails, f) and translate(fails, earlier, '') <> fails then n else 0 end) as redundant,
+        sum(case when fails = f then n else 0 end) as unique_fails,
+        sum(case when contains(fails, f) and translate(fails, earlier, '') = fails then good else 0 end) as good_lost,
+        sum(case when contains(fails, f) and translate(fails, earlier, '') = fails then toxic else 0 end) as toxic_lost
+      from c, s group by 1, 2, 3, 4)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, f))::bigint as shapley
+from r"""
