@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import filter_audit, katz, line_chunks, mixing, neighbours, ngram_jaccard, quality, sentencepiece, token_files, toxicity, warc
+from tripwright.llm import filter_audit, katz, line_chunks, mixing, neighbours, ngram_jaccard, quality, sentencepiece, threshold_topk, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,6 +162,21 @@ def op10_neighbours(spark, folder):
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op12_threshold_topk(spark, folder):
+    return threshold_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_threshold_topk"] = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as x from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score
+      from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 10"""
+
+
 @query
 def op13_filter_audit(spark, folder):
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
