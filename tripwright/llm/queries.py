@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import filter_audit, katz, line_chunks, mixing, neighbours, ngram_jaccard, quality, sentencepiece, threshold_topk, token_files, toxicity, warc
+from tripwright.llm import filter_audit, katz, line_chunks, mixing, neighbours, ngram_jaccard, phrases, quality, sentencepiece, threshold_topk, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,6 +162,36 @@ def op10_neighbours(spark, folder):
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op11_phrases(spark, folder):
+    return phrases.mine(table(spark, folder, "documents"))
+
+
+ORACLE["op11_phrases"] = r"""
+with t as (select row_number() over () as id, coalesce(lang, 'und') as lang, translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x from documents),
+p as (select lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) as x from t),
+w as (select lang, regexp_extract_all(x, '[^\x20\x09]+') as w from p),
+g as (select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as g
+      from w, (select unnest([1, 2, 3, 4, 5]) as k) where len(w) >= k),
+f as (select lang, k, g, count(*) as f from g group by 1, 2, 3),
+t1 as (select lang, sum(f) as n from f where k = 1 group by 1),
+c as (select lang, k, g, f as a, string_split(g, ' ') as w from f where k > 1 and f >= 100),
+cuts as (select c.*, j, array_to_string(w[1:j], ' ') as x, array_to_string(w[j + 1:], ' ') as y
+         from c, (select unnest([1, 2, 3, 4]) as j) where j < k),
+s as (select u.lang, u.k, u.g, u.a, u.j, l.f as l, r.f as r, t1.n,
+        (1000 * u.a::hugeint * t1.n::hugeint) // (l.f::hugeint * r.f::hugeint) as score
+      from cuts u join f l on l.lang = u.lang and l.g = u.x join f r on r.lang = u.lang and r.g = u.y
+      join t1 on t1.lang = u.lang),
+b as (select *, row_number() over (partition by lang, g order by score, j) as nth from s),
+inside as (select distinct s.lang, s.g from c s join c b on s.lang = b.lang and s.k < b.k
+           and 100 * b.a >= 100 * s.a and contains(' ' || b.g || ' ', ' ' || s.g || ' ')),
+o as (select b.* from b anti join inside using (lang, g) where nth = 1),
+z as (select *, row_number() over (partition by lang order by score desc, a desc, encode(g)) as rank from o)
+select lang, rank::bigint as rank, g as phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+  score::bigint as score from z where rank <= 2000"""
+
+
 @query
 def op12_threshold_topk(spark, folder):
     return threshold_topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
