@@ -151,3 +151,40 @@ def test_dot_of_arrays(spark):
 def test_any_hour_is_scored(spark, hour):
     frame = spark.createDataFrame([(1.0, hour)], "trip_distance double, hour int")
     assert score.score(frame, MODEL, 1).head().duration_min is not None
+
+
+def chain(times, life):
+    """Entry times of one key, one after the other."""
+    out = []
+    for t in sorted(times):
+        if not out or t > out[-1] + life:
+            out.append(t)
+    return out
+
+
+def test_entry_times_against_plain_python(spark):
+    """Random times, ties with an entry's end, negative times, gaps of many slots; rounds by the logarithm."""
+    life, draw = score.MEMO_SECONDS * 1_000_000, random.Random(5)
+    keys = {f"r{k}": {draw.randrange(-40 * life, 40 * life) for _ in range(300)} for k in range(4)}
+    keys["edge"] = {0, life, life + 1, 2 * life + 1, 2 * life + 2, 50 * life, -life}
+    keys["long"] = {i * 2 * life for i in range(1000)} | {i * 2 * life + life // 2 for i in range(1000)}
+    keys["one"] = {7}
+    rows = [(k, t) for k, times in keys.items() for t in times]
+    found, rounds = score.entry_times(spark.createDataFrame(rows, "cache_key string, t bigint"))
+    by_key = {}
+    for r in found.collect():
+        by_key.setdefault(r.cache_key, []).append(r.t)
+    assert {k: sorted(v) for k, v in by_key.items()} == {k: chain(v, life) for k, v in keys.items()}
+    assert len(by_key["long"]) == 1000 and rounds <= 11
+
+
+def test_times_without_rows(spark):
+    found, rounds = score.entry_times(spark.createDataFrame([], "cache_key string, t bigint"))
+    assert found.isEmpty() and rounds == 0
+
+
+def test_request_without_arrival_is_computed(spark):
+    sent = requests(spark, [SENT[0], SENT[0]]).withColumn("at", F.expr("if(id = 0, timestamp'2015-01-10 09:00:00', null)"))
+    answers, entries = score.score_by_time(sent, MODEL, 2, "id", "at")
+    found = {r.id: (r.cached, r.model_version, r.duration_min is None) for r in answers.collect()}
+    assert found == {0: (False, 2, False), 1: (False, 2, False)} and entries.count() == 1

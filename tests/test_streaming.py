@@ -155,3 +155,14 @@ def test_old_state_goes(spark, folder):
 def test_no_state_yet(spark, folder):
     with pytest.raises(LookupError):
         jobs.last_state(spark, f"{folder}/none")
+
+
+def test_new_run_leaves_no_old_answers(spark, folder):
+    """Sixty requests in three batches, then in one batch by a new run: sixty answers, not more."""
+    rows = [(i, 1.0 + i % 5, datetime(2015, 1, 10, 9, i)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id bigint, trip_distance double, at timestamp")
+    write_files(frame, f"{folder}/in", "id", 3)
+    for check, files in (("one", 1), ("two", None)):
+        stream = jobs.read_parquet_stream(spark, f"{folder}/in", files)
+        jobs.run_to_end(jobs.memo_stream(stream, MODEL, 2, "id", "at", folder, f"{folder}/{check}"))
+        assert sorted(r.id for r in spark.read.parquet(f"{folder}/answers").collect()) == list(range(60)) or check == "one"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.functions import text as X
@@ -163,9 +163,9 @@ def score_by_time(
     answers requests older than itself. Requests of one time go by id. So cutting a sequence of
     requests into batches does not change the answers.
 
-    Entries are found in rounds: each takes, per key, the first request that no entry so far
-    answers. That is a minimum, combined before it is shuffled, and there are as many rounds as a key
-    has entries in the batch: one or two for a batch of minutes.
+    Entries are found by pointer doubling (see ``entry_times``): the rounds grow with the logarithm of
+    a key's entries, so a backlog of a month costs little more than a batch of minutes. A request
+    without arrival time is computed by itself.
     """
     spark = requests.sparkSession
     keyed = with_cache_key(score(requests, model, version))
@@ -182,24 +182,13 @@ def score_by_time(
     at = F.col(arrived_at).cast("timestamp")
     from_memo = F.coalesce(at <= F.col("memo_at") + life, F.lit(False))
     opened = written(met.where(~from_memo).drop("memo_minutes", "memo_at", "requests_of_key"), "memo-open")
-    first = F.min(F.struct(at.alias("at"), F.col(request_id).alias("id"), "own_minutes"))
-    rounds: list[DataFrame] = []
-    later = opened
-    while True:
-        found = later.groupBy("cache_key").agg(first.alias("entry"), F.count("*").alias("many"))
-        found = written(found, "memo-entries")
-        if found.isEmpty():
-            break
-        rounds.append(found)
-        here = join_per_key(opened, found, "cache_key", "many")
-        later = here.where(at > F.col("entry.at") + life).select(opened.columns)
-    entries = none.selectExpr(
-        "cache_key", "cast(null as struct<at timestamp, id bigint, own_minutes double>) as entry"
+    first = F.min(F.struct(F.col(request_id).alias("id"), "own_minutes")).alias("first")
+    times = opened.where(at.isNotNull()).groupBy("cache_key", F.unix_micros(at).alias("t")).agg(first)
+    times = written(times, "memo-times")
+    entries, _ = entry_times(times)
+    entries = entries.join(times, ["cache_key", "t"]).select(
+        "cache_key", F.struct(F.timestamp_micros("t").alias("at"), "first.id", "first.own_minutes").alias("entry")
     )
-    if rounds:
-        entries = rounds[0].select("cache_key", "entry")
-        for more in rounds[1:]:
-            entries = entries.unionByName(more.select("cache_key", "entry"))
     # An entry lives in two slots of its life's length at most, and no slot has more than two entries.
     slot_of = "cast(floor(unix_micros({}) / {}e6D) as bigint)"
     begun = slot_of.format("entry.at", MEMO_SECONDS)
@@ -224,7 +213,9 @@ def score_by_time(
             cached.alias("cached"),
         )
 
-    out = answers(computed.withColumn("entry", entry), F.col("entry.own_minutes"), F.col("entry.id") != F.col(request_id))
+    computed = computed.withColumn("entry", entry)
+    hit = F.coalesce(F.col("entry.id") != F.col(request_id), F.lit(False))
+    out = answers(computed, F.coalesce("entry.own_minutes", "own_minutes"), hit)
     out = out.unionByName(answers(met.where(from_memo), F.col("memo_minutes"), F.lit(True)))
     out = out.unionByName(answers(keyed.where("error is not null"), F.lit(None), F.lit(False)))
     made = entries.select("cache_key", F.col("entry.own_minutes").alias("duration_min"), F.col("entry.at").alias("scored_at"))
@@ -234,6 +225,54 @@ def score_by_time(
     return out, newest
 
 
+def entry_times(times: DataFrame) -> tuple[DataFrame, int]:
+    """The times (``cache_key``, ``t`` in microseconds) at which a key's entries begin, and the rounds taken.
+
+    The first time of a key begins an entry, and so does the first time after each entry's end. Every
+    time gets a pointer to the time that would follow it. Each round doubles the pointers and adds
+    what the entries found so far point to, so 1,000 entries of one key take eleven rounds. Pointers
+    that have run off a key's end are dropped, so a batch of minutes ends after one round.
+    """
+    spark = times.sparkSession
+    pointers = written(_next_times(times), "memo-pointers")
+    found = written(times.groupBy("cache_key").agg(F.min("t").alias("t")), "memo-entries")
+    entries, rounds = found, 0
+    while not pointers.isEmpty():
+        rounds += 1
+        reached = entries.join(pointers, ["cache_key", "t"]).select("cache_key", F.col("next").alias("t"))
+        reached = written(reached, "memo-entries")
+        if reached.isEmpty():
+            break
+        entries = entries.unionByName(reached)
+        far = pointers.select("cache_key", F.col("t").alias("next"), F.col("next").alias("far"))
+        doubled = pointers.join(far, ["cache_key", "next"]).select("cache_key", "t", F.col("far").alias("next"))
+        pointers = written(doubled, "memo-pointers")
+    return entries, rounds
+
+
+def _next_times(times: DataFrame) -> DataFrame:
+    """``cache_key``, ``t`` and ``next``, the key's first time more than an entry's life after ``t``, where there is one.
+
+    Times are cut into slots of that life. ``next`` lies in the slot after that of ``t`` or is the first
+    time of a later one; windows run over one slot's times, or over one key's slots.
+    """
+    life = MEMO_SECONDS * 1_000_000
+    slotted = times.select("cache_key", "t", F.expr(f"(t - pmod(t, {life})) div {life}").alias("slot"))
+    asked = slotted.selectExpr("cache_key", "slot + 1 as slot", f"t + {life} as place", "t as asked", "null as t")
+    there = slotted.selectExpr("cache_key", "slot", "t as place", "null as asked", "t")
+    # Going down in time, the last time met before a question is the first one after it.
+    down = Window.partitionBy("cache_key", "slot").orderBy(F.desc("place"), F.desc_nulls_last("asked"))
+    later = F.min("t").over(down.rowsBetween(Window.unboundedPreceding, -1))
+    near = asked.unionByName(there).withColumn("near", later).where("asked is not null")
+    by_slot = Window.partitionBy("cache_key").orderBy("slot")
+    firsts = slotted.groupBy("cache_key", "slot").agg(F.min("t").alias("first"))
+    for n in (1, 2):
+        firsts = firsts.withColumns({f"slot_{n}": F.lead("slot", n).over(by_slot), f"first_{n}": F.lead("first", n).over(by_slot)})
+    beyond = firsts.selectExpr("cache_key", "slot + 1 as slot", "if(slot_1 > slot + 1, first_1, first_2) as beyond")
+    both = near.join(beyond, ["cache_key", "slot"])
+    return both.selectExpr("cache_key", "asked as t", "coalesce(near, beyond) as next").where("next is not null")
+
+
 def live_entries(memo: DataFrame, now: Column) -> DataFrame:
     """Memo entries that still answer requests at ``now``."""
     return memo.where(F.col("scored_at") >= now - F.expr(f"interval {MEMO_SECONDS} seconds"))

@@ -26,6 +26,11 @@ def _state(spark: SparkSession, folder: str, batch_id: int, schema: str) -> Data
     return spark.read.schema(schema).parquet(f"{folder}/batch={batch_id - 1}")
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _leave_state(frame: DataFrame, folder: str, batch_id: int) -> None:
     """Write a batch's state; of the older ones only the one before it stays, for a replay.
 
@@ -79,6 +84,8 @@ def memo_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch_id == 0:  # answers of another run are none of this one's
+            _delete(spark, f"{folder}/answers")
         memo = _state(spark, f"{folder}/memo", batch_id, _MEMO)
         answers, entries = score.score_by_time(batch, model, version, request_id, arrived_at, memo)
         answers.write.mode("overwrite").parquet(f"{folder}/answers/batch={batch_id}")
