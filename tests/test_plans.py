@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tripwright import catalog
 from tripwright.operators import latency, profile, rules, split, train
+from tripwright.plans import jobs
 from tripwright.schemas import RAW_COLUMNS
 from tripwright.sources import csv_lines
-from tripwright.sources.lineitem_trips import KEYS, read_records, trip_id
+from tripwright.sources.lineitem_trips import CSV_HEADER, KEYS, read_records, trip_id
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -121,3 +122,33 @@ def test_partial_counts_do_not_depend_on_partitions(spark):
     for n in (1, 2, 9):
         spread = records.repartition(n, F.rand(n))
         assert sorted(rules.rule_counts(rules.with_rule(spread)).collect()) == wanted
+
+
+def test_load_takes_one_job_and_one_scan(spark, folder):
+    """Trips, rejects and counts as from separate passes; the records are scanned by one job only."""
+    records = read_records(spark, "/root/testdata/sf0.001")
+    sc = spark.sparkContext
+    sc.setJobGroup("one-load", "load")
+    loaded = jobs.load(records, f"{folder}/load", "l_orderkey")
+    n_jobs = len(sc.statusTracker().getJobIdsForGroup("one-load"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert n_jobs == 1
+    ruled = rules.with_rule(records)
+    assert loaded.report == rules.load_report(ruled).head().asDict()
+    wanted = rules.valid_trips(records, "l_orderkey")
+    assert loaded.trips.columns == wanted.columns
+    assert loaded.trips.exceptAll(wanted).isEmpty() and wanted.exceptAll(loaded.trips).isEmpty()
+    counts = {r.rule: r["count"] for r in loaded.rejects.groupBy("rule").count().collect()}
+    assert counts == {r.rule: r.n for r in rules.rule_counts(ruled).collect() if r.n}
+
+
+def test_load_of_text_and_of_nothing(spark, folder):
+    """Each file's header is no record, a repeated one is; no records give zeros."""
+    paths = [write_lines(f"{folder}/{i}.csv", [line(), CSV_HEADER, line(f3="0")]) for i in range(2)]
+    records = csv_lines.read_trips_csv(spark, paths)
+    loaded = jobs.load(records, f"{folder}/load")
+    assert loaded.report == rules.load_report(rules.with_rule(records)).head().asDict()
+    assert (loaded.report["total"], loaded.report["r1"], loaded.report["r8"]) == (6, 2, 2)
+    assert loaded.trips.count() == 2 and loaded.rejects.count() == 4
+    empty = jobs.load(records.limit(0), f"{folder}/none")
+    assert empty.report["total"] == 0 and empty.report["retention_pct"] == 0 and empty.trips.isEmpty()

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pytest
@@ -99,3 +100,26 @@ def test_train_and_register(spark, folder):
     run = registry.training_runs().where("version = 2").head()
     assert run.dataset_file == "rides" and run.rows_used == 3234
     assert run.finished_at >= run.started_at
+
+
+def test_versions_of_concurrent_trainings(spark, folder):
+    """Eight threads take eight numbers; a reserved number is not given again, saved or not."""
+    registry = Registry(spark, folder)
+    registry.save_model(model(1.0), 1)
+    with ThreadPoolExecutor(8) as pool:
+        taken = list(pool.map(lambda _: Registry(spark, folder).allocate_version(), range(8)))
+    assert sorted(taken) == list(range(2, 10))
+    assert registry.next_version() == 2 and registry.allocate_version() == 10
+
+
+def test_failed_insight_leaves_the_old_rows(spark, folder):
+    registry = Registry(spark, folder)
+    registry.upsert_insight("a", spark.range(3))
+    broken = spark.range(1000).selectExpr("if(id = 999, raise_error('half-way'), id) as id")
+    assert set(registry.upsert_insights({"a": broken, "b": spark.range(1)})) == {"a"}
+    assert registry.insight("a").count() == 3 and registry.insight("b").count() == 1
+    reading = registry.insight("a")
+    registry.upsert_insight("a", spark.range(5))
+    assert reading.count() == 3  # whoever reads the old rows may finish
+    registry.upsert_insight("a", spark.range(6))
+    assert registry.insight("a").count() == 6

@@ -7,6 +7,7 @@ its ``events``. Doubles are rounded in both engines, since sums depend on the or
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,6 +100,19 @@ def load_report(spark, folder):
     return report.selectExpr("total", "valid", rounded("retention_pct"), "* except (total, valid, retention_pct)")
 
 
+@query
+def load_one_pass(spark, folder):
+    """Counts observed while trips and rejects are written, beside what was written."""
+    loaded = jobs.load(_records(spark, folder), new_workspace(spark, "load"), *KEYS)
+    counted = [(r, loaded.report["valid" if r == 0 else f"r{r}"]) for r in range(10)]
+    stored = loaded.trips.selectExpr("0 as rule", "duration_min as minutes").unionByName(
+        loaded.rejects.selectExpr("rule", "cast(null as double) as minutes")
+    )
+    stored = stored.groupBy("rule").agg(F.count("*").alias("n"), F.sum("minutes").alias("minutes"))
+    rows = spark.createDataFrame(counted, "rule int, counted bigint").join(stored, "rule", "left")
+    return rows.selectExpr("rule", "counted", "coalesce(n, 0) as stored", rounded("minutes", 4))
+
+
 @query
 def valid_trips(spark, folder):
     return _trips(spark, folder)
@@ -549,6 +563,26 @@ def next_version(spark, folder):
     return rows.select("stored", F.lit(registry.next_version()).alias("next_version"))
 
 
+@query
+def concurrent_versions(spark, folder):
+    """A training for each line number, all at once: as many versions as line numbers, without gaps."""
+    registry = Registry(spark, new_workspace(spark, "registry"))
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_linenumber").distinct()
+    numbers = [r[0] for r in lines.collect()]  # seven at most
+
+    def register(number: int) -> None:
+        version = registry.allocate_version()
+        registry.save_model(LinearModel([0.0] * 8 + [float(number)], [0.0] * 8, [1.0] * 8), version)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(register, numbers))
+    stored = registry.models().select("version", F.element_at("weights", -1).cast("bigint").alias("line"))
+    return stored.agg(
+        F.count("*").alias("stored"), F.min("version").cast("bigint").alias("first"),
+        F.max("version").cast("bigint").alias("last"), F.sum("line").alias("lines"),
+    )
+
+
 @query
 def model_json_round_trip(spark, folder):
     path = new_workspace(spark, "model-json")

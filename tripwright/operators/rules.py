@@ -72,9 +72,15 @@ def valid_trips(records: DataFrame, *keep: str, bounds: Bounds = Bounds()) -> Da
     plausible = timed.where(f"""
         duration_min between {b.min_minutes}D and {b.max_minutes}D
         and {SPEED_MPH} between {b.min_mph}D and {b.max_mph}D""")
+    return as_trips(plausible, *kept)
+
+
+def as_trips(valid: DataFrame, *keep: str) -> DataFrame:
+    """Valid records with their ``duration_min`` as trips, with any extra columns to keep."""
+    kept = [k for k in keep if k not in TRIP_COLUMNS]
     derived = {"hour_of_day": HOUR_OF_DAY, "day_of_week": DAY_OF_WEEK}
     trip = [f"{derived[c]} as {c}" if c in derived else c for c in TRIP_COLUMNS]
-    return plausible.selectExpr(*kept, *trip)
+    return valid.selectExpr(*kept, *trip)
 
 
 def rejects(ruled: DataFrame) -> DataFrame:

@@ -400,6 +400,11 @@ from requests"""
         + ", "
         + ", ".join(f"count(*) filter (where rule = {r}) as r{r}" for r in range(1, 10))
         + " from ruled",
+        "load_one_pass": trips
+        + f"""select range::int as rule, coalesce(n, 0) as counted, coalesce(n, 0) as stored,
+       {_r("case when range = 0 then minutes end", 4, "minutes")}
+from range(10) left join (select rule, count(*) as n, sum(duration_min) as minutes from ruled group by 1)
+  on rule = range""",
         "valid_trips": trips + f"select {_K}, {trip_columns} from trips",
         "csv_trips": trips + f"select {trip_columns} from trips",
         "first_n_valid": trips
@@ -518,6 +523,8 @@ from requests""",
         "latest_model": _weights(5, "2 as version, 5 as epochs, 3 as nodes, "),
         "active_model": _weights(2, "1 as version, 2 as epochs, 3 as nodes, "),
         "next_version": "select 2::bigint as stored, 3 as next_version",
+        "concurrent_versions": """select count(*) as stored, 1::bigint as first, count(*) as last, sum(l)::bigint as lines
+from (select distinct l_linenumber as l from lineitem)""",
         "insight_upsert": profiled + insights,
         "train_and_register": _split_models(),
         "latest_200": f"with {_NEWEST} select event_type, event_id, ts, value from newest",

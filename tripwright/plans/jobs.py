@@ -6,14 +6,15 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripwright.operators import profile as PR
 from tripwright.operators import rules, split, train
 from tripwright.operators.model import LinearModel
 from tripwright.plans import exports
 from tripwright.plans.registry import Registry, utc_now
-from tripwright.schemas import Bounds
+from tripwright.schemas import RAW_COLUMNS, RULES, Bounds
 from tripwright.session import stored
 
 
@@ -29,6 +30,47 @@ def timed_load_report(records: DataFrame, bounds: Bounds = Bounds()) -> dict[str
     }
 
 
+@dataclass(frozen=True)
+class Loaded:
+    """What a load leaves: valid trips and rejected records, stored, and the counts of the load report."""
+
+    trips: DataFrame
+    rejects: DataFrame
+    report: dict[str, float]
+
+
+def load(records: DataFrame, folder: str, *keep: str, bounds: Bounds = Bounds()) -> Loaded:
+    """Trips, rejects and load report in one pass over the records.
+
+    The records are written once, in a partition per rule; the counts are metrics observed by that
+    same job. ``keep`` names columns that trips carry besides their own. Of lines equal to a CSV
+    header one in each file is no record; how many files there are is read off the rejects.
+    """
+    spark = records.sparkSession
+    ruled = rules.with_rule(records, bounds)
+    text = "is_header" in ruled.columns
+    places = [c for c in ("file_path", "file_block_start", "line_id") if c in ruled.columns] if text else []
+    columns = dict.fromkeys([*keep, *RAW_COLUMNS, "duration_min", *places, *(["is_header"] if text else []), "rule"])
+    header = "is_header" if text else "false"
+    counts = Observation()
+    observed = ruled.selectExpr(*columns).observe(
+        counts,
+        F.expr(f"count_if({header})").alias("headers"),
+        *[F.expr(f"count_if(rule = {r} and not {header})").alias(f"r{r}") for r in (0, *RULES)],
+    )
+    observed.write.partitionBy("rule").parquet(folder)
+    found = dict(counts.get)
+    schema = observed.schema
+    stored = spark.read.schema(schema).parquet(folder)
+    if found["headers"]:
+        files = stored.where("rule = 1 and is_header").selectExpr("file_path" if "file_path" in places else "1 as file_path")
+        found["r1"] += found["headers"] - files.distinct().count()
+    total = sum(found[f"r{r}"] for r in (0, *RULES))
+    report = {"total": total, "valid": found["r0"], "retention_pct": found["r0"] / total * 100 if total else 0.0}
+    report |= {f"r{r}": found[f"r{r}"] for r in RULES}
+    return Loaded(rules.as_trips(stored.where("rule = 0"), *keep), rules.rejects(stored.where("rule > 0")), report)
+
+
 def export_statistics(records: DataFrame, folder: str, bounds: Bounds = Bounds()) -> None:
     """Profile the valid records and write the six CSV reports."""
     with PR.profiled(rules.valid_trips(records, bounds=bounds)) as profile:
@@ -120,7 +162,7 @@ def train_and_register(
         rows_used = trips.count()
         model = train_ordered(trips, order, request, nodes)
     duration_ms = int((time.monotonic() - clock) * 1000)
-    version = registry.next_version()
+    version = registry.allocate_version()
     registry.save_model(model, version, nodes)
     registry.save_run(
         version=version,

@@ -1,12 +1,13 @@
 """Models, training runs, predictions and insights as Parquet tables under one folder.
 
-One writer at a time: a version is the greatest stored one plus one, and plain Parquet has no
-atomic counter. Each version has its own folder and is never overwritten, so of two writers that
-pick the same number the later fails.
+Versions are reserved by creating a marker file that must not exist yet, so trainings that run at
+once take different numbers: of two that ask for one number the store lets one create it, the other
+tries the next. An insight is written beside the one it replaces and counts once it is complete.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
@@ -18,6 +19,10 @@ from tripwright.operators.model import LinearModel
 from tripwright.schemas import ACTIVATION, MODEL, MODEL_VERSION, PREDICTION, TRAINING_RUN
 
 
+# A local file system checks and creates in two steps; stores of a cluster do it in one.
+_CREATING = threading.Lock()
+
+
 class NotFound(LookupError):
     """No such model, activation or insight."""
 
@@ -47,6 +52,23 @@ class Registry:
         """Greatest version plus one, from 1. Versions are folder names: no data is read."""
         return self.models().agg(F.coalesce(F.max("version"), F.lit(0))).head()[0] + 1
 
+    def allocate_version(self) -> int:
+        """Reserve a version that nobody else has or gets, even if no model is ever saved under it."""
+        files, folder = self._files(self._path("versions"))
+        names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+        version = max([self.next_version(), *(int(n) + 1 for n in names if n.isdigit())])
+        while True:
+            marker = self.spark._jvm.org.apache.hadoop.fs.Path(folder, str(version))
+            with _CREATING:
+                if files.createNewFile(marker):
+                    return version
+            version += 1
+
+    def _files(self, folder: str):
+        """File system and path of a folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def save_model(self, model: LinearModel, version: int, nodes: int = 1) -> None:
         row = model.to_frame(self.spark).select(
             *MODEL.names,
@@ -101,8 +123,28 @@ class Registry:
     # --- insights ------------------------------------------------------------------------
 
     def upsert_insight(self, name: str, rows: DataFrame) -> None:
-        """Store a result by name, replacing only that name."""
-        rows.write.mode("overwrite").parquet(self._path(f"insights/{name}"))
+        """Store a result by name, replacing only that name.
+
+        The new rows get a folder of their own. Readers take the newest one that Spark has marked as
+        complete, so a write that fails half-way leaves the earlier rows as they are. Of the older
+        folders the last complete one stays for those who are reading it.
+        """
+        files, folder = self._files(self._path(f"insights/{name}"))
+        complete, every = self._insight_runs(name)
+        run = max(every, default=0) + 1
+        rows.write.parquet(self._path(f"insights/{name}/run={run}"))
+        for old in set(every) - set(complete[-1:]):
+            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"run={old}"), True)
+
+    def _insight_runs(self, name: str) -> tuple[list[int], list[int]]:
+        """Complete runs and all runs of an insight, ascending."""
+        files, folder = self._files(self._path(f"insights/{name}"))
+        if not files.exists(folder):
+            return [], []
+        names = [f.getPath().getName() for f in files.listStatus(folder)]
+        every = sorted(int(n[4:]) for n in names if n.startswith("run="))
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        return [r for r in every if files.exists(done(folder, f"run={r}/_SUCCESS"))], every
 
     def upsert_insights(self, insights: Mapping[str, DataFrame]) -> dict[str, Exception]:
         """Store several; a failure is returned by name and does not keep the others from it."""
@@ -115,11 +157,10 @@ class Registry:
         return failed
 
     def insight(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self._path(f"insights/{name}"))
-        except AnalysisException as error:
-            raise NotFound(f"nothing is stored under the name {name}") from error
-
+        complete, _ = self._insight_runs(name)
+        if not complete:
+            raise NotFound(f"nothing is stored under the name {name}")
+        return self.spark.read.parquet(self._path(f"insights/{name}/run={complete[-1]}"))
 
 
 def utc_now() -> datetime:
