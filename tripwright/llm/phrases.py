@@ -1,16 +1,15 @@
 """Phrase collocation mining: broadcast double-array tries of Apriori-safe candidates.
 
-One scan turns the texts into blocks of 64-bit word names (language and word; 0 parts pieces) and counts the words.
-Then, for phrases of 2, 3, ... words:
-
-1. Every block hashes its phrases whose two shorter parts may be frequent into ``2 ** BITS`` counters; counters are
-   summed over all blocks. A phrase counted ``least`` times lies in a counter of ``least`` at least.
-2. The different phrases in such counters are the candidates. No frequent phrase is lost: all its parts are as frequent.
-3. Candidates are dealt to tries of ``PER_TRIE`` phrases, each built as a double array in one task. A trie is
-   broadcast (its size is bounded, however many there are) and all text positions walk it at once, level by level, with
-   numpy; accepting states are counted with ``bincount``, and the shards' counts are summed.
-
-Filters of step 1 are bitmaps of fixed size. They let a phrase too many pass, never one too few; the tries decide exactly.
+One scan turns the texts into blocks of 64-bit word names (language and word; 0 parts pieces), counts the words, and
+hashes all pairs of neighbours into ``2 ** BITS`` counters that are summed over all blocks. Then, for phrases of 2, 3, ... words,
+a pass over the blocks notes the different phrases whose words are frequent, whose shorter parts and which themselves lie in
+counters of ``least`` at least, and fills the counters of phrases one word longer that have such parts. No frequent phrase
+is lost: all its parts are as frequent, and a counter holds no less than each phrase in it. These are the candidates.
+
+Candidates of all lengths are dealt to tries of ``PER_TRIE`` phrases, each built as a double array in one task. A trie is
+broadcast (its size is bounded, however many there are) and all text positions walk it at once, level by level, with
+numpy; accepting states are counted with ``bincount``, and the shards' counts are summed. The tries decide exactly; the
+counters, bitmaps of fixed size, only let phrases too many pass. Each trie is a pass of its own.
 A trie's symbols are bytes of the rank its words have in the trie, so a node has at most 256 children.
 
 Word names are checked: if two words of the corpus share a name, all is named anew with another seed. Scores are whole
@@ -28,24 +27,34 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm import words as W
 from tripwright.llm.shared import receive, send
 from tripwright.llm.tables import written
+from tripwright.session import new_workspace
 
 LONGEST = 5
 LEAST = 100
-BITS = 24
-PER_TRIE = 1 << 19
-#: Words that a task counts before it hands their counts on.
-FLUSH = 1 << 20
+BITS = 23
+PER_TRIE = 1 << 18
+#: Words that a task counts before it hands their counts on, and text bytes handled at once.
+FLUSH = 1 << 19
+BLOCK_BYTES = 1 << 20
+#: Codes in a row, and in a stretch of rows that is worked on at once.
+ROW_CODES = 1 << 14
+STRETCH = 1 << 17
 _CHUNK = 1 << 15
 _CUT = np.zeros(256, dtype=bool)  # bytes that end a piece
 _CUT[list(b".,;:!?\n\x0b\x0c\r")] = True
 _GAP = _CUT.copy()
 _GAP[[32, 9]] = True
+_ENCODED = pa.schema([
+    ("codes", pa.binary()), ("name", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()),
+    ("chunk", pa.int64()), ("counts", pa.binary()),
+])
 
 
 # Words
@@ -74,9 +83,9 @@ class _Counts:
         lang, word = describe(new)
         self.by_slot.append(names[new]), self.lang.append(lang), self.word.append(word)
 
-    def rows(self) -> tuple[pa.Array, ...]:
+    def rows(self) -> dict[str, pa.Array]:
         names = np.concatenate(self.by_slot).view(np.int64)
-        return pa.array(names), pa.concat_arrays(self.lang), pa.concat_arrays(self.word), pa.array(self.count)
+        return {"name": pa.array(names), "lang": pa.concat_arrays(self.lang), "word": pa.concat_arrays(self.word), "n": pa.array(self.count)}
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,20 +110,18 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes()))
 
 
-def encode(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """Rows with ``codes`` (names of a block's words, 8 bytes each, 0 between pieces) and rows with a word's ``name``,
-    ``lang``, ``word`` and its count ``n`` in a task."""
+def encode(docs: DataFrame, least: int, seed: int = 0) -> DataFrame:
+    """Rows with ``codes`` (names of a block's words, 8 bytes each, 0 between pieces), rows with a word's ``name``,
+    ``lang``, ``word`` and its count ``n`` in a task, and rows with a ``chunk`` of counters of two neighbours each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = ["codes", "name", "lang", "word", "n"]
-        kinds = [pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-        held = _Counts()
+        held, pairs = _Counts(), Counters(least)
 
-        def flushed() -> pa.RecordBatch:
-            rows = held.rows()
-            return pa.RecordBatch.from_arrays([pa.nulls(len(rows[0]), pa.binary()), *rows], fields)
+        def row(**columns: pa.Array) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _ENCODED], schema=_ENCODED)
 
-        for block in W.blocks(batches, "text"):
+        for block in W.blocks(batches, "text", BLOCK_BYTES):
             data, start, end, doc, piece = tokens(W.column(block, "text"))
             if not len(start):
                 continue
@@ -132,15 +139,27 @@ def encode(docs: DataFrame, seed: int = 0) -> DataFrame:
             held.add(different, count, lambda new: (lang.dictionary.take(pa.array(of_doc[doc[first[new]]])), _strings(data, start[first[new]], end[first[new]])))
             breaks = np.flatnonzero(piece[1:] != piece[:-1]) + 1
             codes = np.insert(name, breaks, 0)
-            yield pa.RecordBatch.from_arrays([pa.array([codes.tobytes()], pa.binary()), *(pa.nulls(1, k) for k in kinds[1:])], fields)
+            pairs.add(_longer(codes, *_first(codes))[1])
+            yield row(codes=_rows_of(codes))
             if len(held.count) > FLUSH:
-                yield flushed()
+                yield row(**held.rows())
                 held = _Counts()
         if len(held.count):
-            yield flushed()
+            yield row(**held.rows())
+        for chunk, counts in pairs.chunks():
+            yield row(chunk=chunk, counts=counts)
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    return rows.mapInArrow(run, "codes binary, name long, lang string, word string, n long")
+    return rows.mapInArrow(run, "codes binary, name long, lang string, word string, n long, chunk long, counts binary")
+
+
+def _rows_of(codes: np.ndarray) -> pa.Array:
+    """Codes in rows of about ``ROW_CODES``, or a piece; each row ends with a 0."""
+    ends = np.append(np.flatnonzero(codes == 0) + 1, len(codes) + 1)
+    ends = ends[np.append((ends[:-1] // ROW_CODES) != (ends[1:] // ROW_CODES), True)]
+    offsets = np.concatenate(([0], ends)) * 8
+    body = pa.py_buffer(np.append(codes, np.uint64(0)).tobytes())
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), body])
 
 
 def _spans(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,39 +179,75 @@ def _has(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def eligible(codes: np.ndarray, size: int, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the phrases of ``size`` words whose first and last ``size - 1`` words may be frequent, and their hashes.
-
-    bits: for 1, 2, ... words, the counters that hold a frequent phrase.
-    """
+def _first(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the phrases of one word."""
     at = np.flatnonzero(codes)
-    value = codes[at]
-    for j in range(1, size):
-        live = _has(bits[j - 1], value)
+    return at, codes[at]
+
+
+def _longer(codes: np.ndarray, at: np.ndarray, value: np.ndarray, size: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the phrases one word longer of which both parts of ``size`` words are given."""
+    pair = np.flatnonzero(at[1:] == at[:-1] + 1)
+    at, value = at[pair], value[pair]
+    return at, W.mix(value * np.uint64(W._BASE) + codes[at + size])
+
+
+def eligible(codes: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the phrases of ``len(bits)`` words that may be frequent, as may all their parts."""
+    at, value = _first(codes)
+    for size, own in enumerate(bits, 1):
+        live = _has(own, value)
         at, value = at[live], value[live]
-        pair = np.flatnonzero(at[1:] == at[:-1] + 1)
-        at, value = at[pair], W.mix(value[pair] * np.uint64(W._BASE) + codes[at[pair] + j])
+        if size < len(bits):
+            at, value = _longer(codes, at, value, size)
     return at, value
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    for batch in batches:
-        for raw in batch.column(0):
-            yield np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+class Counters:
+    """``2 ** BITS`` counters of hashes, in chunks that say of each counter no more than ``least``."""
+
+    def __init__(self, least: int) -> None:
+        self.least, self.counts = least, None
+
+    def add(self, hashes: np.ndarray) -> None:
+        if len(hashes):
+            if self.counts is None:
+                self.counts = np.zeros(1 << BITS, dtype=np.uint32)
+            np.add.at(self.counts, _bucket(hashes), np.uint32(1))
+
+    def chunks(self) -> Iterator[tuple[pa.Array, pa.Array]]:
+        kind = np.min_scalar_type(self.least)
+        for chunk in range(0 if self.counts is None else len(self.counts) // _CHUNK):
+            part = np.minimum(self.counts[chunk * _CHUNK : (chunk + 1) * _CHUNK], self.least)  # that is enough alone
+            if part.any():
+                yield pa.array([chunk], pa.int64()), pa.array([zstandard.compress(part.astype(kind).tobytes(), 1)], pa.binary())
+
+
+def bitmap(chunks: DataFrame, least: int) -> np.ndarray:
+    """Which counters reach ``least``, summed over all rows ``chunk``, ``counts``: ``2 ** BITS / 8`` bytes."""
+    kind = np.min_scalar_type(least)
+
+    def total(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(_CHUNK, dtype=np.int64)
+        for batch in groups:
+            for raw in batch.column(1):
+                sums += np.frombuffer(zstandard.decompress(raw.as_py()), kind)
+        packed = np.packbits(sums >= least, bitorder="little")
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([packed.tobytes()], pa.binary())], ["chunk", "bits"])
+
+    return _joined(chunks.groupBy("chunk").applyInArrow(total, "chunk long, bits binary"))
 
 
-def _bitmap(spark: SparkSession, chunks: DataFrame) -> np.ndarray:
-    """The bitmap of rows ``chunk``, ``bits``: ``2 ** BITS / 8`` bytes, whatever the input."""
+def _joined(chunks: DataFrame) -> np.ndarray:
     out = np.zeros((1 << BITS) // 8, dtype=np.uint8)
     for row in chunks.collect():
         out[row[0] * (_CHUNK // 8) : (row[0] + 1) * (_CHUNK // 8)] = np.frombuffer(row[1], np.uint8)
     return out
 
 
-def bitmap_of(spark: SparkSession, hashes: DataFrame) -> np.ndarray:
-    """Counters that hold one of the hashes (one column of longs)."""
-    place = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - BITS)
-    places = hashes.select(place.alias("p")).distinct()
+def bitmap_of(names: DataFrame) -> np.ndarray:
+    """Counters that hold one of the names (one column of longs)."""
+    places = names.select(F.shiftrightunsigned(F.col(names.columns[0]), 64 - BITS).alias("p")).distinct()
 
     def run(group: pa.Table) -> pa.Table:
         p = group["p"].to_numpy()
@@ -200,58 +255,57 @@ def bitmap_of(spark: SparkSession, hashes: DataFrame) -> np.ndarray:
         flags[p % _CHUNK] = 1
         return pa.table({"chunk": pa.array([int(p[0]) // _CHUNK]), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
-    chunked = places.withColumn("chunk", F.floor(F.col("p") / _CHUNK)).groupBy("chunk")
-    return _bitmap(spark, chunked.applyInArrow(run, "chunk long, bits binary"))
+    return _joined(places.withColumn("chunk", F.floor(F.col("p") / _CHUNK)).groupBy("chunk").applyInArrow(run, "chunk long, bits binary"))
 
 
-def frequent_counters(codes: DataFrame, size: int, bits: list[np.ndarray], least: int) -> np.ndarray:
-    """The counters of phrases of ``size`` words that reach ``least``, as a bitmap."""
-    spark = codes.sparkSession
-    sent = send(spark.sparkContext, bits)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, own = None, receive(sent)
-        for block in _each(batches):
-            _, value = eligible(block, size, own)
-            if len(value):
-                counts = np.zeros(1 << BITS, dtype=np.uint32) if counts is None else counts
-                np.add.at(counts, _bucket(value), np.uint32(1))
-        if counts is not None:
-            for chunk in range(len(counts) // _CHUNK):
-                part = np.minimum(counts[chunk * _CHUNK : (chunk + 1) * _CHUNK], least)  # whoever reaches least alone has enough
-                if part.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part.astype("<u4").tobytes()], pa.binary())], ["chunk", "counts"])
-
-    def total(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(_CHUNK, dtype=np.int64)
-        for batch in groups:
-            for raw in batch.column(1):
-                sums += np.frombuffer(raw.as_buffer(), "<u4")
-        packed = np.packbits(sums >= least, bitorder="little")
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([packed.tobytes()], pa.binary())], ["chunk", "bits"])
-
-    chunks = codes.mapInArrow(count, "chunk long, counts binary").groupBy("chunk").applyInArrow(total, "chunk long, bits binary")
-    return _bitmap(spark, chunks)
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        rows = batch.column(0).cast(pa.large_binary())
+        ends = np.frombuffer(rows.buffers()[1], np.int64)[rows.offset : rows.offset + len(rows) + 1] // 8
+        codes = np.frombuffer(rows.buffers()[2], np.uint64, count=int(ends[-1])) if len(rows) and ends[-1] else np.zeros(0, np.uint64)
+        at = 0
+        while at < len(rows):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + STRETCH, side="right")) - 1)
+            yield codes[ends[at] : ends[to]]
+            at = to
 
 
-def candidates(codes: DataFrame, size: int, bits: list[np.ndarray]) -> DataFrame:
-    """``gram``: the different phrases of ``size`` words in counters of ``bits[size - 1]``, 8 bytes a word."""
-    sent = send(codes.sparkSession.sparkContext, bits)
+def candidates(codes: DataFrame, bits: list[np.ndarray], least: int, more: bool) -> DataFrame:
+    """``gram``: the different phrases of ``len(bits)`` words that may be frequent, 8 bytes a word, by blocks; and with
+    ``more`` the counters of phrases one word longer, ``chunk`` and ``counts``."""
+    sent, size = send(codes.sparkSession.sparkContext, bits), len(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = receive(sent)
+        own, counters = receive(sent), Counters(least)
+        seen, told = np.zeros(0, np.uint64), np.zeros((0, size), np.uint64)  # what this task has noted, by hash
         for block in _each(batches):
-            at, value = eligible(block, size, own)
-            at, value = (x[_has(own[size - 1], value)] for x in (at, value))
-            _, first, turn = np.unique(value, return_index=True, return_inverse=True)
+            at, value = eligible(block, own)
+            hashes, first, turn = np.unique(value, return_index=True, return_inverse=True)
             rows = block[at[:, None] + np.arange(size)]
             other = (rows != rows[first][turn]).any(axis=1)  # phrases of one hash that differ go by themselves
-            use = np.concatenate([rows[first], rows[other]])
+            if more:
+                counters.add(_longer(block, at, value, size)[1])
+            place = np.searchsorted(seen, hashes)
+            new = np.append(seen, 0)[place] != hashes if len(seen) else np.ones(len(hashes), dtype=bool)
+            new |= place == len(seen)
+            changed = ~new
+            changed[changed] = (told[place[changed]] != rows[first[changed]]).any(axis=1)
+            use = np.concatenate([rows[first[new | changed]], rows[other]])
+            if len(seen) > FLUSH:
+                seen, told = hashes, rows[first]
+            else:
+                seen, told = np.insert(seen, place[new], hashes[new]), np.insert(told, place[new], rows[first[new]], axis=0)
             if len(use):
-                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * size), len(use), [None, pa.py_buffer(use.tobytes())])
-                yield pa.RecordBatch.from_arrays([flat.cast(pa.binary())], ["gram"])
+                yield pa.RecordBatch.from_arrays([_grams(use), pa.nulls(len(use), pa.int64()), pa.nulls(len(use), pa.binary())], ["gram", "chunk", "counts"])
+        for chunk, counts in counters.chunks():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), chunk, counts], ["gram", "chunk", "counts"])
+
+    return written(codes.mapInArrow(run, "gram binary, chunk long, counts binary"), "phrase-candidates")
 
-    return codes.mapInArrow(run, "gram binary").distinct()
+
+def _grams(rows: np.ndarray) -> pa.Array:
+    width = rows.shape[1] * 8
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())]).cast(pa.binary())
 
 
 # Tries
@@ -260,47 +314,53 @@ def candidates(codes: DataFrame, size: int, bits: list[np.ndarray]) -> DataFrame
 class Trie:
     """A double array: the child of state ``s`` by byte ``c`` is ``base[s] + c`` if ``check`` there is ``s``.
 
-    Phrases are rows of word names. ``words`` ascend; a word is the bytes of its rank. ``base`` of an accepting
-    state is ``-1`` minus the row of its phrase.
+    ``accept`` is the row of the phrase that ends in a state, or -1. ``words`` ascend; a word is the bytes of its rank.
     """
 
-    def __init__(self, words: np.ndarray, base: np.ndarray, check: np.ndarray, size: int) -> None:
-        self.words, self.base, self.check, self.size = words, base, check, size
-        self.width = max(1, (max(len(words) - 1, 1).bit_length() + 7) // 8)
+    def __init__(self, words: np.ndarray, base: np.ndarray, check: np.ndarray, accept: np.ndarray, longest: int) -> None:
+        self.words, self.base, self.check, self.accept, self.longest = words, base, check, accept, longest
+        self.width = _width(words)
 
     @staticmethod
-    def build(grams: np.ndarray) -> Trie:
-        """grams: different rows, in the order of their words' names."""
-        n, size = grams.shape
-        words = np.unique(grams)
-        trie = Trie(words, np.zeros(0, np.int32), np.zeros(0, np.int32), size)
-        rank = np.searchsorted(words, grams)
-        symbols = np.stack([(rank >> (8 * b) & 255) for b in reversed(range(trie.width))], axis=2).reshape(n, -1)
-        depth = symbols.shape[1]
+    def build(grams: list[bytes]) -> Trie:
+        """grams: different phrases; row i is the i-th."""
+        n = len(grams)
+        size = np.array([len(g) // 8 for g in grams])
+        names = np.frombuffer(b"".join(grams), dtype=np.uint64)
+        words, rank = np.unique(names, return_inverse=True)
+        longest, width = int(size.max()), _width(words)
+        table = np.full((n, longest), -1, dtype=np.int64)
+        table[np.repeat(np.arange(n), size), np.arange(len(names)) - np.repeat(np.cumsum(size) - size, size)] = rank
+        order = np.lexsort(table.T[::-1])  # a phrase comes before those that go on
+        table, size = table[order], size[order]
         # Nodes level by level: equal prefixes stand together.
         node, levels, total = np.zeros(n, np.int64), [], 1
-        for d in range(depth):
-            new = np.concatenate(([True], (node[1:] != node[:-1]) | (symbols[1:, d] != symbols[:-1, d])))
-            first = np.flatnonzero(new)
-            levels.append((node[first], symbols[first, d]))
-            node = total + np.cumsum(new) - 1
-            total += len(first)
+        for j in range(longest):
+            live = np.flatnonzero(size > j)
+            for b in reversed(range(width)):
+                symbol, before = table[live, j] >> (8 * b) & 255, node[live]
+                new = np.concatenate(([True], (before[1:] != before[:-1]) | (symbol[1:] != symbol[:-1])))
+                first = np.flatnonzero(new)
+                levels.append((before[first], symbol[first]))
+                node[live] = total + np.cumsum(new) - 1
+                total += len(first)
         parent = np.concatenate([[-1], *(p for p, _ in levels)])
         symbol = np.concatenate([[0], *(c for _, c in levels)])
         begin = np.searchsorted(parent, np.arange(total), side="left")  # parents ascend, so children stand together
         many = np.searchsorted(parent, np.arange(total), side="right") - begin
         base, where = _place(symbol, begin, many)
-        out = np.full(int(where.max()) + 257, -1, dtype=np.int32)
-        check = out.copy()
-        out[where] = np.where(many > 0, base, -1 - (np.arange(total) - (total - n)))
-        check[where[1:]] = where[parent[1:]]
-        trie.base, trie.check = out, check
+        slots = int(where.max()) + 257
+        trie = Trie(words, np.zeros(slots, np.int32), np.full(slots, -1, np.int32), np.full(slots, -1, np.int32), longest)
+        trie.base[where] = base  # without children 0: what stands there has no such parent
+        trie.check[where[1:]] = where[parent[1:]]
+        trie.accept[where[node]] = order
         return trie
 
-    def walk(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Rows of the phrases that begin at these places of a text: all places advance together."""
+    def walk(self, codes: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows of the phrases of 1, 2, ... words that begin at these places: all places advance together."""
+        codes = np.concatenate([codes, np.zeros(self.longest, np.uint64)])
         state = np.zeros(len(at), dtype=np.int64)
-        for j in range(self.size):
+        for j in range(self.longest):
             name = codes[at + j]
             rank = np.searchsorted(self.words, name)
             rank[rank == len(self.words)] = 0
@@ -310,17 +370,23 @@ class Trie:
                 child = self.base[state] + (rank >> (8 * b) & 255)
                 good = self.check[child] == state
                 at, state, rank = at[good], child[good], rank[good]
-        return -1 - self.base[state].astype(np.int64)
+            rows = self.accept[state]
+            yield rows[rows >= 0]
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, words=self.words, base=self.base, check=self.check, size=self.size)
+        np.savez(out, words=self.words, base=self.base, check=self.check, accept=self.accept, longest=self.longest)
         return out.getvalue()
 
     @staticmethod
     def from_bytes(raw: bytes) -> Trie:
         held = np.load(io.BytesIO(raw))
-        return Trie(held["words"], held["base"], held["check"], int(held["size"]))
+        return Trie(held["words"], held["base"], held["check"], held["accept"], int(held["longest"]))
+
+
+def _width(words: np.ndarray) -> int:
+    """Bytes of a word's rank."""
+    return max(1, (max(len(words) - 1, 1).bit_length() + 7) // 8)
 
 
 def _place(symbol: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -358,21 +424,16 @@ def _place(symbol: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[np.
     return base, where
 
 
-def tries(grams: DataFrame, size: int, per_trie: int = PER_TRIE) -> tuple[DataFrame, int]:
+def tries(grams: DataFrame, per_trie: int = PER_TRIE) -> tuple[DataFrame, int]:
     """``shard``, ``row``, ``gram`` of each candidate and, at row -1, the ``trie`` of its shard; and how many shards."""
-    grams = written(grams, "phrase-candidates")
-    n = grams.count()
-    shards = -(-n // per_trie)
+    shards = -(-grams.count() // per_trie)
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        column = group["gram"].combine_chunks()
-        rows = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, size)
-        rows = rows[np.lexsort(rows.T[::-1])]
-        flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * size), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
+        rows = group["gram"].to_pylist()
         m = len(rows) + 1
         return pa.table({
             "shard": pa.array(np.full(m, key[0].as_py()), pa.int32()), "row": pa.array(np.arange(-1, m - 1), pa.int64()),
-            "gram": pa.concat_arrays([pa.nulls(1, pa.binary()), flat]),
+            "gram": pa.array([None, *rows], pa.binary()),
             "trie": pa.concat_arrays([pa.array([Trie.build(rows).to_bytes()], pa.binary()), pa.nulls(m - 1, pa.binary())]),
         })
 
@@ -380,8 +441,11 @@ def tries(grams: DataFrame, size: int, per_trie: int = PER_TRIE) -> tuple[DataFr
     return written(dealt.groupBy("shard").applyInArrow(run, "shard int, row long, gram binary, trie binary"), "phrase-tries"), shards
 
 
-def counted(codes: DataFrame, size: int, bits: list[np.ndarray], built: DataFrame, shard: int) -> DataFrame:
-    """``shard``, ``row`` and ``f``, the occurrences of each candidate of this shard that occurs."""
+def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shard: int) -> DataFrame:
+    """``shard``, ``row`` and ``f``, the occurrences of each candidate of this shard that occurs.
+
+    bits: of one and two words; walks begin only where these allow a phrase to begin.
+    """
     context = codes.sparkSession.sparkContext
     trie = bytes(built.where((F.col("shard") == shard) & (F.col("row") == -1)).select("trie").first()[0])
     sent, filters = send(context, Trie.from_bytes(trie)), send(context, bits)
@@ -389,11 +453,10 @@ def counted(codes: DataFrame, size: int, bits: list[np.ndarray], built: DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known, counts = receive(sent), receive(filters), np.zeros(0, np.int64)
         for block in _each(batches):
-            at, value = eligible(block, size, known)
-            rows = own.walk(block, at[_has(known[size - 1], value)])
-            some = np.bincount(rows, minlength=len(counts))
-            some[: len(counts)] += counts
-            counts = some
+            for rows in own.walk(block, eligible(block, known)[0]):
+                some = np.bincount(rows, minlength=len(counts))
+                some[: len(counts)] += counts
+                counts = some
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["row", "n"])
 
@@ -404,36 +467,47 @@ def counted(codes: DataFrame, size: int, bits: list[np.ndarray], built: DataFram
 # Frequent phrases and their scores
 
 
-def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_trie: int = PER_TRIE) -> tuple[DataFrame, DataFrame]:
+def _stored(frame: DataFrame, label: str) -> DataFrame:
+    """Like ``written``, in row groups of 8 MB: tasks that read them get small, even parts."""
+    path = new_workspace(frame.sparkSession, label)
+    frame.write.option("parquet.block.size", 8 << 20).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_trie: int = PER_TRIE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``gram`` (8 bytes a word), ``size`` and ``f`` of all phrases of up to ``longest`` words that occur ``least`` times;
-    and ``name``, ``lang``, ``word``, ``n`` of all words."""
+    ``key`` (a word's name as bytes), ``lang`` and ``word`` of all words that do; and ``n``, all words of each ``lang``."""
     spark = docs.sparkSession
     for seed in range(64):
-        encoded = written(encode(docs, seed), "phrase-words")
-        rows = encoded.where(F.col("name").isNotNull()).groupBy("name").agg(
-            F.sum("n").alias("n"), *(f(c).alias(f"{p}{c}") for c in ("lang", "word") for f, p in ((F.min, ""), (F.max, "last_")))
-        )
-        words = written(rows, "phrase-vocabulary")
-        if words.where("word <> last_word or lang <> last_lang").isEmpty():
+        encoded = _stored(encode(docs, least, seed), "phrase-words")
+        rows = encoded.where(F.col("name").isNotNull())
+        other = F.xxhash64("lang", "word")  # two words of one name differ in this
+        words = written(rows.groupBy("name").agg(F.sum("n").alias("n"), F.min(other).alias("a"), F.max(other).alias("b")), "phrase-vocabulary")
+        if words.where("a <> b").isEmpty():
             break
     else:
         raise ValueError("words share a name with every seed")
-    words = words.select("name", "lang", "word", "n")
+    totals = rows.groupBy("lang").agg(F.sum("n").alias("n"))
     codes = encoded.where(F.col("codes").isNotNull()).select("codes")
     common = words.where(F.col("n") >= least)
-    found = [common.select(_little_endian("name").alias("gram"), F.lit(1).alias("size"), F.col("n").alias("f"))]
-    bits = [bitmap_of(spark, common.select("name"))]
+    names = rows.join(common.select("name"), "name", "left_semi").select(_little_endian("name").alias("key"), "lang", "word").distinct()
+    singles = common.select(_little_endian("name").alias("gram"), F.lit(1).alias("size"), F.col("n").alias("f"))
+    bits, noted, chunks = [bitmap_of(common.select("name"))], [], encoded
     for size in range(2, longest + 1):
-        bits.append(frequent_counters(codes, size, bits, least))
-        built, shards = tries(candidates(codes, size, bits), size, per_trie)
-        if not shards:
+        bits.append(bitmap(chunks.where(F.col("chunk").isNotNull()).select("chunk", "counts"), least))
+        if not bits[-1].any():
             break
-        counts = reduce(DataFrame.unionByName, [counted(codes, size, bits, built, s) for s in range(shards)])
-        kept = built.select("shard", "row", "gram").join(counts.where(F.col("f") >= least), ["shard", "row"])
-        kept = written(kept.select("gram", F.lit(size).alias("size"), "f"), "phrase-frequent")
-        found.append(kept)
-        bits[-1] = bitmap_of(spark, kept.select(_hash_of("gram", size)))
-    return reduce(DataFrame.unionByName, found), words
+        chunks = candidates(codes, bits, least, size < longest)
+        noted.append(chunks.where(F.col("gram").isNotNull()).select("gram"))
+    if not noted:
+        return singles, names, totals
+    built, shards = tries(written(reduce(DataFrame.unionByName, noted).distinct(), "phrase-candidates"), per_trie)
+    counts = [counted(codes, bits[:2], built, s) for s in range(shards)]
+    if not counts:
+        return singles, names, totals
+    kept = built.select("shard", "row", "gram").join(reduce(DataFrame.unionByName, counts).where(F.col("f") >= least), ["shard", "row"])
+    kept = written(kept.select("gram", (F.length("gram") / 8).cast("int").alias("size"), "f"), "phrase-frequent")
+    return singles.unionByName(kept), written(names, "phrase-names"), totals
 
 
 def _little_endian(name: str):
@@ -442,36 +516,18 @@ def _little_endian(name: str):
     return F.unhex(F.concat(*(F.substring(digits, 15 - 2 * i, 2) for i in range(8))))
 
 
-def _hash_of(gram: str, size: int):
-    """The hash that ``eligible`` gives a phrase."""
-
-    @F.pandas_udf("long")
-    def hashed(grams):
-        rows = np.frombuffer(b"".join(bytes(g) for g in grams), dtype=np.uint64).reshape(-1, size)
-        value = rows[:, 0].copy()
-        for j in range(1, size):
-            value = W.mix(value * np.uint64(W._BASE) + rows[:, j])
-        import pandas as pd
-
-        return pd.Series(value.view(np.int64))
-
-    return hashed(gram).alias("hash")
-
-
 def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = 2000, closed: int = 100, per_trie: int = PER_TRIE) -> DataFrame:
     """Each language's ``top`` phrases: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` and ``score``.
 
     A phrase of f occurrences goes if a longer frequent one that holds it has ``closed`` hundredths of f.
     """
-    grams, words = frequent(docs, longest, least, per_trie)
-    names = words.withColumn("key", _little_endian("name"))
-    lang_totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    grams, names, totals = frequent(docs, longest, least, per_trie)
     f = grams.select("gram", "f")
     own = grams.where("size > 1").select("gram", "size", F.col("f").alias("a"))
 
     # The words of each phrase, and its language.
     placed = own.select("gram", F.explode(F.expr("sequence(0, size - 1)")).alias("at")).select("gram", "at", F.expr("substring(gram, 8 * at + 1, 8)").alias("key"))
-    spelt = placed.join(names.where(F.col("n") >= least).select("key", "lang", "word"), "key").groupBy("gram").agg(
+    spelt = placed.join(names, "key").groupBy("gram").agg(
         F.first("lang").alias("lang"), F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"])).alias("phrase")
     )
 
@@ -487,7 +543,7 @@ def mine(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int =
         "gram", "a", "k", F.expr("substring(gram, 1, 8 * k)").alias("left"), F.expr("substring(gram, 8 * k + 1, 8 * (size - k))").alias("right")
     )
     cuts = cuts.join(f.select(F.col("gram").alias("left"), F.col("f").alias("l")), "left").join(f.select(F.col("gram").alias("right"), F.col("f").alias("r")), "right")
-    cuts = cuts.join(spelt, "gram").join(lang_totals, "lang")
+    cuts = cuts.join(spelt, "gram").join(totals, "lang")
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     cuts = cuts.withColumn("above", wide("a") * wide("n")).withColumn("below", wide("l") * wide("r"))
     # 1000 a n may pass 38 digits: whole part and remainder are multiplied apart.

@@ -16,5 +16,5 @@ def send(context: SparkContext, value: Any) -> Broadcast:
 def receive(sent: Broadcast) -> Any:
     held = sent.value
     if "value" not in held:
-        held["value"] = pickle.loads(held["raw"])
+        held["value"] = pickle.loads(held.pop("raw"))
     return held["value"]
