@@ -37,10 +37,14 @@ SIZES = (3, 4, 5, 6)
 DIM = 4
 TELLING = 2.5
 FALSE_ALARM = 3.0
+#: What is worked on at once: text bytes of a block, and words and bytes of a slice of its different words.
+BLOCK_BYTES = 1 << 20
+SLICE_WORDS = 20_000
+SLICE_BYTES = 1 << 18
 
 
-def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of each word, one word after the other, and where each word's begin."""
+def _marked(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words one after the other with end marks, and where each begins."""
     length = end - start
     to = np.concatenate(([0], np.cumsum(length + 2)))
     marked = np.empty(to[-1], dtype=np.uint8)
@@ -48,18 +52,73 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int)
     marked[to[1:] - 1] = 3
     inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
     marked[np.repeat(to[:-1] + 1, length) + inner] = data[np.repeat(start, length) + inner]
-    grams, owner = [W.span_hashes(marked, to[:-1], to[1:])], [np.arange(len(length))]
+    return marked, to
+
+
+def _grams(marked: np.ndarray, to: np.ndarray, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams (n = 0: the whole words) of marked words, and how many each word has."""
+    if n == 0:
+        return (W.span_hashes(marked, to[:-1], to[1:]) % np.uint64(buckets)).astype(np.int32), np.ones(len(to) - 1, np.int64)
+    many = np.maximum(np.diff(to) - n + 1, 0)
+    at = np.repeat(to[:-1] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    return (W.span_hashes(marked, at, at + n) % np.uint64(buckets)).astype(np.int32), many
+
+
+def _slices(start: np.ndarray, end: np.ndarray) -> Iterator[slice]:
+    """Words in slices of ``SLICE_WORDS`` words and about ``SLICE_BYTES`` bytes at most, or one word."""
+    sizes, at = np.cumsum(end - start), 0
+    while at < len(start):
+        used = sizes[at - 1] if at else 0
+        to = min(at + SLICE_WORDS, max(at + 1, int(np.searchsorted(sizes, used + SLICE_BYTES, side="right"))))
+        yield slice(at, to)
+        at = to
+
+
+def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of each word, one word after the other, and where each word's begin."""
+    parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for own in _slices(start, end):
+        marked, to = _marked(data, start[own], end[own])
+        grams = [_grams(marked, to, n, buckets) for n in (0, *SIZES)]
+        size = sum(many for _, many in grams)
+        out, at = np.empty(int(size.sum()), np.int32), np.cumsum(size) - size
+        for bucket, many in grams:  # each n in turn behind the shorter ones of its word
+            out[np.repeat(at - (np.cumsum(many) - many), many) + np.arange(len(bucket))] = bucket
+            at = at + many
+        parts.append(out), sizes.append(size)
+    size = np.concatenate(sizes)
+    return np.concatenate(parts), np.cumsum(size) - size
+
+
+def _word_means(weight: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The mean weight of each word's n-grams, by slices of words and one n at a time."""
+    out = np.zeros(len(start))
+    for own in _slices(start, end):
+        if own.stop == own.start + 1 and end[own.start] - start[own.start] > SLICE_BYTES:
+            out[own] = _long_word_mean(weight, data[start[own.start] : end[own.start]])
+            continue
+        marked, to = _marked(data, start[own], end[own])
+        total, n_grams = np.zeros(len(to) - 1), np.zeros(len(to) - 1, np.int64)
+        for n in (0, *SIZES):
+            bucket, many = _grams(marked, to, n, len(weight))
+            total += np.bincount(np.repeat(np.arange(len(many)), many), weight[bucket], minlength=len(many))
+            n_grams += many
+        out[own] = total / n_grams
+    return out
+
+
+def _long_word_mean(weight: np.ndarray, word: np.ndarray) -> float:
+    """The same for one word, by windows of it."""
+    marked = np.concatenate(([2], word, [3])).astype(np.uint8)
+    total = float(weight[int(W.span_hashes(marked, np.array([0]), np.array([len(marked)]))[0] % np.uint64(len(weight)))])
+    n_grams = 1
     for n in SIZES:
-        many = np.maximum(length + 2 - n + 1, 0)
-        word = np.repeat(np.arange(len(length)), many)
-        at = to[:-1][word] + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        grams.append(W.span_hashes(marked, at, at + n))
-        owner.append(word)
-    owner_all = np.concatenate(owner)
-    order = np.argsort(owner_all, kind="stable")
-    bucket = (np.concatenate(grams) % np.uint64(buckets)).astype(np.int64)[order]
-    begin = np.searchsorted(owner_all[order], np.arange(len(length)))
-    return bucket, begin
+        last = len(marked) - n + 1
+        for at in range(0, last, SLICE_BYTES):
+            begin = np.arange(min(SLICE_BYTES, last - at))
+            total += float(weight[(W.span_hashes(marked[at : at + SLICE_BYTES + n], begin, begin + n) % np.uint64(len(weight))).astype(np.int32)].sum())
+        n_grams += last
+    return total / n_grams
 
 
 @dataclass
@@ -74,10 +133,10 @@ class Bags:
     begin: np.ndarray
 
 
-def bags(texts: pa.Array, buckets: int) -> Bags:
+def _windows(texts: pa.Array) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts; where each different word first stands; ``word``, ``window`` and ``text`` as in ``Bags``."""
     w = W.words(texts, lower=True)
     _, first, word = np.unique(w.hashes(), return_index=True, return_inverse=True)
-    bucket, begin = subwords(w.data, w.start[first], w.end[first], buckets)
     counts = w.counts()
     in_text = np.arange(len(w.doc)) - (np.cumsum(counts) - counts)[w.doc]
     per_text = np.maximum((counts + WINDOW - 1) // WINDOW, 1)  # an empty text has one empty window
@@ -85,7 +144,13 @@ def bags(texts: pa.Array, buckets: int) -> Bags:
     # A window's distinct words: saying a word often is not more toxic than saying it.
     pairs = np.unique((base[w.doc] + in_text // WINDOW) * np.int64(len(first) + 1) + word)
     window, word = pairs // (len(first) + 1), pairs % (len(first) + 1)
-    return Bags(word, window, np.repeat(np.arange(w.n_docs), per_text), w.n_docs, bucket, begin)
+    return w, first, word, window, np.repeat(np.arange(w.n_docs), per_text)
+
+
+def bags(texts: pa.Array, buckets: int) -> Bags:
+    w, first, word, window, text = _windows(texts)
+    bucket, begin = subwords(w.data, w.start[first], w.end[first], buckets)
+    return Bags(word, window, text, w.n_docs, bucket, begin)
 
 
 class _Sum:
@@ -93,7 +158,7 @@ class _Sum:
 
     def __init__(self, target: np.ndarray, source: np.ndarray, n: int) -> None:
         order = np.argsort(target, kind="stable")
-        self.target, self.source, self.n = target[order], source[order], n
+        self.target, self.source, self.n = target[order].astype(np.int32), source[order].astype(np.int32), n
         self.begin = W.runs(self.target)
 
     def turned(self, n: int) -> _Sum:
@@ -130,14 +195,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.odds(texts), -500, 500)))
 
     def odds(self, texts: pa.Array) -> np.ndarray:
-        """Log odds of each text's most toxic window."""
-        b = bags(texts, len(self.weight))
-        size = np.diff(np.append(b.begin, len(b.bucket)))
-        per_word = np.add.reduceat(self.weight[b.bucket], b.begin) / size if len(b.begin) else np.zeros(0)
-        n = len(b.text)
-        odds = np.bincount(b.window, per_word[b.word], minlength=n) / WINDOW + self.bias
-        worst = np.full(b.n_texts, -np.inf)
-        np.maximum.at(worst, b.text, odds)
+        """Log odds of each text's most toxic window; nothing is kept of an n-gram but its word's sum."""
+        w, first, word, window, text = _windows(texts)
+        per_word = _word_means(self.weight, w.data, w.start[first], w.end[first])
+        odds = np.bincount(window, per_word[word], minlength=len(text)) / WINDOW + self.bias
+        worst = np.full(w.n_docs, -np.inf)
+        np.maximum.at(worst, text, odds)
         return worst
 
 
@@ -157,7 +220,8 @@ def _training_part(texts: pa.Array, toxic: np.ndarray, buckets: int, max_windows
     Most windows of a toxic text say nothing toxic. To begin with, those count that hold a word
     telling the classes apart, and the most telling one of each text.
     """
-    b = bags(texts, buckets)
+    w, first, word, window, text = _windows(texts)
+    b = Bags(word, window, text, w.n_docs, np.zeros(0, np.int32), first)
     label = toxic[b.text]
     telling = _telling(b, toxic)
     best = np.full(b.n_texts, -np.inf)
@@ -166,11 +230,10 @@ def _training_part(texts: pa.Array, toxic: np.ndarray, buckets: int, max_windows
     for own in (np.flatnonzero(label == 0), np.flatnonzero((label == 1) & ((telling >= TELLING) | (telling == best[b.text])))):
         use[own[:: max(1, -(-len(own) // max_windows))]] = True
     token = use[b.window]
-    kept = np.zeros(len(b.begin), dtype=bool)
+    kept = np.zeros(len(first), dtype=bool)
     kept[b.word[token]] = True
-    size = np.diff(np.append(b.begin, len(b.bucket)))
-    bucket = b.bucket[np.repeat(kept, size)]
-    begin = np.cumsum(size[kept]) - size[kept]
+    own = first[kept]  # n-grams of these words only
+    bucket, begin = subwords(w.data, w.start[own], w.end[own], buckets)
     return Bags((np.cumsum(kept) - 1)[b.word[token]], (np.cumsum(use) - 1)[b.window[token]], b.text[use], b.n_texts, bucket, begin), label[use]
 
 
@@ -226,7 +289,8 @@ def train(texts: pa.Array, toxic: np.ndarray, buckets: int = BUCKETS, dim: int =
     table = np.zeros((buckets, dim))
     table[used] = embedding
     model = Model(table @ (softmax[1] - softmax[0]), float(bias[1] - bias[0]), table, softmax)
-    score = model.odds(texts.filter(pa.array(aside)))
+    held = pa.RecordBatch.from_arrays([texts.filter(pa.array(aside))], ["text"])
+    score = np.concatenate([model.odds(block.column(0)) for block in W.blocks(iter([held]), "text", BLOCK_BYTES)])
     return Model(model.weight, model.bias - _cut(score, toxic[aside]), table, softmax)
 
 
@@ -307,7 +371,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.from_bytes(raw.value)
-        for block in W.blocks(batches, "text"):
+        for block in W.blocks(batches, "text", BLOCK_BYTES):
             scores = own.scores(W.column(block, "text"))
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(scores)], [*names, "score"])
 
