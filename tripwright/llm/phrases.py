@@ -490,7 +490,8 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_tr
     totals = rows.groupBy("lang").agg(F.sum("n").alias("n"))
     codes = encoded.where(F.col("codes").isNotNull()).select("codes")
     common = words.where(F.col("n") >= least)
-    names = rows.join(common.select("name"), "name", "left_semi").select(_little_endian("name").alias("key"), "lang", "word").distinct()
+    names = rows.select("name", "lang", "word").distinct().join(common.select("name"), "name", "left_semi")
+    names = names.select(_little_endian("name").alias("key"), "lang", "word")
     singles = common.select(_little_endian("name").alias("gram"), F.lit(1).alias("size"), F.col("n").alias("f"))
     bits, noted, chunks = [bitmap_of(common.select("name"))], [], encoded
     for size in range(2, longest + 1):
