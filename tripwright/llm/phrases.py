@@ -441,10 +441,11 @@ def tries(grams: DataFrame, per_trie: int = PER_TRIE) -> tuple[DataFrame, int]:
     return written(dealt.groupBy("shard").applyInArrow(run, "shard int, row long, gram binary, trie binary"), "phrase-tries"), shards
 
 
-def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shard: int) -> DataFrame:
-    """``shard``, ``row`` and ``f``, the occurrences of each candidate of this shard that occurs.
+def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shard: int, least: int) -> DataFrame:
+    """``shard``, ``row`` and ``f``, the occurrences of each candidate of this shard that has ``least``.
 
-    bits: of one and two words; walks begin only where these allow a phrase to begin.
+    bits: of one and two words; walks begin only where these allow a phrase to begin. Counts travel as arrays, a chunk
+    of accepting states at a time, and are summed chunk by chunk.
     """
     context = codes.sparkSession.sparkContext
     trie = bytes(built.where((F.col("shard") == shard) & (F.col("row") == -1)).select("trie").first()[0])
@@ -457,10 +458,22 @@ def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shard: i
                 some = np.bincount(rows, minlength=len(counts))
                 some[: len(counts)] += counts
                 counts = some
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["row", "n"])
+        for at in range(0, len(counts), _CHUNK):
+            part = counts[at : at + _CHUNK]
+            if part.any():
+                packed = zstandard.compress(part.astype("<i8").tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([at // _CHUNK], pa.int64()), pa.array([packed], pa.binary())], ["chunk", "counts"])
+
+    def total(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(_CHUNK, dtype=np.int64)
+        for batch in groups:
+            for raw in batch.column(1):
+                part = np.frombuffer(zstandard.decompress(raw.as_py()), "<i8")
+                sums[: len(part)] += part
+        found = np.flatnonzero(sums >= least)
+        yield pa.RecordBatch.from_arrays([pa.array(found + key[0].as_py() * _CHUNK), pa.array(sums[found])], ["row", "f"])
 
-    sums = codes.mapInArrow(run, "row long, n long").groupBy("row").agg(F.sum("n").alias("f"))
+    sums = codes.mapInArrow(run, "chunk long, counts binary").groupBy("chunk").applyInArrow(total, "row long, f long")
     return sums.select(F.lit(shard).alias("shard"), "row", "f")
 
 
@@ -503,10 +516,10 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_tr
     if not noted:
         return singles, names, totals
     built, shards = tries(written(reduce(DataFrame.unionByName, noted).distinct(), "phrase-candidates"), per_trie)
-    counts = [counted(codes, bits[:2], built, s) for s in range(shards)]
+    counts = [counted(codes, bits[:2], built, s, least) for s in range(shards)]
     if not counts:
         return singles, names, totals
-    kept = built.select("shard", "row", "gram").join(reduce(DataFrame.unionByName, counts).where(F.col("f") >= least), ["shard", "row"])
+    kept = built.select("shard", "row", "gram").join(reduce(DataFrame.unionByName, counts), ["shard", "row"])
     kept = written(kept.select("gram", (F.length("gram") / 8).cast("int").alias("size"), "f"), "phrase-frequent")
     return singles.unionByName(kept), written(names, "phrase-names"), totals
 
