@@ -40,6 +40,8 @@ LONGEST = 5
 LEAST = 100
 BITS = 23
 PER_TRIE = 1 << 18
+#: Buckets of phrases by hash, in which those of all tasks meet.
+BUCKETS = 256
 #: Words that a task counts before it hands their counts on, and text bytes handled at once.
 FLUSH = 1 << 19
 BLOCK_BYTES = 1 << 20
@@ -271,12 +273,15 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 
 def candidates(codes: DataFrame, bits: list[np.ndarray], least: int, more: bool) -> DataFrame:
-    """``gram``: the different phrases of ``len(bits)`` words that may be frequent, 8 bytes a word, by blocks; and with
-    ``more`` the counters of phrases one word longer, ``chunk`` and ``counts``."""
+    """Rows of ``bucket`` and ``grams``, the different phrases of ``len(bits)`` words that may be frequent, 8 bytes a word and
+    one after the other; and with ``more`` the counters of phrases one word longer, ``chunk`` and ``counts``.
+
+    A task notes a phrase once while it holds it, and hands on a row for each of ``BUCKETS`` buckets of ``FLUSH`` phrases.
+    """
     sent, size = send(codes.sparkSession.sparkContext, bits), len(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counters = receive(sent), Counters(least)
+        own, counters, held = receive(sent), Counters(least), []
         seen, told = np.zeros(0, np.uint64), np.zeros((0, size), np.uint64)  # what this task has noted, by hash
         for block in _each(batches):
             at, value = eligible(block, own)
@@ -290,17 +295,55 @@ def candidates(codes: DataFrame, bits: list[np.ndarray], least: int, more: bool)
             new |= place == len(seen)
             changed = ~new
             changed[changed] = (told[place[changed]] != rows[first[changed]]).any(axis=1)
-            use = np.concatenate([rows[first[new | changed]], rows[other]])
+            held.append((np.concatenate([hashes[new | changed], value[other]]), np.concatenate([rows[first[new | changed]], rows[other]])))
             if len(seen) > FLUSH:
                 seen, told = hashes, rows[first]
             else:
                 seen, told = np.insert(seen, place[new], hashes[new]), np.insert(told, place[new], rows[first[new]], axis=0)
-            if len(use):
-                yield pa.RecordBatch.from_arrays([_grams(use), pa.nulls(len(use), pa.int64()), pa.nulls(len(use), pa.binary())], ["gram", "chunk", "counts"])
+            if sum(len(h) for h, _ in held) > FLUSH:
+                yield _packed(held)
+                held = []
+        if held:
+            yield _packed(held)
         for chunk, counts in counters.chunks():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), chunk, counts], ["gram", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), chunk, counts], _NOTED)
+
+    return written(codes.mapInArrow(run, "bucket int, grams binary, chunk long, counts binary"), "phrase-candidates")
+
+
+_NOTED = ["bucket", "grams", "chunk", "counts"]
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Hashes and phrases as a row for each bucket that has any; equal phrases share a bucket."""
+    bucket = (np.concatenate([h for h, _ in held]) % np.uint64(BUCKETS)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, rows = bucket[order], np.concatenate([r for _, r in held])[order]
+    first = W.runs(bucket)
+    grams = pa.array([part.tobytes() for part in np.split(rows, first[1:])] if len(first) else [], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), grams, pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.binary())], _NOTED)
+
+
+def different(noted: DataFrame) -> DataFrame:
+    """``gram``: each phrase once, of rows ``size``, ``bucket`` and ``grams``."""
+
+    def run(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = key[0].as_py()
+        known, held, waiting = np.zeros((0, size), np.uint64), [], 0
+        for batch in groups:
+            for raw in batch.column(batch.schema.get_field_index("grams")):
+                held.append(np.frombuffer(raw.as_py(), np.uint64).reshape(-1, size))
+                waiting += len(held[-1])
+                if waiting > FLUSH:
+                    known, held, waiting = _once(np.concatenate([known, *held])), [], 0
+        yield pa.RecordBatch.from_arrays([_grams(_once(np.concatenate([known, *held])))], ["gram"])
+
+    return noted.groupBy("size", "bucket").applyInArrow(run, "gram binary")
+
 
-    return written(codes.mapInArrow(run, "gram binary, chunk long, counts binary"), "phrase-candidates")
+def _once(rows: np.ndarray) -> np.ndarray:
+    rows = rows[np.lexsort(rows.T)]
+    return rows[np.append(True, (rows[1:] != rows[:-1]).any(axis=1))] if len(rows) else rows
 
 
 def _grams(rows: np.ndarray) -> pa.Array:
@@ -512,10 +555,10 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_tr
         if not bits[-1].any():
             break
         chunks = candidates(codes, bits, least, size < longest)
-        noted.append(chunks.where(F.col("gram").isNotNull()).select("gram"))
+        noted.append(chunks.where(F.col("grams").isNotNull()).select(F.lit(size).alias("size"), "bucket", "grams"))
     if not noted:
         return singles, names, totals
-    built, shards = tries(written(reduce(DataFrame.unionByName, noted).distinct(), "phrase-candidates"), per_trie)
+    built, shards = tries(written(different(reduce(DataFrame.unionByName, noted)), "phrase-candidates"), per_trie)
     counts = [counted(codes, bits[:2], built, s, least) for s in range(shards)]
     if not counts:
         return singles, names, totals
