@@ -2,12 +2,13 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
-from fixtures import trips_frame, varied_trips
+from fixtures import line, trips_frame, varied_trips, write_lines
 from pyspark.sql import functions as F
 from test_latency import SCHEMA, by_key, samples
 from test_score import MODEL, memo_brute_force
 
 from tripwright.operators import latency, profile, score
+from tripwright.sources.lineitem_trips import CSV_HEADER
 from tripwright.streaming import jobs
 
 
@@ -166,3 +167,30 @@ def test_new_run_leaves_no_old_answers(spark, folder):
         stream = jobs.read_parquet_stream(spark, f"{folder}/in", files)
         jobs.run_to_end(jobs.memo_stream(stream, MODEL, 2, "id", "at", folder, f"{folder}/{check}"))
         assert sorted(r.id for r in spark.read.parquet(f"{folder}/answers").collect()) == list(range(60)) or check == "one"
+
+
+def test_csv_files_of_two_layouts_as_a_stream(spark, folder):
+    os.mkdir(f"{folder}/in")
+    names = CSV_HEADER.split(",")
+    turned = lambda text: ",".join([*text.split(",")[1:], text.split(",")[0]])
+    writer = lambda: jobs.csv_rule_stream(  # noqa: E731 - started twice
+        jobs.read_csv_stream(spark, f"{folder}/in", 1), f"{folder}/out", f"{folder}/check"
+    )
+    records = [line(), line(f4="0.0"), "x", CSV_HEADER]
+    write_lines(f"{folder}/in/a.csv", records)
+    write_lines(f"{folder}/in/b.csv", [turned(r) for r in records[:2]], turned(",".join(names)), "\r\n")
+    open(f"{folder}/in/empty.csv", "w").close()
+    jobs.run_to_end(writer())
+    write_lines(f"{folder}/in/c.csv", [line()] * 3)
+    jobs.run_to_end(writer())
+    found = spark.read.parquet(f"{folder}/out").groupBy("rule").agg(F.sum("n")).collect()
+    assert sorted(map(tuple, found)) == [(0, 5), (1, 2), (6, 2)]
+
+
+def test_latency_of_logged_scores(spark):
+    clock = F.timestamp_seconds(F.lit(1000.5))
+    requests = score.requests_from_trips(trips_frame(spark, varied_trips(3)))
+    arrived = requests.withColumn("at", F.timestamp_seconds(F.lit(1000)))
+    log = score.prediction_log(score.score(arrived, MODEL, 5), clock, "at")
+    assert [r.latency_ms for r in log.collect()] == [500] * 3
+    assert log.schema["latency_ms"].dataType.simpleString() == "bigint"

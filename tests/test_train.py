@@ -1,15 +1,16 @@
 import math
+import os
 
 import numpy as np
 import pytest
-from fixtures import trip, trips_frame, varied_trips
+from fixtures import line, trip, trips_frame, varied_trips, write_lines
 from pyspark.sql import functions as F
 
 from tripwright.functions import features as X
-from tripwright.operators import evaluate, split, train
+from tripwright.operators import evaluate, rules, split, train
 from tripwright.operators.model import LinearModel
 from tripwright.plans import exports, jobs
-from tripwright.sources import model_json
+from tripwright.sources import csv_lines, model_json
 
 
 
@@ -214,3 +215,27 @@ def test_default_parameters():
     request = jobs.TrainRequest(epochs=0, learning_rate=-1, batch_size=0, fraction=1.0).with_defaults()
     assert (request.epochs, request.learning_rate, request.batch_size, request.fraction) == (100, 0.05, 1024, 0.8)
     assert split.train_fraction(0.3) == 0.3
+
+
+def test_stored_moments_equal_a_full_fit_and_read_new_files_only(spark, folder):
+    files = [f"{folder}/{name}.csv" for name in ("a", "b", "c")]
+    for k, path in enumerate(files):
+        lines = [line(f4=f"{1 + (i * (k + 1)) % 17 * 0.3}", f2=f"2015-01-10 08:{10 + i % 40}:00") for i in range(60)]
+        write_lines(path, lines)
+    chosen = F.col("trip_distance") < 4.5
+    store = f"{folder}/store"
+    jobs.moments_of_files(spark, files[:2], store, chosen)
+    stamp = sorted(os.listdir(f"{store}/sums"))
+    jobs.moments_of_files(spark, files[:2], store, chosen)
+    assert sorted(os.listdir(f"{store}/sums")) == stamp
+    found = jobs.moments_of_files(spark, files, store, chosen)
+    held = spark.read.parquet(f"{store}/sums").where(F.col("file_path").endswith("a.csv")).agg(F.sum("n")).head()[0]
+    assert held == 60
+    trips = rules.valid_trips(csv_lines.read_trips_csv(spark, files))
+    for one, other in zip(found, train.moments(trips, chosen)):
+        assert one.n == other.n
+        np.testing.assert_allclose(one.covariance, other.covariance, atol=1e-9)
+    full, _ = train.fit(trips, chosen, 20, 0.05)
+    np.testing.assert_allclose(train.descend(found[0], 20, 0.05)[0], full.weights, rtol=1e-9, atol=1e-9)
+    with pytest.raises(LookupError):
+        train.stored_moments(spark, f"{folder}/none")

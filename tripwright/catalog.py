@@ -317,6 +317,17 @@ def fit_weights(spark, folder):
     return _weight_rows(spark, _fit(spark, folder).weights)
 
 
+@query
+def fit_stored_moments(spark, folder):
+    """Some sources first, then all: those whose sums are held are not added again."""
+    trips = _trips(spark, folder).withColumn("source", F.col("l_linenumber").cast("string"))
+    store = new_workspace(spark, "moments")
+    train.add_moments(trips.where("l_linenumber <= 3"), _in_train(), store, "source")
+    train.add_moments(trips, _in_train(), store, "source")
+    fitted, _ = train.stored_moments(spark, store)
+    return _weight_rows(spark, train.descend(fitted, EPOCHS, RATE)[0])
+
+
 @query
 def fit_weights_by_pass(spark, folder):
     weights, _ = train.descend_by_pass(_train_matrix(spark, folder), 3, RATE)
@@ -457,14 +468,18 @@ def score_memo(spark, folder):
     return _answers(score.score_with_memo(requests, _fixed_model(), 3, "request_id"))
 
 
-def _dirty(spark: SparkSession, folder: str) -> DataFrame:
+def _dirty_csv(spark: SparkSession, folder: str) -> str:
     """Damaged lines in two layouts, in one folder."""
     path = new_workspace(spark, "dirty-csv")
     records = _records(spark, folder)
     for odd in (False, True):
         part = records.where((F.col("l_linenumber") % 2 == 1) == F.lit(odd))
         lineitem_trips.write_dirty_csv(part, path, swapped=odd)
-    return rules.with_rule(csv_lines.read_trips_csv(spark, path))
+    return path
+
+
+def _dirty(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.with_rule(csv_lines.read_trips_csv(spark, _dirty_csv(spark, folder)))
 
 
 @query
@@ -683,6 +698,17 @@ def stream_profile(spark, folder):
     return out
 
 
+@query
+def stream_csv_rule_counts(spark, folder):
+    """Damaged text of two layouts, three files a batch, each file by its own header."""
+    work = new_workspace(spark, "stream")
+    lines = streams.read_csv_stream(spark, _dirty_csv(spark, folder), 3)
+    streams.run_to_end(streams.csv_rule_stream(lines, f"{work}/out", f"{work}/check"))
+    counts = spark.read.parquet(f"{work}/out").where("rule > 0")
+    every = spark.range(1, 10).selectExpr("cast(id as int) as rule", "0L as n")
+    return every.unionByName(counts.select("rule", "n")).groupBy("rule").agg(F.sum("n").alias("n"))
+
+
 @query
 def stream_score(spark, folder):
     work = new_workspace(spark, "stream")

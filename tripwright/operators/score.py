@@ -284,20 +284,27 @@ def new_entries(answers: DataFrame, now: Column) -> DataFrame:
     return computed.select("cache_key", "duration_min", now.alias("scored_at"))
 
 
-def prediction_log(answers: DataFrame, created_at: Column) -> DataFrame:
+def prediction_log(
+    answers: DataFrame, created_at: Column, arrived_at: str | None = None
+) -> DataFrame:
     """Rows for the prediction table: model answers only, memo hits are not logged.
 
-    A batch has no per-request latency to report, so ``latency_ms`` is null.
+    ``latency_ms`` is the time from ``arrived_at``, a column of the answers, to ``created_at``; without such
+    a column, or where it is null, a row has no latency of its own and it is null.
     """
     made = answers.where("error is null")
     if "cached" in answers.columns:
         made = made.where("not cached")
+    created = created_at.cast("timestamp")
+    waited = F.lit(None)
+    if arrived_at is not None:
+        waited = (F.unix_micros(created) - F.unix_micros(F.col(arrived_at).cast("timestamp"))) / 1000
     return made.select(
         F.struct(*_INPUTS).alias("input"),
         "duration_min",
         F.col("model_version").cast("int").alias("model_version"),
-        F.lit(None).cast("bigint").alias("latency_ms"),
-        created_at.cast("timestamp").alias("created_at"),
+        F.floor(waited).cast("bigint").alias("latency_ms"),
+        created.alias("created_at"),
     )
 
 

@@ -37,6 +37,7 @@ _BY_ROW = {
 # Sums are taken around these points to keep digits; any value near the data will do.
 _FIRST_CENTRE = dict.fromkeys(_VARIABLES, 0.0) | {"pickup_lat": 40.75, "pickup_lon": -74.0}
 _MIN_CONDITION = 1e-6
+_CATEGORY = ["is_train", "hour_of_day", "weekend", "airport"]
 
 
 @dataclass
@@ -63,8 +64,10 @@ class Moments:
 EMPTY = Moments(0, np.zeros(9), np.zeros((9, 9)), 0.0)
 
 
-def category_sums(trips: DataFrame, train: Column, centre: Mapping[str, float]) -> DataFrame:
-    """Sums and sums of products per split, hour, weekend and airport: at most 192 rows.
+def category_sums(
+    trips: DataFrame, train: Column, centre: Mapping[str, float], *by: str
+) -> DataFrame:
+    """Sums and sums of products per split, hour, weekend and airport: at most 192 rows (for each value of ``by``).
 
     Four of the eight features are functions of those keys. Grouping by them leaves 20 running
     sums per trip instead of 54, no sine or cosine per trip, and a result that does not grow with
@@ -72,6 +75,7 @@ def category_sums(trips: DataFrame, train: Column, centre: Mapping[str, float])
     """
     by_row = [f"{c} - {X.literal(centre[v])} as {v}" for v, c in _BY_ROW.items()]
     rows = trips.withColumn("is_train", train).selectExpr(
+        *by,
         "is_train",
         "hour_of_day",
         f"{X.IS_WEEKEND} as weekend",
@@ -83,7 +87,7 @@ def category_sums(trips: DataFrame, train: Column, centre: Mapping[str, float])
     sums = [f"sum({v}) as {v}" for v in _BY_ROW]
     sums += [f"sum({u} * {v}) as `{u}*{v}`" for u, v in pairs]
     sums += ["count(*) as n", "sum(mph) as mph_sum", "count(mph) as mph_n"]
-    keys = ["is_train", "hour_of_day", "weekend", "airport"]
+    keys = [*by, *_CATEGORY]
     return rows.groupBy(*keys).agg(*[F.expr(e) for e in sums])
 
 
@@ -143,6 +147,65 @@ def moments(trips: DataFrame, train: Column) -> tuple[Moments, Moments]:
     return splits[True], splits[False]
 
 
+def add_moments(trips: DataFrame, train: Column, folder: str, source: str = "file_path") -> None:
+    """Append to the table in ``folder`` the sums of each ``source`` it does not hold yet.
+
+    Sums of sources add up, so training on more sources reads the new ones only. All are taken around
+    the means of the first trips stored. The append is one job: after a failure none of its sources is
+    held. One writer at a time.
+    """
+    spark = trips.sparkSession
+    if _exists(spark, f"{folder}/sums"):
+        held = stored_sources(spark, folder, source)
+        trips = trips.join(held, source, "left_anti")
+        centre = _stored_centre(spark, folder)
+    else:
+        in_train, in_test = moments(trips, train)
+        around = in_train if in_train.n else in_test
+        centre = dict(zip(_VARIABLES, around.means.tolist())) if around.n else _FIRST_CENTRE
+        rows = spark.createDataFrame(list(centre.items()), "variable string, value double")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/centre")
+    sums = category_sums(trips, train, centre, source)
+    sums.coalesce(1).write.mode("append").parquet(f"{folder}/sums")
+
+
+def stored_sources(spark: SparkSession, folder: str, source: str = "file_path") -> DataFrame:
+    """The sources whose sums the table in ``folder`` holds."""
+    if not _exists(spark, f"{folder}/sums"):
+        return spark.createDataFrame([], f"{source} string")
+    return spark.read.parquet(f"{folder}/sums").select(source).distinct()
+
+
+def stored_moments(spark: SparkSession, folder: str) -> tuple[Moments, Moments]:
+    """Moments of the train and the test split over all sources held, from sums alone.
+
+    The centre of stored sums is fixed; where later sources lie so far from it that digits are lost,
+    a second pass is not possible and it is an error.
+    """
+    if not _exists(spark, f"{folder}/sums"):
+        raise LookupError(f"no moments in {folder}")
+    table, centre = spark.read.parquet(f"{folder}/sums"), _stored_centre(spark, folder)
+    names = table.columns[table.columns.index("airport") + 1 :]
+    groups = table.groupBy(*_CATEGORY).agg(*[F.sum(f"`{n}`").alias(n) for n in names]).collect()
+    out = []
+    for side in (True, False):
+        rows = [g for g in groups if g.is_train is side]
+        out.append(combine(rows, centre) if rows else EMPTY)
+    if not all(m.well_conditioned for m in out):
+        raise ValueError("stored sums lie too far from their centre; store them anew")
+    return out[0], out[1]
+
+
+def _stored_centre(spark: SparkSession, folder: str) -> dict[str, float]:
+    """A value for each of the nine variables."""
+    return dict(map(tuple, spark.read.parquet(f"{folder}/centre").collect()))
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def descend(m: Moments, epochs: int, learning_rate: float) -> tuple[list[float], list[float]]:
     """Weights after ``epochs`` full-batch updates from zero, and the loss after each.
 

@@ -389,6 +389,10 @@ select {_K}, error, passenger_count, case when error is null then {_KEY} end as
 from requests"""
     value = "(l_extendedprice - 50000::double) * l_discount / 64::double"
 
+    dirty_counts = f"""with {_TRIPS},
+dirty as (select case when l_orderkey % 16 < 6 then 1 else rule end as rule from ruled)
+select cast(range as int) as rule, coalesce(n, 0) as n from range(1, 10)
+left join (select rule as range, count(*) as n from dirty group by 1) using (range)"""
     return {
         "rule_counts": rule_counts,
         "csv_rule_counts": rule_counts,
@@ -467,6 +471,7 @@ group by 1""",
         " from scaled where is_train",
         "gram_matrix": f"with {_TRIPS}, {_FEATURES}, {_scaled()}, {_gram()} {gram_rows}",
         "fit_weights": _weights(10),
+        "fit_stored_moments": _weights(10),
         "fit_weights_by_pass": _weights(3),
         "model_json_round_trip": _weights(10),
         "loss_curve": losses
@@ -505,10 +510,8 @@ union all {table_row("Baseline: vel. media", "e_speed", "tested")}""",
         "score_memo": _MEMO,
         "score_by_time": _BY_TIME,
         "stream_memo": _BY_TIME,
-        "csv_dirty_rule_counts": f"""with {_TRIPS},
-dirty as (select case when l_orderkey % 16 < 6 then 1 else rule end as rule from ruled)
-select cast(range as int) as rule, coalesce(n, 0) as n from range(1, 10)
-left join (select rule as range, count(*) as n from dirty group by 1) using (range)""",
+        "csv_dirty_rule_counts": dirty_counts,
+        "stream_csv_rule_counts": dirty_counts,
         "csv_dirty_trips": trips
         + f"""select rate_code_id, count(*) as n, {_r("sum(trip_distance)", 6, "miles")}
 from ruled where l_orderkey % 16 >= 6 and rule = 0 group by 1""",

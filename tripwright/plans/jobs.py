@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from tripwright.plans import exports
 from tripwright.plans.registry import Registry, utc_now
 from tripwright.schemas import RAW_COLUMNS, RULES, Bounds
 from tripwright.session import stored
+from tripwright.sources import csv_lines
 
 
 def timed_load_report(records: DataFrame, bounds: Bounds = Bounds()) -> dict[str, object]:
@@ -128,6 +131,34 @@ def train_local(
     )
 
 
+def moments_of_files(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    folder: str,
+    train_rows: Column,
+    *keep: str,
+    bounds: Bounds = Bounds(),
+) -> tuple[train.Moments, train.Moments]:
+    """Moments of all CSV files seen so far; only files not yet in ``folder`` are read.
+
+    ``train_rows`` is a condition on trips and the ``keep`` columns. Files are known by their path: one
+    that changes is not read again. A file without a valid trip leaves no sums and is read each time.
+    """
+    # The listing of the files is on the driver as it is.
+    files = sorted(spark.read.text(paths).inputFiles())
+    held = {_plain(r[0]) for r in train.stored_sources(spark, folder).collect()}
+    new = [f for f in files if _plain(f) not in held]
+    if new:
+        records = csv_lines.read_trips_csv(spark, new)
+        train.add_moments(rules.valid_trips(records, "file_path", *keep, bounds=bounds), train_rows, folder)
+    return train.stored_moments(spark, folder)
+
+
+def _plain(path: str) -> str:
+    """A path in one spelling: listings and rows may differ in escapes and in the slashes of a local one."""
+    return re.sub("^file:/+", "file:/", unquote(path))
+
+
 def train_ordered(
     trips: DataFrame, order: Sequence[str], request: TrainRequest = TrainRequest(), nodes: int = 1
 ) -> LinearModel:

@@ -27,12 +27,17 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     within one block, and blocks are told apart by where they start.
     """
     lines = spark.read.option("lineSep", "\n").text(paths)
+    return numbered(lines.select("value", "_metadata.file_path", "_metadata.file_block_start"))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines with their ids, and without the carriage return of their end."""
     return lines.select(
         F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)"))
         .otherwise(F.col("value"))
         .alias("value"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("file_block_start"),
+        "file_path",
+        "file_block_start",
         F.monotonically_increasing_id().alias("line_id"),
     )
 

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tripwright.operators import latency, score
+from tripwright.operators import latency, rules, score
 from tripwright.operators.model import LinearModel
-from tripwright.schemas import PREDICTION
+from tripwright.schemas import PREDICTION, Bounds
+from tripwright.sources import csv_lines
 
 
 def _state(spark: SparkSession, folder: str, batch_id: int, schema: str) -> DataFrame:
@@ -47,14 +48,19 @@ def _leave_state(frame: DataFrame, folder: str, batch_id: int) -> None:
 
 
 def score_stream(
-    requests: DataFrame, model: LinearModel, version: int, folder: str, checkpoint: str
+    requests: DataFrame,
+    model: LinearModel,
+    version: int,
+    folder: str,
+    checkpoint: str,
+    arrived_at: str | None = None,
 ) -> DataStreamWriter:
-    """Append every scored request to the prediction table in ``folder``.
+    """Append every scored request to the prediction table in ``folder``, with its latency since ``arrived_at``.
 
     A stateless projection into the file sink, which writes each batch exactly once.
     """
     scored = score.score(requests, model, version)
-    log = score.prediction_log(scored, F.current_timestamp())
+    log = score.prediction_log(scored, F.current_timestamp(), arrived_at)
     return (
         log.select(*PREDICTION.names)
         .writeStream.format("parquet")
@@ -156,6 +162,48 @@ def read_parquet_stream(
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+def read_csv_stream(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Lines of a growing folder of CSV files; each file arrives whole, in one batch."""
+    reader = spark.readStream.option("lineSep", "\n")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start"
+    )
+
+
+def csv_stream(
+    lines: DataFrame, use: Callable[[DataFrame, int], None], checkpoint: str
+) -> DataStreamWriter:
+    """Call ``use`` with the trip records of each batch of ``read_csv_stream``, and its number.
+
+    Headers are looked up per batch, so a file is read by its own whatever came before. A batch
+    without a line is passed over.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            use(csv_lines.parse_files(csv_lines.numbered(batch)), batch_id)
+
+    return lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
+def csv_rule_stream(
+    lines: DataFrame, folder: str, checkpoint: str, bounds: Bounds = Bounds()
+) -> DataStreamWriter:
+    """Records per rule of a stream of CSV lines: a table of at most ten rows per batch in ``folder``."""
+
+    def use(records: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:  # counts of another run are none of this one's
+            _delete(records.sparkSession, folder)
+        totals = rules.rule_totals(rules.with_rule(records, bounds))
+        totals.coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    return csv_stream(lines, use, checkpoint)
+
+
 def run_to_end(writer: DataStreamWriter) -> None:
     """Process what is available now, then stop."""
     query = writer.trigger(availableNow=True).start()
