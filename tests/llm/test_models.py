@@ -222,6 +222,68 @@ def test_rare_domains_are_sampled(spark):
     assert p.where("p[1] > 0.5").count() == 8
 
 
+def test_every_row_is_classified_and_both_kinds_of_goals_are_met(spark, small):
+    docs = {r.doc_id: r for r in queries.table(spark, small, "documents").collect()}
+    rows = queries.QUERIES["op4_mixing"](spark, small).collect()
+    m = queries.mixture_of(queries.table(spark, small, "documents"), queries.table(spark, small, "labels"))
+    domains = list(m.goals)
+    p, n, rate = np.array([r.posterior for r in rows]), np.array([r.n_tokens for r in rows]), np.array([r.rate for r in rows])
+    assert len(rows) == len(docs) and np.allclose(p.sum(1), 1)
+    assert ((p > 0) & (p < 1)).any(1).sum() > len(rows) / 2
+    found = [domains[k].split("/")[0] for k in p.argmax(1)]
+    assert np.mean([x == docs[r.doc_id].lang for x, r in zip(found, rows)]) > 0.9
+    weights = queries.quality_targets(dict(zip(domains, (p * n[:, None]).sum(0))))
+    goals = np.array([weights[d] for d in domains]) / sum(weights.values()) * n.sum()
+    assert np.allclose((p * (n * rate)[:, None]).sum(0), goals, rtol=1e-4) and m.missed < 1e-6
+    # Texts of one source differ in their rates: the classifier counts.
+    assert max(np.ptp([x for r, x in zip(rows, rate) if docs[r.doc_id].source == s]) for s in {d.source for d in docs.values()}) > 0.1
+
+
+def test_groups_beside_domains_against_dense_projected_gradient(spark):
+    """More groups than there may be domains, one row without, and a domain that nearly vanishes, so rates are cut."""
+    rows = [(i, f"{('red', 'blue', 'grey')[i * i % 3 if i < 300 else 2]} text " * (1 + i % 7), None if i == 5 else f"g{i % 70}") for i in range(420)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part string")
+    labels = docs.where("doc_id % 2 = 0").select("doc_id", F.expr("split(text, ' ')[0]").alias("domain"))
+    m = mixing.mix(docs, labels, {"red": 0.02, "blue": 0.28, "grey": 0.7}, groups="part")
+    got = m.rows.collect()
+    p, n, rate = np.array([r.p for r in got]), np.array([r.n_tokens for r in got], float), np.array([r.rate for r in got])
+    names = sorted({r.group for r in got if r.group})
+    one_hot = np.array([[r.group == g for g in names] for r in got], float)
+    assert len(names) == 70 and (rate >= 0).all() and len(got) == 420
+    a = np.hstack([p, one_hot])
+    weigh = (one_hot * n[:, None]).sum(0) ** mixing.TEMPERATURE
+    of_groups = weigh / weigh.sum() * (one_hot * n[:, None]).sum()
+    goals = np.concatenate([list(m.goals.values()), of_groups])
+    gram, dense = (a * n[:, None]).T @ a, np.ones(len(got))
+    for _ in range(m.rounds):
+        dense = np.maximum(0, dense - a @ np.linalg.lstsq(gram, (a * (n * dense)[:, None]).sum(0) - goals, rcond=1e-9)[0])
+    assert np.allclose(rate, dense, atol=1e-6)
+    assert np.allclose((one_hot * (n * rate)[:, None]).sum(0), of_groups, atol=1e-3 * n.sum())
+    held = {r.group: r for r in m.groups.collect()}
+    assert sorted(held) == names and np.allclose([held[g].goal for g in names], of_groups)
+
+
+def test_goals_that_cannot_be_met_are_told(spark):
+    rows = [(i, ("red" if i % 4 else "blue") + " text", "one" if i % 4 else "two") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part string")
+    labels = docs.select("doc_id", F.expr("split(text, ' ')[0]").alias("domain"))
+    with pytest.warns(UserWarning, match="missed"):
+        m = mixing.mix(docs, labels, {"red": 0.1, "blue": 0.9}, groups="part", rounds=3)
+    assert m.missed > 0.1 and m.rounds == 3
+    assert mixing.mix(docs.limit(0), labels.limit(0), groups="part").groups is None
+    alone = mixing.mix(docs, labels.limit(0), groups="part", grow=True)
+    assert alone.goals == {} and alone.missed < 1e-6 and alone.rows.where("copies < 1").count() == 0
+    assert alone.groups.where("abs(now - goal) > 1e-3 * goal").count() == 0
+
+
+def test_more_languages_than_domains_may_be(spark):
+    rows = [(i, f"w{i % 40} text", f"l{i % 40}") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(160)] + [(0, None, 0)], "doc_id long, quality int, toxic int")
+    found = {r.domain for r in queries.quality_labels(docs, labels).collect()}
+    assert len({d.split("/")[0] for d in found}) == 32 and len(found) <= mixing.MOST_DOMAINS
+
+
 def test_mixing_plan_has_no_python(spark, small, capsys):
     docs, m = mixed(spark, small)
     mixing.repeat(docs, m).explain()

@@ -101,10 +101,33 @@ def source_labels(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("source").alias("domain"))
 
 
+def quality_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Domains of the labelled documents: language and quality. Languages beyond the 31 most labelled are one."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
+    marked = labels.where("quality is not null").select("doc_id", (F.col("quality") == 1).alias("good")).distinct()
+    known = docs.select("doc_id", lang).join(marked, "doc_id")
+    most = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(31).collect()]
+    named = F.when(F.col("lang").isin(most), F.col("lang")).otherwise(F.lit("other"))
+    return known.select("doc_id", F.concat(named, F.when(F.col("good"), "/good").otherwise("/poor")).alias("domain"))
+
+
+def quality_targets(held: dict[str, float]) -> dict[str, float]:
+    """Languages weigh their tokens to the power 0.7; within each, good and poor texts keep their shares."""
+    languages: dict[str, float] = {}
+    for domain, tokens in held.items():
+        language = domain.rpartition("/")[0]
+        languages[language] = languages.get(language, 0.0) + tokens
+    return {d: x * languages[d.rpartition("/")[0]] ** (mixing.TEMPERATURE - 1) for d, x in held.items() if x > 0}
+
+
+def mixture_of(docs: DataFrame, labels: DataFrame, grow: bool = False) -> mixing.Mixture:
+    """Every text's language and quality come from the classifier; its source, which texts do not tell, is a group."""
+    return mixing.mix(docs, quality_labels(docs, labels), quality_targets, grow, groups="source")
+
+
 @query
 def op4_mixing(spark, folder):
-    docs = table(spark, folder, "documents")
-    mixture = mixing.mix(docs, source_labels(docs), given="source")
+    mixture = mixture_of(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return mixture.rows.select("doc_id", "n_tokens", F.col("p").alias("posterior"), "rate", "copies")
 
 
