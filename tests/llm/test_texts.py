@@ -113,6 +113,46 @@ def test_token_files_of_odd_rows(spark, odd, none):
     assert token_files.digest(spark, token_files.write(none, path)).count() == 0
 
 
+ODD_TEXTS = [
+    "", None, "É日本語 😀 <|endoftext|> ▁x <s> \x00 end", "a\u3000b \u2003 c\xa0d\x85 e\u1680\u1680f", "  \n\n x", " ", "\n", "x ", "<", "|a <| b",
+    "tab\tx\r\ny \u2028z\u205f\u202f", "a\x1cb \x1f c", "'s don't  I'm 123 4567 ,,. \u200b z", "word " * 3000 + "x" * 5000, "à Ââ€ \xe2\x80",
+]
+
+
+def equal_to_library(encoder, texts):
+    ids, begin = encoder.encode(texts)
+    found = encoder.tokenizer.encode_batch(texts.fill_null("").to_pylist(), add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(begin[:-1], begin[1:])] == [e.ids for e in found]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_chunks_are_cut_and_looked_up_on_bytes(monkeypatch, collide):
+    hashes = token_files.W.span_hashes
+    if collide:
+        monkeypatch.setattr(token_files.W, "span_hashes", lambda *a: hashes(*a) % np.uint64(5))
+    encoder = token_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), most=20)
+    texts = pa.array(ODD_TEXTS)
+    for part in (texts, texts.slice(2, 6), texts.slice(0, 2), texts.slice(0, 0), pa.array([f"w{i} ö{i}\n" for i in range(100)]), texts):
+        equal_to_library(encoder, part)
+
+
+def test_a_chunk_is_encoded_once():
+    """Also where there are many more of them than used to be kept."""
+    encoder = token_files.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    library, seen = encoder.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            seen.append(sum(len(t.split()) for t in texts))
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    blocks = [pa.array([f"x {' '.join(f'w{i}' for i in range(a, a + 50_000))}"]) for a in range(0, 400_000, 50_000)]
+    first = [encoder.encode(b)[0] for b in blocks]
+    assert sum(seen) == 400_001
+    assert all(np.array_equal(encoder.encode(b)[0], ids) for b, ids in zip(blocks, first)) and sum(seen) == 400_001
+
+
 def test_another_dictionary_is_refused(spark, small):
     path = public_tokenizers.path("byte_bpe_50k.json")
     folder = token_files.write(queries.table(spark, small, "documents").limit(30), path)

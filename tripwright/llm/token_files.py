@@ -14,7 +14,6 @@ all, ordered by text; an empty table gives no segments.
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,11 +36,11 @@ DICTIONARY_BYTES = 64 << 10
 SEGMENT_BYTES = 2 << 20
 END_ID = 0
 
-#: Unicode white space, the only characters at which the vocabulary's pattern may cut.
-_SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: No token begins with a visible character and goes on with white space.
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
+#: Unicode white space beyond ASCII in UTF-8, the only characters at which the vocabulary's pattern may cut.
+_WIDE_SPACES = [c.encode() for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))]
+_LEADS = np.zeros(256, dtype=bool)
+_LEADS[[c[0] for c in _WIDE_SPACES]] = True
+_COMPARED = 1 << 20
 
 SEGMENTS = (
     "part int, segment int, dictionary string, doc_id array<long>, offset array<long>, "
@@ -61,74 +60,149 @@ class Encoders:
         return self.encoder
 
 
+def _white(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space."""
+    white = W._WHITE[data]
+    at = np.flatnonzero(_LEADS[data[:-1]])
+    for c in _WIDE_SPACES:
+        here = at[at + len(c) <= len(data)]
+        for k, byte in enumerate(c):
+            here = here[data[here + k] == byte]
+        for k in range(len(c)):
+            white[here + k] = True
+    return white
+
+
+def _span_index(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of all spans' elements, span after span."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _same(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: np.ndarray) -> bool:
+    """Whether all spans of ``a`` equal those of ``b``; some bytes at a time."""
+    ends = np.cumsum(size)
+    done = 0
+    while done < len(size):
+        to = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + _COMPARED)))
+        own = slice(done, to)
+        if not np.array_equal(a[_span_index(at[own], size[own])], b[_span_index(bt[own], size[own])]):
+            return False
+        done = to
+    return True
+
+
+class _Known:
+    """Chunks, found by the hash of their bytes, with these bytes and their ids."""
+
+    def __init__(self) -> None:
+        self.hash, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.bytes, self.begin = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.hash)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Entries of ascending hashes; -1 where there is none."""
+        if not len(self):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self) - 1)
+        return np.where(self.hash[at] == hashes, self.entry[at], -1)
+
+    def add(self, hashes: np.ndarray, raw: np.ndarray, size: np.ndarray, ids: np.ndarray, n_ids: np.ndarray) -> None:
+        """New chunks, one after the other in ``raw`` and ``ids``; their hashes are not yet known."""
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hash, hashes[order])
+        self.entry = np.insert(self.entry, at, len(self) + order)
+        self.hash = np.insert(self.hash, at, hashes[order])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(size)])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n_ids)])
+        self.bytes, self.ids = np.concatenate([self.bytes, raw]), np.concatenate([self.ids, ids])
+
+
 class ChunkEncoder:
-    """Encodes texts by their chunks; the tokenizer sees each distinct chunk once, as long as it is kept."""
+    """Encodes texts by their chunks; the tokenizer sees each distinct chunk once, as long as it is kept.
+
+    A chunk is white space and the visible characters after it: no token begins with a visible character and goes on
+    with white space. Chunks are cut and looked up on bytes, with numpy; a hash finds a chunk and its bytes confirm it.
+    """
 
-    def __init__(self, tokenizer_file: str, most: int = 150_000) -> None:
+    def __init__(self, tokenizer_file: str, most: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
         self.most = most
-        self.forget()
-
-    def forget(self) -> None:
-        """What was learnt becomes the older generation, from which chunks in use come back."""
-        self.older = (getattr(self, "known", {}), getattr(self, "ids", None), getattr(self, "begin", None))
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(0, dtype=np.uint32)
-        self.begin = np.zeros(1, dtype=np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        easy, hard, back = [], [], []
-        before = self.older[0]
-        for c in new:
-            if c in before:
-                back.append(c)
-                continue
-            visible = c[1:2] if c[0] == " " else c[0]
-            plain = self.line is not None and visible and visible not in _SPACES and "<|" not in c
-            (easy if plain else hard).append(c)
-        # Easy chunks are encoded many at once, a line end between them: it always is a token of its own.
-        groups = [easy[i : i + 50] for i in range(0, len(easy), 50)]
-        found: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
-        if groups:
-            lists = [e.ids + [self.line] for e in self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)]
+        self.known, self.older = _Known(), _Known()
+
+    def _learn(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, hashes: np.ndarray, easy: np.ndarray) -> None:
+        # What an older generation knows comes back from it.
+        old = self.older.find(hashes)
+        back = old >= 0
+        if back.any():
+            e = old[back]
+            begin, own, first = self.older.begin[e], self.older.begin[e + 1] - self.older.begin[e], self.older.first[e]
+            n = self.older.first[e + 1] - first
+            self.known.add(hashes[back], self.older.bytes[_span_index(begin, own)], own, self.older.ids[_span_index(first, n)], n)
+        easy = easy & ~back
+        hard = ~easy & ~back
+        if easy.any():
+            # Easy chunks are encoded many at once, a line end between them: it always is a token of its own.
+            own = size[easy]
+            joined = np.full(int(own.sum()) + len(own), 10, dtype=np.uint8)
+            raw = data[_span_index(start[easy], own)]
+            ends = np.cumsum(own + 1)
+            joined[_span_index(ends - own - 1, own)] = raw
+            cuts = np.concatenate(([0], ends[49:-1:50], ends[-1:]))
+            groups = [joined[a : b - 1].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:])]
+            lists = [e.ids + [self.line] for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)]
             ids = np.fromiter(chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
             cut = np.flatnonzero(ids == self.line)
-            sizes.append(np.diff(cut, prepend=-1) - 1)
-            found.append(np.delete(ids, cut))
-        for e in self.tokenizer.encode_batch(hard, add_special_tokens=False):
-            found.append(np.array(e.ids, dtype=np.uint32))
-            sizes.append(np.array([len(e.ids)]))
-        if back:
-            at = np.fromiter(map(before.__getitem__, back), np.int64, len(back))
-            begin, size = self.older[2][at], self.older[2][at + 1] - self.older[2][at]
-            found.append(self.older[1][np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())])
-            sizes.append(size)
-        for chunk in chain(easy, hard, back):
-            self.known[chunk] = len(self.known)
-        self.ids = np.concatenate([self.ids, *found])
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            self.known.add(hashes[easy], raw, own, np.delete(ids, cut), np.diff(cut, prepend=-1) - 1)
+        if hard.any():
+            own = size[hard]
+            raw = data[_span_index(start[hard], own)]
+            texts = [data[a : a + n].tobytes().decode() for a, n in zip(start[hard].tolist(), own.tolist())]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            n = np.array([len(x) for x in lists], dtype=np.int64)
+            self.known.add(hashes[hard], raw, own, np.fromiter(chain.from_iterable(lists), np.uint32, int(n.sum())), n)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
-        cut = [_CHUNK.findall(t) for t in texts]
+        data, offsets = W.text_bytes(texts)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        white = _white(data)
+        begins = np.zeros(len(data) + 1, dtype=bool)
+        begins[1:-1] = white[1:] & ~white[:-1]
+        begins[offsets] = True
+        start = np.flatnonzero(begins[:-1])
+        size = np.diff(start, append=len(data))
+        hashes, example, which = np.unique(W.span_hashes(data, start, start + size), return_index=True, return_inverse=True)
         if len(self.known) > self.most:
-            self.forget()
+            self.known, self.older = _Known(), self.known
+        entry = self.known.find(hashes)
+        if (new := np.flatnonzero(entry < 0)).size:
+            at, own = start[example[new]], size[example[new]]
+            visible = np.where(data[at] == 32, np.minimum(at + 1, len(data) - 1), at)
+            plain = ~white[visible] & (visible < at + own)
+            special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
+            plain &= ~np.isin(example[new], np.searchsorted(start, special, side="right") - 1)
+            self._learn(data, at, own, hashes[new], plain if self.line is not None else np.zeros(len(new), bool))
+            entry = self.known.find(hashes)
+        entry = entry[which]
         known = self.known
-        new = list(set(chain.from_iterable(cut)).difference(known))
-        if new:
-            self._learn(new)
-        counts = np.array([len(c) for c in cut], dtype=np.int64)
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
-        begin, size = self.begin[at], self.begin[at + 1] - self.begin[at]
-        ends = np.cumsum(size)
-        ids = self.ids[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        first = np.concatenate(([0], np.cumsum(counts)))
-        return ids, np.concatenate(([0], ends))[first]
+        if not (np.array_equal(size, known.begin[entry + 1] - known.begin[entry]) and _same(data, start, known.bytes, known.begin[entry], size)):
+            # Chunks of one hash: the texts are encoded without looking chunks up.
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+            n = [len(x) for x in lists]
+            return np.fromiter(chain.from_iterable(lists), np.uint32, sum(n)), np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        first = known.first[entry]
+        n = known.first[entry + 1] - first
+        ends = np.concatenate(([0], np.cumsum(n)))
+        return known.ids[_span_index(first, n)], ends[np.searchsorted(start, offsets)]
 
 
 @dataclass(frozen=True)
@@ -154,7 +228,7 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> Dict
 
 
 def _with_end(encoder: ChunkEncoder, texts: pa.Array) -> list[np.ndarray]:
-    ids, begin = encoder.encode(texts.fill_null("").to_pylist())
+    ids, begin = encoder.encode(texts)
     return [np.append(ids[a:b], np.uint32(END_ID)) for a, b in zip(begin[:-1], begin[1:])]
 
 
@@ -200,7 +274,7 @@ def write(docs: DataFrame, tokenizer_file: str) -> str:
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _ARROW)], _NAMES)
 
         held = 0
-        for block in W.blocks(batches, "text", 1 << 20):
+        for block in W.blocks(batches, "text", 2 << 20):
             for i, ids in zip(W.column(block, "doc_id").to_pylist(), _with_end(encoder, W.column(block, "text"))):
                 frame = compress(ids.astype("<u4").tobytes())
                 doc_id.append(i), frames.append(frame), n_ids.append(len(ids))
