@@ -306,6 +306,19 @@ def test_pipeline_stages(spark, small):
     assert docs.where("not round_trip").count() == 0
 
 
+def test_the_mixing_stage_goes_by_what_texts_say(spark, tmp_path):
+    """One source and no language named: only the classifier tells the rare texts, which are to occur more often."""
+    rows = [(i, ("der hund und die katze " if i % 10 == 0 else "the dog and the cat ") * 3 + f"n{i}", "de" if i % 10 == 0 else "en") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("s"))
+    labels = docs.where("doc_id < 200").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    unnamed = docs.withColumn("lang", F.when(F.col("doc_id") < 200, F.col("lang")))
+    left = Counter(r.doc_id for r in corpus_pipeline.mixed(spark, unnamed, str(tmp_path)).collect())
+    assert len(left) == 600
+    rare, common = [np.mean([left[i] for i in range(600) if (i % 10 == 0) == x]) for x in (True, False)]
+    assert 1.5 < rare / common < 2.5 and np.isclose(common, 1, atol=0.1)
+
+
 def test_stages_bear_odd_rows(spark, small, odd, none):
     for given in (odd.select("doc_id", "text", "lang", "source", "n_chars"), none):
         docs = given
