@@ -74,6 +74,23 @@ def test_phrases_of_odd_and_empty_tables(odd, none):
     assert mined(odd, least=10**6) == []
 
 
+def test_candidates_are_the_frequent_phrases_however_large_the_corpus(spark, monkeypatch):
+    """As many words as fill counters of fixed size many times over: tries get no phrase that is not frequent."""
+    monkeypatch.setattr(phrases, "BITS", 15)
+    random, least = np.random.default_rng(9), 4
+    texts = [" ".join(f"w{k}" for k in random.integers(0, 700, 500)) + ". one two three four" for _ in range(400)]
+    got, tries = [], phrases.tries
+    monkeypatch.setattr(phrases, "tries", lambda grams, per_trie: got.append(grams.count()) or tries(grams, per_trie))
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(3)
+    found, _, _ = phrases.frequent(docs, least=least)
+    counts = Counter(
+        tuple(words[i : i + k]) for t in texts for piece in t.split(". ") for words in [piece.split()] for k in range(1, 6) for i in range(len(words) - k + 1)
+    )
+    kept = Counter((len(words), a) for words, a in counts.items() if a >= least)
+    assert Counter((r["size"], r["f"]) for r in found.collect()) == kept
+    assert got == [sum(n for (size, _), n in kept.items() if size > 1)] and got[0] > 100
+
+
 def test_trie_counts_like_a_dictionary():
     random = np.random.default_rng(2)
     codes = random.integers(1, 700, 20_000, dtype=np.uint64) ** np.uint64(3)

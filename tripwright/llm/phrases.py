@@ -1,15 +1,17 @@
 """Phrase collocation mining: broadcast double-array tries of Apriori-safe candidates.
 
-One scan turns the texts into blocks of 64-bit word names (language and word; 0 parts pieces), counts the words, and
-hashes all pairs of neighbours into ``2 ** BITS`` counters that are summed over all blocks. Then, for phrases of 2, 3, ... words,
-a pass over the blocks notes the different phrases whose words are frequent, whose shorter parts and which themselves lie in
-counters of ``least`` at least, and fills the counters of phrases one word longer that have such parts. No frequent phrase
-is lost: all its parts are as frequent, and a counter holds no less than each phrase in it. These are the candidates.
+One scan turns the texts into blocks of 64-bit word names (language and word; 0 parts pieces) and counts the words. Then, for
+phrases of 2, 3, ... words, a pass over the blocks counts the hashes of phrases whose parts one word shorter may be frequent:
+tasks hand on hashes with counts, and each bucket of hashes sums its own, so there are as many counters as hashes, however
+large the corpus is. Hashes that occur ``least`` times are live. No frequent phrase is lost: all its parts are as frequent, and
+a hash counts no less than each phrase that has it. A last pass notes the different phrases of live hashes, the candidates;
+all passes look hashes up in bitmaps that grow with the number of live ones, and what a bitmap lets pass wrongly goes where
+the noted phrases meet the live hashes themselves. So there are hardly more candidates than frequent phrases.
 
 Candidates of all lengths are dealt to tries of ``PER_TRIE`` phrases, each built as a double array in one task. A trie is
 broadcast (its size is bounded, however many there are) and all text positions walk it at once, level by level, with
-numpy; accepting states are counted with ``bincount``, and the shards' counts are summed. The tries decide exactly; the
-counters, bitmaps of fixed size, only let phrases too many pass. Each trie is a pass of its own.
+numpy; accepting states are counted with ``bincount``, and the shards' counts are summed. The tries decide exactly. Each trie
+is a pass of its own; its counts are stored and its broadcast given up before the next one, so the driver holds one trie.
 A trie's symbols are bytes of the rank its words have in the trie, so a node has at most 256 children.
 
 Word names are checked: if two words of the corpus share a name, all is named anew with another seed. Scores are whole
@@ -28,22 +30,27 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm import words as W
+from tripwright.llm.packing import pack, pack_sorted, unpack, unpack_sorted
 from tripwright.llm.shared import receive, send
 from tripwright.llm.tables import written
 from tripwright.session import new_workspace
 
 LONGEST = 5
 LEAST = 100
+#: Bitmaps have 2 ** BITS bits at least, and 8 for each hash in them.
 BITS = 23
 PER_TRIE = 1 << 18
-#: Buckets of phrases by hash, in which those of all tasks meet.
-BUCKETS = 256
-#: Words that a task counts before it hands their counts on, and text bytes handled at once.
+#: 2 ** BUCKET_BITS buckets by the highest bits of a hash, in which the phrases and counts of all tasks meet. Counts go by 48 bits of a hash.
+BUCKET_BITS = 9
+_CUT_OFF = 16
+#: Words that a task counts before it hands their counts on, hashes likewise, and text bytes handled at once.
 FLUSH = 1 << 19
+TALLY = 1 << 20
 BLOCK_BYTES = 1 << 20
 #: Codes in a row, and in a stretch of rows that is worked on at once.
 ROW_CODES = 1 << 14
@@ -55,7 +62,6 @@ _GAP = _CUT.copy()
 _GAP[[32, 9]] = True
 _ENCODED = pa.schema([
     ("codes", pa.binary()), ("name", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()),
-    ("chunk", pa.int64()), ("counts", pa.binary()),
 ])
 
 
@@ -112,12 +118,12 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.tobytes()), pa.py_buffer(body.tobytes()))
 
 
-def encode(docs: DataFrame, least: int, seed: int = 0) -> DataFrame:
-    """Rows with ``codes`` (names of a block's words, 8 bytes each, 0 between pieces), rows with a word's ``name``,
-    ``lang``, ``word`` and its count ``n`` in a task, and rows with a ``chunk`` of counters of two neighbours each."""
+def encode(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """Rows with ``codes`` (names of a block's words, 8 bytes each, 0 between pieces), and rows with a word's ``name``,
+    ``lang``, ``word`` and its count ``n`` in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, pairs = _Counts(), Counters(least)
+        held = _Counts()
 
         def row(**columns: pa.Array) -> pa.RecordBatch:
             n = len(next(iter(columns.values())))
@@ -140,19 +146,15 @@ def encode(docs: DataFrame, least: int, seed: int = 0) -> DataFrame:
                 raise ValueError("two words of a block share a name")
             held.add(different, count, lambda new: (lang.dictionary.take(pa.array(of_doc[doc[first[new]]])), _strings(data, start[first[new]], end[first[new]])))
             breaks = np.flatnonzero(piece[1:] != piece[:-1]) + 1
-            codes = np.insert(name, breaks, 0)
-            pairs.add(_longer(codes, *_first(codes))[1])
-            yield row(codes=_rows_of(codes))
+            yield row(codes=_rows_of(np.insert(name, breaks, 0)))
             if len(held.count) > FLUSH:
                 yield row(**held.rows())
                 held = _Counts()
         if len(held.count):
             yield row(**held.rows())
-        for chunk, counts in pairs.chunks():
-            yield row(chunk=chunk, counts=counts)
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    return rows.mapInArrow(run, "codes binary, name long, lang string, word string, n long, chunk long, counts binary")
+    return rows.mapInArrow(run, "codes binary, name long, lang string, word string, n long")
 
 
 def _rows_of(codes: np.ndarray) -> pa.Array:
@@ -172,12 +174,13 @@ def _spans(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # Phrases that may be frequent
 
 
-def _bucket(names: np.ndarray) -> np.ndarray:
-    return (names >> np.uint64(64 - BITS)).astype(np.int64)
+def _bits(n: int) -> int:
+    """The power of two of a bitmap's size, for n hashes."""
+    return max(BITS, (8 * n).bit_length())
 
 
 def _has(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
-    at = _bucket(names)
+    at = (names >> np.uint64(65 - (8 * len(bits)).bit_length())).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
@@ -194,62 +197,113 @@ def _longer(codes: np.ndarray, at: np.ndarray, value: np.ndarray, size: int = 1)
     return at, W.mix(value * np.uint64(W._BASE) + codes[at + size])
 
 
-def eligible(codes: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the phrases of ``len(bits)`` words that may be frequent, as may all their parts."""
+def eligible_of_each(codes: np.ndarray, bits: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """1, 2, ... ``len(bits)`` with places and hashes of the phrases of so many words that may be frequent, as may all their parts."""
     at, value = _first(codes)
     for size, own in enumerate(bits, 1):
         live = _has(own, value)
         at, value = at[live], value[live]
+        yield size, at, value
         if size < len(bits):
             at, value = _longer(codes, at, value, size)
+
+
+def eligible(codes: np.ndarray, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``len(bits)`` words."""
+    for _, at, value in eligible_of_each(codes, bits):
+        pass
     return at, value
 
 
-class Counters:
-    """``2 ** BITS`` counters of hashes, in chunks that say of each counter no more than ``least``."""
+def _tallied(held: list[np.ndarray]) -> pa.RecordBatch:
+    """Hashes as a row for each bucket that has any: the different ones, ascending, and how often each occurs."""
+    values = np.sort(np.concatenate(held) >> np.uint64(_CUT_OFF))
+    first = W.runs(values)
+    hashes, counts = values[first], np.diff(np.append(first, len(values)))
+    bucket = (hashes >> np.uint64(64 - _CUT_OFF - BUCKET_BITS)).astype(np.int32)
+    at = W.runs(bucket)
+    parts = list(zip(np.split(hashes, at[1:]), np.split(counts, at[1:]), strict=True))
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket[at]), pa.array([pack_sorted(h) for h, _ in parts], pa.binary()), pa.array([pack(n, "<u4") for _, n in parts], pa.binary()),
+    ], ["bucket", "hashes", "counts"])
 
-    def __init__(self, least: int) -> None:
-        self.least, self.counts = least, None
 
-    def add(self, hashes: np.ndarray) -> None:
-        if len(hashes):
-            if self.counts is None:
-                self.counts = np.zeros(1 << BITS, dtype=np.uint32)
-            np.add.at(self.counts, _bucket(hashes), np.uint32(1))
+def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes, ascending, and the sum of each one's counts."""
+    every = np.concatenate(hashes)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = W.runs(every)
+    return every[first], np.add.reduceat(np.concatenate(counts)[order], first) if len(first) else np.zeros(0, np.int64)
 
-    def chunks(self) -> Iterator[tuple[pa.Array, pa.Array]]:
-        kind = np.min_scalar_type(self.least)
-        for chunk in range(0 if self.counts is None else len(self.counts) // _CHUNK):
-            part = np.minimum(self.counts[chunk * _CHUNK : (chunk + 1) * _CHUNK], self.least)  # that is enough alone
-            if part.any():
-                yield pa.array([chunk], pa.int64()), pa.array([zstandard.compress(part.astype(kind).tobytes(), 1)], pa.binary())
 
+def live(codes: DataFrame, bits: list[np.ndarray], least: int) -> DataFrame:
+    """``bucket``, ``live`` and ``n``: the hashes, ascending, of phrases of ``len(bits) + 1`` words that occur ``least`` times
+    where both parts may be frequent; and how many these are."""
+    sent, size = send(codes.sparkSession.sparkContext, bits), len(bits)
 
-def bitmap(chunks: DataFrame, least: int) -> np.ndarray:
-    """Which counters reach ``least``, summed over all rows ``chunk``, ``counts``: ``2 ** BITS / 8`` bytes."""
-    kind = np.min_scalar_type(least)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held, waiting = receive(sent), [], 0
+        for block in _each(batches):
+            held.append(_longer(block, *eligible(block, own), size)[1])
+            waiting += len(held[-1])
+            if waiting > TALLY:
+                yield _tallied(held)
+                held, waiting = [], 0
+        if waiting:
+            yield _tallied(held)
 
     def total(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(_CHUNK, dtype=np.int64)
+        hashes, counts, waiting = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         for batch in groups:
-            for raw in batch.column(1):
-                sums += np.frombuffer(zstandard.decompress(raw.as_py()), kind)
-        packed = np.packbits(sums >= least, bitorder="little")
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([packed.tobytes()], pa.binary())], ["chunk", "bits"])
-
-    return _joined(chunks.groupBy("chunk").applyInArrow(total, "chunk long, bits binary"))
+            for i in range(batch.num_rows):
+                hashes.append(unpack_sorted(batch.column("hashes")[i].as_py()))
+                counts.append(unpack(batch.column("counts")[i].as_py(), "u").astype(np.int64))
+                waiting += len(hashes[-1])
+                if waiting > max(FLUSH, len(hashes[0])):
+                    known, sums = _summed(hashes, counts)
+                    hashes, counts, waiting = [known], [sums], 0
+        known, sums = _summed(hashes, counts)
+        found = known[sums >= least]
+        some = [found] if len(found) else []
+        yield pa.RecordBatch.from_arrays([
+            pa.array([key[0].as_py()] * len(some), pa.int32()), pa.array([pack_sorted(f) for f in some], pa.binary()), pa.array([len(f) for f in some], pa.int64()),
+        ], ["bucket", "live", "n"])
+
+    tallies = codes.mapInArrow(run, "bucket int, hashes binary, counts binary")
+    found = written(tallies.groupBy("bucket").applyInArrow(total, "bucket int, live binary, n long"), "phrase-live")
+    sent.destroy()
+    return found
+
+
+def bitmap(found: DataFrame) -> np.ndarray:
+    """The hashes of ``live`` by their highest bits."""
+    size = _bits(found.agg(F.sum("n")).first()[0] or 0)
 
-
-def _joined(chunks: DataFrame) -> np.ndarray:
-    out = np.zeros((1 << BITS) // 8, dtype=np.uint8)
-    for row in chunks.collect():
-        out[row[0] * (_CHUNK // 8) : (row[0] + 1) * (_CHUNK // 8)] = np.frombuffer(row[1], np.uint8)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for raw in batch.column("live"):
+                flags = np.zeros(1 << (size - BUCKET_BITS), dtype=np.uint8)
+                flags[(unpack_sorted(raw.as_py()) >> np.uint64(64 - _CUT_OFF - size)).astype(np.int64) % len(flags)] = 1
+                packed.append(np.packbits(flags, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(packed, pa.binary())], ["chunk", "bits"])
+
+    return _joined(found.select("bucket", "live").mapInArrow(run, "chunk int, bits binary"), size)
+
+
+def _joined(chunks: DataFrame, size: int) -> np.ndarray:
+    """A bitmap of 2 ** size bits of parts of equal length."""
+    out = np.zeros((1 << size) // 8, dtype=np.uint8)
+    for chunk, bits in chunks.collect():
+        out[chunk * len(bits) : (chunk + 1) * len(bits)] = np.frombuffer(bits, np.uint8)
     return out
 
 
 def bitmap_of(names: DataFrame) -> np.ndarray:
-    """Counters that hold one of the names (one column of longs)."""
-    places = names.select(F.shiftrightunsigned(F.col(names.columns[0]), 64 - BITS).alias("p")).distinct()
+    """The names (one column of longs) by their highest bits."""
+    size = _bits(names.count())
+    places = names.select(F.shiftrightunsigned(F.col(names.columns[0]), 64 - size).alias("p")).distinct()
 
     def run(group: pa.Table) -> pa.Table:
         p = group["p"].to_numpy()
@@ -257,7 +311,7 @@ def bitmap_of(names: DataFrame) -> np.ndarray:
         flags[p % _CHUNK] = 1
         return pa.table({"chunk": pa.array([int(p[0]) // _CHUNK]), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
-    return _joined(places.withColumn("chunk", F.floor(F.col("p") / _CHUNK)).groupBy("chunk").applyInArrow(run, "chunk long, bits binary"))
+    return _joined(places.withColumn("chunk", F.floor(F.col("p") / _CHUNK)).groupBy("chunk").applyInArrow(run, "chunk long, bits binary"), size)
 
 
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -272,73 +326,92 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             at = to
 
 
-def candidates(codes: DataFrame, bits: list[np.ndarray], least: int, more: bool) -> DataFrame:
-    """Rows of ``bucket`` and ``grams``, the different phrases of ``len(bits)`` words that may be frequent, 8 bytes a word and
-    one after the other; and with ``more`` the counters of phrases one word longer, ``chunk`` and ``counts``.
-
-    A task notes a phrase once while it holds it, and hands on a row for each of ``BUCKETS`` buckets of ``FLUSH`` phrases.
+class _Seen:
+    """What a task has noted of the phrases of one length: a phrase is handed on once while it is held."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.held = size, []
+        self.seen, self.told = np.zeros(0, np.uint64), np.zeros((0, size), np.uint64)
+
+    def add(self, block: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
+        hashes, first, turn = np.unique(value, return_index=True, return_inverse=True)
+        rows = block[at[:, None] + np.arange(self.size)]
+        other = (rows != rows[first][turn]).any(axis=1)  # phrases of one hash that differ go by themselves
+        place = np.searchsorted(self.seen, hashes)
+        new = np.append(self.seen, 0)[place] != hashes if len(self.seen) else np.ones(len(hashes), dtype=bool)
+        new |= place == len(self.seen)
+        changed = ~new
+        changed[changed] = (self.told[place[changed]] != rows[first[changed]]).any(axis=1)
+        self.held.append((np.concatenate([hashes[new | changed], value[other]]), np.concatenate([rows[first[new | changed]], rows[other]])))
+        if len(self.seen) > FLUSH // 4:
+            self.seen, self.told = hashes, rows[first]
+        else:
+            self.seen, self.told = np.insert(self.seen, place[new], hashes[new]), np.insert(self.told, place[new], rows[first[new]], axis=0)
+
+    def packed(self, more: int = -1) -> Iterator[pa.RecordBatch]:
+        """What is held, if it is more than this, as a row for each bucket that has any; equal phrases share a bucket."""
+        if sum(len(h) for h, _ in self.held) <= max(more, 0):
+            return
+        bucket = (np.concatenate([h for h, _ in self.held]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket, rows = bucket[order], np.concatenate([r for _, r in self.held])[order]
+        first = W.runs(bucket)
+        grams = pa.array([part.tobytes() for part in np.split(rows, first[1:])], pa.binary())
+        self.held = []
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), self.size, np.int32)), pa.array(bucket[first]), grams], ["size", "bucket", "grams"])
+
+
+def candidates(codes: DataFrame, bits: list[np.ndarray], found: DataFrame) -> DataFrame:
+    """``gram``: each phrase of two to ``len(bits)`` words whose hash is live, once, 8 bytes a word.
+
+    found: the live hashes of phrases of each ``size``, by ``bucket``. A task hands on a row for each bucket of a quarter of ``FLUSH`` phrases, for each size by itself.
     """
-    sent, size = send(codes.sparkSession.sparkContext, bits), len(bits)
+    sent = send(codes.sparkSession.sparkContext, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counters, held = receive(sent), Counters(least), []
-        seen, told = np.zeros(0, np.uint64), np.zeros((0, size), np.uint64)  # what this task has noted, by hash
+        own = receive(sent)
+        noted = {size: _Seen(size) for size in range(2, len(own) + 1)}
         for block in _each(batches):
-            at, value = eligible(block, own)
-            hashes, first, turn = np.unique(value, return_index=True, return_inverse=True)
-            rows = block[at[:, None] + np.arange(size)]
-            other = (rows != rows[first][turn]).any(axis=1)  # phrases of one hash that differ go by themselves
-            if more:
-                counters.add(_longer(block, at, value, size)[1])
-            place = np.searchsorted(seen, hashes)
-            new = np.append(seen, 0)[place] != hashes if len(seen) else np.ones(len(hashes), dtype=bool)
-            new |= place == len(seen)
-            changed = ~new
-            changed[changed] = (told[place[changed]] != rows[first[changed]]).any(axis=1)
-            held.append((np.concatenate([hashes[new | changed], value[other]]), np.concatenate([rows[first[new | changed]], rows[other]])))
-            if len(seen) > FLUSH:
-                seen, told = hashes, rows[first]
-            else:
-                seen, told = np.insert(seen, place[new], hashes[new]), np.insert(told, place[new], rows[first[new]], axis=0)
-            if sum(len(h) for h, _ in held) > FLUSH:
-                yield _packed(held)
-                held = []
-        if held:
-            yield _packed(held)
-        for chunk, counts in counters.chunks():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), chunk, counts], _NOTED)
-
-    return written(codes.mapInArrow(run, "bucket int, grams binary, chunk long, counts binary"), "phrase-candidates")
-
-
-_NOTED = ["bucket", "grams", "chunk", "counts"]
-
-
-def _packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Hashes and phrases as a row for each bucket that has any; equal phrases share a bucket."""
-    bucket = (np.concatenate([h for h, _ in held]) % np.uint64(BUCKETS)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    bucket, rows = bucket[order], np.concatenate([r for _, r in held])[order]
-    first = W.runs(bucket)
-    grams = pa.array([part.tobytes() for part in np.split(rows, first[1:])] if len(first) else [], pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), grams, pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.binary())], _NOTED)
-
-
-def different(noted: DataFrame) -> DataFrame:
-    """``gram``: each phrase once, of rows ``size``, ``bucket`` and ``grams``."""
+            for size, at, value in eligible_of_each(block, own):
+                if size > 1:
+                    noted[size].add(block, at, value)
+                    yield from noted[size].packed(FLUSH // 4)
+        for seen in noted.values():
+            yield from seen.packed()
+
+    noted = codes.mapInArrow(run, "size int, bucket int, grams binary")
+    out = written(different(noted, found), "phrase-candidates")
+    sent.destroy()
+    return out
+
+
+def different(noted: DataFrame, found: DataFrame) -> DataFrame:
+    """``gram``: each phrase once, of rows ``size``, ``bucket`` and ``grams``, whose hash is in ``live`` of its ``size`` and ``bucket``."""
 
     def run(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = key[0].as_py()
-        known, held, waiting = np.zeros((0, size), np.uint64), [], 0
+        known, held, waiting, alive = np.zeros((0, size), np.uint64), [], 0, [np.zeros(0, np.uint64)]
         for batch in groups:
-            for raw in batch.column(batch.schema.get_field_index("grams")):
+            alive += [unpack_sorted(raw.as_py()) for raw in batch.column(batch.schema.get_field_index("live")) if raw.is_valid]
+            for raw in batch.column(batch.schema.get_field_index("grams")).drop_null():
                 held.append(np.frombuffer(raw.as_py(), np.uint64).reshape(-1, size))
                 waiting += len(held[-1])
-                if waiting > FLUSH:
+                if waiting > max(FLUSH, len(known)):
                     known, held, waiting = _once(np.concatenate([known, *held])), [], 0
-        yield pa.RecordBatch.from_arrays([_grams(_once(np.concatenate([known, *held])))], ["gram"])
+        known = _once(np.concatenate([known, *held]))
+        known = known[np.isin(_hashes(known) >> np.uint64(_CUT_OFF), np.concatenate(alive))]
+        yield pa.RecordBatch.from_arrays([_grams(known)], ["gram"])
+
+    both = noted.withColumn("live", F.lit(None).cast("binary")).unionByName(found.withColumn("grams", F.lit(None).cast("binary")))
+    return both.groupBy("size", "bucket").applyInArrow(run, "gram binary")
+
 
-    return noted.groupBy("size", "bucket").applyInArrow(run, "gram binary")
+def _hashes(rows: np.ndarray) -> np.ndarray:
+    """Of phrases as rows of names, the hashes that ``_longer`` gives."""
+    value = rows[:, 0]
+    for j in range(1, rows.shape[1]):
+        value = W.mix(value * np.uint64(W._BASE) + rows[:, j])
+    return value
 
 
 def _once(rows: np.ndarray) -> np.ndarray:
@@ -484,15 +557,25 @@ def tries(grams: DataFrame, per_trie: int = PER_TRIE) -> tuple[DataFrame, int]:
     return written(dealt.groupBy("shard").applyInArrow(run, "shard int, row long, gram binary, trie binary"), "phrase-tries"), shards
 
 
-def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shard: int, least: int) -> DataFrame:
-    """``shard``, ``row`` and ``f``, the occurrences of each candidate of this shard that has ``least``.
+def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shards: int, least: int) -> DataFrame:
+    """``shard``, ``row`` and ``f``, the occurrences of each candidate that has ``least``: a pass and a stored table for each shard."""
+    spark = codes.sparkSession
+    path, filters = new_workspace(spark, "phrase-counts"), send(spark.sparkContext, bits)
+    for shard in range(shards):
+        trie = bytes(built.where((F.col("shard") == shard) & (F.col("row") == -1)).select("trie").first()[0])
+        sent = send(spark.sparkContext, Trie.from_bytes(trie))
+        counted_by(codes, filters, sent, least).write.parquet(f"{path}/shard={shard}")
+        sent.destroy()
+    filters.destroy()
+    return spark.read.schema("row long, f long, shard int").parquet(path)
+
+
+def counted_by(codes: DataFrame, filters: Broadcast, sent: Broadcast, least: int) -> DataFrame:
+    """``row`` and ``f`` of the phrases of a trie that occur ``least`` times.
 
-    bits: of one and two words; walks begin only where these allow a phrase to begin. Counts travel as arrays, a chunk
-    of accepting states at a time, and are summed chunk by chunk.
+    filters: bitmaps of one and two words; walks begin only where these allow a phrase to begin. Counts travel as arrays, a
+    chunk of accepting states at a time, and are summed chunk by chunk.
     """
-    context = codes.sparkSession.sparkContext
-    trie = bytes(built.where((F.col("shard") == shard) & (F.col("row") == -1)).select("trie").first()[0])
-    sent, filters = send(context, Trie.from_bytes(trie)), send(context, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known, counts = receive(sent), receive(filters), np.zeros(0, np.int64)
@@ -516,8 +599,7 @@ def counted(codes: DataFrame, bits: list[np.ndarray], built: DataFrame, shard: i
         found = np.flatnonzero(sums >= least)
         yield pa.RecordBatch.from_arrays([pa.array(found + key[0].as_py() * _CHUNK), pa.array(sums[found])], ["row", "f"])
 
-    sums = codes.mapInArrow(run, "chunk long, counts binary").groupBy("chunk").applyInArrow(total, "row long, f long")
-    return sums.select(F.lit(shard).alias("shard"), "row", "f")
+    return codes.mapInArrow(run, "chunk long, counts binary").groupBy("chunk").applyInArrow(total, "row long, f long")
 
 
 # Frequent phrases and their scores
@@ -535,7 +617,7 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_tr
     ``key`` (a word's name as bytes), ``lang`` and ``word`` of all words that do; and ``n``, all words of each ``lang``."""
     spark = docs.sparkSession
     for seed in range(64):
-        encoded = _stored(encode(docs, least, seed), "phrase-words")
+        encoded = _stored(encode(docs, seed), "phrase-words")
         rows = encoded.where(F.col("name").isNotNull())
         other = F.xxhash64("lang", "word")  # two words of one name differ in this
         words = written(rows.groupBy("name").agg(F.sum("n").alias("n"), F.min(other).alias("a"), F.max(other).alias("b")), "phrase-vocabulary")
@@ -549,20 +631,20 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, per_tr
     names = rows.select("name", "lang", "word").distinct().join(common.select("name"), "name", "left_semi")
     names = names.select(_little_endian("name").alias("key"), "lang", "word")
     singles = common.select(_little_endian("name").alias("gram"), F.lit(1).alias("size"), F.col("n").alias("f"))
-    bits, noted, chunks = [bitmap_of(common.select("name"))], [], encoded
+    bits, found = [bitmap_of(common.select("name"))], []
     for size in range(2, longest + 1):
-        bits.append(bitmap(chunks.where(F.col("chunk").isNotNull()).select("chunk", "counts"), least))
+        alive = live(codes, bits, least)
+        bits.append(bitmap(alive))
         if not bits[-1].any():
             break
-        chunks = candidates(codes, bits, least, size < longest)
-        noted.append(chunks.where(F.col("grams").isNotNull()).select(F.lit(size).alias("size"), "bucket", "grams"))
-    if not noted:
+        found.append(alive.select(F.lit(size).alias("size"), "bucket", "live"))
+    if not found:
         return singles, names, totals
-    built, shards = tries(written(different(reduce(DataFrame.unionByName, noted)), "phrase-candidates"), per_trie)
-    counts = [counted(codes, bits[:2], built, s, least) for s in range(shards)]
-    if not counts:
+    built, shards = tries(candidates(codes, bits[: len(found) + 1], reduce(DataFrame.unionByName, found)), per_trie)
+    if not shards:
         return singles, names, totals
-    kept = built.select("shard", "row", "gram").join(reduce(DataFrame.unionByName, counts), ["shard", "row"])
+    counts = counted(codes, bits[:2], built, shards, least)
+    kept = built.select("shard", "row", "gram").join(counts, ["shard", "row"])
     kept = written(kept.select("gram", (F.length("gram") / 8).cast("int").alias("size"), "f"), "phrase-frequent")
     return singles.unionByName(kept), written(names, "phrase-names"), totals
 
