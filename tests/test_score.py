@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -9,6 +10,7 @@ from tripwright.functions import features as X
 from tripwright.functions import text
 from tripwright.operators import score
 from tripwright.operators.model import LinearModel
+from tripwright.session import shared_dir
 from tripwright.schemas import SCORING_INPUT
 
 MODEL = LinearModel([3.0, 1.0, 2.0, 4.0, 0.5, 0.25, 6.0, 0.125, 20.0], [1.0] * 8, [2.0] * 8)
@@ -188,3 +190,62 @@ def test_request_without_arrival_is_computed(spark):
     answers, entries = score.score_by_time(sent, MODEL, 2, "id", "at")
     found = {r.id: (r.cached, r.model_version, r.duration_min is None) for r in answers.collect()}
     assert found == {0: (False, 2, False), 1: (False, 2, False)} and entries.count() == 1
+
+
+def _tables(spark):
+    folder = f"{shared_dir(spark)}/tripwright"
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+@pytest.mark.parametrize("part, remembered", [(10**9, False), (60, True)])
+def test_keys_in_parts_leave_answers_only(spark, monkeypatch, part, remembered):
+    """Sparse and crowded keys, ties, errors, no times, earlier entries: as one by one; no table but answers and entries stays."""
+    monkeypatch.setattr(score, "PART_REQUESTS", part, raising=False)
+    draw, start, rows = random.Random(11), datetime(2015, 1, 10, 9), []
+    for i in range(400):
+        key = 0 if i % 2 else draw.randrange(1, 12)
+        at = None if i % 97 == 5 else start + timedelta(seconds=draw.randrange(0, 4000 if key else 2000))
+        rows.append((i, None if i % 50 == 7 else key + 1.0, at))
+    frame = spark.createDataFrame(rows, "id bigint, trip_distance double, at timestamp")
+    plain = {r.id: r for r in score.with_cache_key(score.score(frame, MODEL, 2)).collect()}
+    keys = sorted({r.cache_key for r in plain.values() if r.cache_key})
+    memo = {keys[0]: (111.0, start + timedelta(seconds=30)), keys[1]: (222.0, start - timedelta(hours=1)), "other": (3.0, start)} if remembered else {}
+    known = [(k, m, at) for k, (m, at) in memo.items()]
+    stored = spark.createDataFrame(known, "cache_key string, duration_min double, scored_at timestamp") if remembered else None
+    before = _tables(spark)
+    answers, newest = score.score_by_time(frame.repartition(5), MODEL, 2, "id", "at", stored)
+    found = {r.id: (r.duration_min, r.cached, r.model_version) for r in answers.collect()}
+    assert len(found) == answers.count() == len(rows)
+    assert {n.rsplit("-", 1)[0] for n in _tables(spark) - before} <= {"memo-answers", "memo-newest", "per-key"}
+    wanted, live = {}, dict(memo)
+    for i, distance, at in sorted(rows, key=lambda r: (r[2] or start, r[0])):
+        own, key = plain[i].duration_min, plain[i].cache_key
+        if distance is None:
+            wanted[i] = (None, False, None)
+        elif at is None:
+            wanted[i] = (own, False, 2)
+        elif key in live and at <= live[key][1] + timedelta(minutes=5):
+            wanted[i] = (live[key][0], True, -1)
+        else:
+            live[key] = (own, at)
+            wanted[i] = (own, False, 2)
+    assert found == wanted and {c for _, c, _ in found.values()} == {True, False}
+    assert {r.cache_key: (r.duration_min, r.scored_at) for r in newest.collect()} == live
+
+
+def test_sparse_times_take_no_rounds(spark):
+    """Times further apart than an entry's life begin entries by themselves; only unbroken stretches get pointers."""
+    life = score.MEMO_SECONDS * 1_000_000
+    rows = [(k, i * 3 * life + k) for k in range(3) for i in range(300)]
+    found, rounds = score.entry_times(spark.createDataFrame(rows, "cache_key bigint, t bigint"))
+    assert sorted(map(tuple, found.select("cache_key", "t").collect())) == sorted(rows) and rounds == 0
+
+
+def test_numbers_of_keys_are_checked(spark, monkeypatch):
+    """Numbers that two keys share are not used."""
+    frame = spark.range(3000).selectExpr("cast(id as string) as cache_key")
+    number, short = score._key_number([frame]), F.pmod
+    assert frame.select(number.alias("k")).distinct().count() == 3000
+    monkeypatch.setattr(score.F, "pmod", lambda a, b: short(a, F.lit(1000)))
+    number = score._key_number([frame])
+    assert frame.select(number.alias("k")).distinct().count() == 3000

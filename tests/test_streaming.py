@@ -9,6 +9,7 @@ from test_score import MODEL, memo_brute_force
 
 from tripwright.operators import latency, profile, score
 from tripwright.sources.lineitem_trips import CSV_HEADER
+from tripwright.session import shared_dir
 from tripwright.streaming import jobs
 
 
@@ -194,3 +195,15 @@ def test_latency_of_logged_scores(spark):
     log = score.prediction_log(score.score(arrived, MODEL, 5), clock, "at")
     assert [r.latency_ms for r in log.collect()] == [500] * 3
     assert log.schema["latency_ms"].dataType.simpleString() == "bigint"
+
+
+def test_memo_stream_leaves_answers_and_state_only(spark, folder):
+    """What a batch worked with goes with it, and the shared folder does not grow by its requests."""
+    rows = [(i, 1.0 + i % 7, datetime(2015, 1, 10, 9, i % 50)) for i in range(200)]
+    write_files(spark.createDataFrame(rows, "id bigint, trip_distance double, at timestamp"), f"{folder}/in", "id", 1)
+    shared = f"{shared_dir(spark)}/tripwright"
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    stream = jobs.read_parquet_stream(spark, f"{folder}/in", 1)
+    jobs.run_to_end(jobs.memo_stream(stream, MODEL, 2, "id", "at", folder, f"{folder}/check"))
+    assert spark.read.parquet(f"{folder}/answers").count() == 200
+    assert [n for n in set(os.listdir(shared)) - before if n.startswith("memo-")] == []

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.functions import text as X
 from tripwright.functions.features import raw_features
-from tripwright.operators.hot_keys import join_per_key
+from tripwright.operators.hot_keys import HOT_SHARE, join_per_key
 from tripwright.operators.model import LinearModel
 from tripwright.schemas import SCORING_INPUT
-from tripwright.session import written
+from tripwright.session import Scratch
 
 # --- Fixed values: texts of the two request errors -------------------------------------------
 MISSING, INVALID = "trip_distance: missing value", "trip_distance: invalid value"
 # --- end of fixed values ---------------------------------------------------------------------
 
 MEMO_SECONDS = 300
+# Requests whose keys are worked on at once, and the most parts of keys.
+PART_REQUESTS, MOST_PARTS = 1 << 21, 16
 CACHED_VERSION = -1
 _INPUTS = SCORING_INPUT.names
+_LIFE = MEMO_SECONDS * 1_000_000
+_SLOT = f"({{0}} - pmod({{0}}, {_LIFE})) div {_LIFE}"
 
 # Decimals of the quantised inputs; requests equal after rounding share one answer.
 KEY_DECIMALS = {"trip_distance": 3, "pickup_lat": 4, "pickup_lon": 4}
@@ -155,6 +161,7 @@ def score_by_time(
     request_id: str,
     arrived_at: str,
     memo: DataFrame | None = None,
+    keep: Scratch | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Answers by the memo as it stands when each request arrives, and the newest entry per key.
 
@@ -166,109 +173,179 @@ def score_by_time(
     Entries are found by pointer doubling (see ``entry_times``): the rounds grow with the logarithm of
     a key's entries, so a backlog of a month costs little more than a batch of minutes. A request
     without arrival time is computed by itself.
+
+    Keys do not depend on each other, so a large table's are worked on in parts: beside the requests and the
+    answers, which are stored once each, there is never more than one part's work on disk.
+    Answers and entries are stored in ``keep``, to be dropped with it, or else outlive this call.
     """
     spark = requests.sparkSession
-    keyed = with_cache_key(score(requests, model, version))
-    keyed = written(keyed.withColumn("own_minutes", F.col("duration_min")), "memo-requests")
-    asked = keyed.where("error is null")
-    none = spark.createDataFrame([], "cache_key string, duration_min double, scored_at timestamp")
-    memo = none if memo is None else memo.select(*none.columns)
-    counts = asked.groupBy("cache_key").agg(F.count("*").alias("requests_of_key"))
-    known = counts.join(memo, "cache_key").withColumnsRenamed(
-        {"duration_min": "memo_minutes", "scored_at": "memo_at"}
+    keep = keep or Scratch(spark)
+    with Scratch(spark) as scratch:
+        keyed = with_cache_key(score(requests, model, version)).drop("model_version")
+        keyed = scratch.written(keyed.withColumnRenamed("duration_min", "own_minutes"), "memo-requests")
+        memo = None if memo is None or memo.isEmpty() else memo.select("cache_key", "duration_min", "scored_at")
+        key_id = _key_number([keyed] if memo is None else [keyed, memo])
+        at = F.unix_micros(F.col(arrived_at).cast("timestamp"))
+        asked = keyed.where("error is null").withColumns({"memo_k": key_id, "memo_t": at})
+        limit = keyed.count() * HOT_SHARE
+        others = [c for c in keyed.columns if c != "own_minutes"]
+        failed = _answers(keyed.where("error is not null"), others, version, F.lit(None), F.lit(False))
+        out, newest = [keep.written(failed, "memo-answers")], []
+        parts = parts_of(keyed.count())
+        for part in range(parts):
+            here = F.pmod("memo_k", F.lit(parts)) == part
+            known = None if memo is None else memo.withColumn("memo_k", key_id).where(here)
+            with Scratch(spark) as own:
+                answers, entries = _by_time(asked.where(here), others, version, request_id, known, limit, own)
+                out.append(keep.written(answers, "memo-answers"))
+                newest.append(keep.written(entries, "memo-newest"))
+    return reduce(DataFrame.unionByName, out), reduce(DataFrame.unionByName, newest)
+
+
+def parts_of(requests: int) -> int:
+    """In how many parts the keys of so many requests are worked on."""
+    return min(MOST_PARTS, 1 + requests // PART_REQUESTS)
+
+
+def _answers(rows: DataFrame, others: list[str], version: int, minutes: Column, cached: Column) -> DataFrame:
+    number = F.when(cached, F.lit(CACHED_VERSION)).otherwise(F.lit(int(version)))
+    return rows.select(
+        *others,
+        minutes.cast("double").alias("duration_min"),
+        F.when(F.col("error").isNull(), number).alias("model_version"),
+        cached.alias("cached"),
     )
-    met = join_per_key(asked, known, "cache_key", "requests_of_key")
-    life = F.expr(f"interval {MEMO_SECONDS} seconds")
-    at = F.col(arrived_at).cast("timestamp")
-    from_memo = F.coalesce(at <= F.col("memo_at") + life, F.lit(False))
-    opened = written(met.where(~from_memo).drop("memo_minutes", "memo_at", "requests_of_key"), "memo-open")
+
+
+def _by_time(
+    asked: DataFrame, others: list[str], version: int, request_id: str, memo: DataFrame | None, limit: float, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """Answers to some keys' requests and their newest entries; slots of more requests than ``limit`` are hot."""
+    columns, out = asked.columns, []
+    named = asked.select("memo_k", "cache_key").distinct()
+    if memo is not None:
+        counts = asked.groupBy("memo_k").agg(F.count("*").alias("requests_of_key"))
+        known = memo.selectExpr(
+            "memo_k", "duration_min as memo_minutes", f"unix_micros(cast(scored_at as timestamp)) + {_LIFE} as memo_until"
+        )
+        met = join_per_key(asked, counts.join(known, "memo_k"), "memo_k", "requests_of_key").drop("requests_of_key")
+        from_memo = F.coalesce(F.col("memo_t") <= F.col("memo_until"), F.lit(False))
+        out.append(_answers(met.where(from_memo), others, version, F.col("memo_minutes"), F.lit(True)))
+        asked = met.where(~from_memo).select(*columns)
+    asked = asked.withColumn("memo_slot", F.expr(_SLOT.format("memo_t")))
+
     first = F.min(F.struct(F.col(request_id).alias("id"), "own_minutes")).alias("first")
-    times = opened.where(at.isNotNull()).groupBy("cache_key", F.unix_micros(at).alias("t")).agg(first)
-    times = written(times, "memo-times")
-    entries, _ = entry_times(times)
-    entries = entries.join(times, ["cache_key", "t"]).select(
-        "cache_key", F.struct(F.timestamp_micros("t").alias("at"), "first.id", "first.own_minutes").alias("entry")
-    )
+    times = asked.where("memo_t is not null").groupBy(F.col("memo_k").alias("cache_key"), F.col("memo_t").alias("t")).agg(first)
+    times = scratch.written(times, "memo-times")
+    found, _ = entry_times(times.select("cache_key", "t"), scratch)
+    entries = found.join(times, ["cache_key", "t"]).selectExpr("cache_key as memo_k", "struct(t, first.id, first.own_minutes) as entry")
+    entries = scratch.written(entries, "memo-entries")
+
     # An entry lives in two slots of its life's length at most, and no slot has more than two entries.
-    slot_of = "cast(floor(unix_micros({}) / {}e6D) as bigint)"
-    begun = slot_of.format("entry.at", MEMO_SECONDS)
-    slots = entries.withColumn("slot", F.explode(F.expr(f"array({begun}, {begun} + 1)")))
-    slots = slots.groupBy(F.expr("concat(cache_key, '#', slot)").alias("memo_slot")).agg(
-        F.min("entry").alias("older"), F.max("entry").alias("newer")
-    )
-    placed = opened.withColumn(
-        "memo_slot", F.expr(f"concat(cache_key, '#', {slot_of.format(f'cast({arrived_at} as timestamp)', MEMO_SECONDS)})")
-    )
-    many = placed.groupBy("memo_slot").agg(F.count("*").alias("requests_of_slot"))
-    entry = F.when(F.col("newer.at") <= at, F.col("newer")).otherwise(F.col("older"))
-    computed = join_per_key(placed, slots.join(many, "memo_slot"), "memo_slot", "requests_of_slot")
-    others = [c for c in keyed.columns if c not in ("duration_min", "model_version", "own_minutes")]
-
-    def answers(rows: DataFrame, minutes: Column, cached: Column) -> DataFrame:
-        number = F.when(cached, F.lit(CACHED_VERSION)).otherwise(F.lit(int(version)))
-        return rows.select(
-            *others,
-            minutes.cast("double").alias("duration_min"),
-            F.when(F.col("error").isNull(), number).alias("model_version"),
-            cached.alias("cached"),
+    begun = _SLOT.format("entry.t")
+    slots = entries.withColumn("memo_slot", F.explode(F.expr(f"array({begun}, {begun} + 1)")))
+    slots = slots.groupBy("memo_k", "memo_slot").agg(F.min("entry").alias("memo_older"), F.max("entry").alias("memo_newer"))
+    # Requests of hot slots, fewer than 1 / HOT_SHARE by their definition, and those without a time stay in place.
+    on = ["memo_k", "memo_slot"]
+    timed = asked.where("memo_slot is not null")
+    crowded = timed.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(*on)
+    crowded = scratch.written(crowded, "memo-hot")
+    hot = scratch.written(slots.join(F.broadcast(crowded), on), "memo-hot")
+    none = {c: F.lit(None).cast(slots.schema[c].dataType) for c in ("memo_older", "memo_newer")}
+    entry = F.when(F.col("memo_newer.t") <= F.col("memo_t"), F.col("memo_newer")).otherwise(F.col("memo_older"))
+    hit = F.coalesce(F.col("memo_entry.id") != F.col(request_id), F.lit(False))
+    minutes = F.coalesce("memo_entry.own_minutes", "own_minutes")
+    for rows in (
+        timed.join(F.broadcast(hot), on),
+        timed.join(F.broadcast(hot.select(*on)), on, "left_anti").join(slots, on, "left"),
+        asked.where("memo_slot is null").withColumns(none),
+    ):
+        out.append(_answers(rows.withColumn("memo_entry", entry), others, version, minutes, hit))
+
+    # The newest entry of each key, under the key's own text.
+    made = entries.groupBy("memo_k").agg(F.max("entry").alias("entry")).join(named, "memo_k")
+    newest = made.selectExpr("cache_key", "entry.own_minutes as duration_min", "timestamp_micros(entry.t) as scored_at")
+    if memo is not None:
+        newest = memo.select(*newest.columns).unionByName(newest).groupBy("cache_key").agg(
+            F.max_by("duration_min", "scored_at").alias("duration_min"), F.max("scored_at").alias("scored_at")
         )
+    return reduce(DataFrame.unionByName, out), newest
 
-    computed = computed.withColumn("entry", entry)
-    hit = F.coalesce(F.col("entry.id") != F.col(request_id), F.lit(False))
-    out = answers(computed, F.coalesce("entry.own_minutes", "own_minutes"), hit)
-    out = out.unionByName(answers(met.where(from_memo), F.col("memo_minutes"), F.lit(True)))
-    out = out.unionByName(answers(keyed.where("error is not null"), F.lit(None), F.lit(False)))
-    made = entries.select("cache_key", F.col("entry.own_minutes").alias("duration_min"), F.col("entry.at").alias("scored_at"))
-    newest = memo.unionByName(made).groupBy("cache_key").agg(
-        F.max_by("duration_min", "scored_at").alias("duration_min"), F.max("scored_at").alias("scored_at")
-    )
-    return out, newest
+
+def _key_number(frames: list[DataFrame]) -> Column:
+    """A long that stands for ``cache_key``; hashed with another seed if two keys of the frames share one."""
+    for seed in range(64):
+        number = F.xxhash64(F.lit(seed), "cache_key")
+        if not seed:  # short numbers do for few keys
+            number = F.pmod(number, F.lit(1 << 32))
+        checks = [f.where("cache_key is not null").select(number.alias("k"), F.xxhash64("cache_key", F.lit(seed)).alias("other")) for f in frames]
+        both = reduce(DataFrame.unionByName, checks).groupBy("k").agg(F.min("other").alias("a"), F.max("other").alias("b"))
+        if both.where("a <> b").isEmpty():
+            return number
+    raise ValueError("two keys share a number with every seed")
 
 
-def entry_times(times: DataFrame) -> tuple[DataFrame, int]:
+def entry_times(times: DataFrame, scratch: Scratch | None = None) -> tuple[DataFrame, int]:
     """The times (``cache_key``, ``t`` in microseconds) at which a key's entries begin, and the rounds taken.
 
-    The first time of a key begins an entry, and so does the first time after each entry's end. Every
-    time gets a pointer to the time that would follow it. Each round doubles the pointers and adds
-    what the entries found so far point to, so 1,000 entries of one key take eleven rounds. Pointers
-    that have run off a key's end are dropped, so a batch of minutes ends after one round.
+    A time that comes more than an entry's life after the one before begins an entry whatever went before,
+    and so does the first time after each entry's end. Every time gets a pointer to the time that would
+    follow it, where that is not such a beginning. Each round doubles the pointers and adds what the
+    entries found so far point to, so 1,000 entries of one key take eleven rounds. Pointers that have run
+    off an unbroken stretch are dropped, so a batch of minutes ends after one round, and so do sparse times.
     """
-    spark = times.sparkSession
-    pointers = written(_next_times(times), "memo-pointers")
-    found = written(times.groupBy("cache_key").agg(F.min("t").alias("t")), "memo-entries")
-    entries, rounds = found, 0
+    scratch = scratch or Scratch(times.sparkSession)  # whose tables then stay
+    slots = scratch.written(_slots(times), "memo-slots")
+    pointers = scratch.written(_next_times(times, slots), "memo-pointers")
+    entries = scratch.written(slots.where("begins").selectExpr("cache_key", "first as t"), "memo-entries")
+    scratch.drop(slots)
+    reached, rounds = entries, 0
     while not pointers.isEmpty():
         rounds += 1
-        reached = entries.join(pointers, ["cache_key", "t"]).select("cache_key", F.col("next").alias("t"))
-        reached = written(reached, "memo-entries")
+        found = entries.join(pointers, ["cache_key", "t"]).select("cache_key", F.col("next").alias("t"))
+        reached = scratch.written(found, "memo-entries")
         if reached.isEmpty():
             break
         entries = entries.unionByName(reached)
         far = pointers.select("cache_key", F.col("t").alias("next"), F.col("next").alias("far"))
         doubled = pointers.join(far, ["cache_key", "next"]).select("cache_key", "t", F.col("far").alias("next"))
-        pointers = written(doubled, "memo-pointers")
+        doubled = scratch.written(doubled, "memo-pointers")
+        scratch.drop(pointers)
+        pointers = doubled
+    scratch.drop(pointers)
     return entries, rounds
 
 
-def _next_times(times: DataFrame) -> DataFrame:
-    """``cache_key``, ``t`` and ``next``, the key's first time more than an entry's life after ``t``, where there is one.
+def _slots(times: DataFrame) -> DataFrame:
+    """Times cut into slots of an entry's life: ``first`` time, whether it ``begins`` an entry whatever went before,
+    whether the next slot with times ``goes_on``, i.e. does not so, and then the first time ``beyond`` the slot
+    that follows, unless that begins one."""
+    slots = times.groupBy("cache_key", F.expr(_SLOT.format("t")).alias("slot"))
+    slots = slots.agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    by_slot = Window.partitionBy("cache_key").orderBy("slot")
+    slots = slots.withColumn("begins", F.coalesce(F.col("first") - F.lag("last").over(by_slot) > _LIFE, F.lit(True)))
+    later = {f"{c}_{n}": F.lead(c, n).over(by_slot) for n in (1, 2) for c in ("first", "begins")}
+    return slots.withColumns(later).selectExpr(
+        "cache_key", "slot", "first", "begins", "coalesce(not begins_1, false) as goes_on", "if(begins_2, null, first_2) as beyond"
+    )
+
 
-    Times are cut into slots of that life. ``next`` lies in the slot after that of ``t`` or is the first
-    time of a later one; windows run over one slot's times, or over one key's slots.
+def _next_times(times: DataFrame, slots: DataFrame) -> DataFrame:
+    """``cache_key``, ``t`` and ``next``, the key's first time more than an entry's life after ``t``, where there is one
+    that does not begin an entry by itself.
+
+    Then ``next`` lies in the slot after that of ``t`` or is the first time of the one after that; windows run over one
+    slot's times, or over one key's slots.
     """
-    life = MEMO_SECONDS * 1_000_000
-    slotted = times.select("cache_key", "t", F.expr(f"(t - pmod(t, {life})) div {life}").alias("slot"))
-    asked = slotted.selectExpr("cache_key", "slot + 1 as slot", f"t + {life} as place", "t as asked", "null as t")
-    there = slotted.selectExpr("cache_key", "slot", "t as place", "null as asked", "t")
+    slotted = times.select("cache_key", "t", F.expr(_SLOT.format("t")).alias("slot"))
+    slotted = slotted.join(slots.where("goes_on or not begins").select("cache_key", "slot", "goes_on", "begins"), ["cache_key", "slot"])
+    asked = slotted.where("goes_on").selectExpr("cache_key", "slot + 1 as slot", f"t + {_LIFE} as place", "t as asked", "cast(null as bigint) as t")
+    there = slotted.where("not begins").selectExpr("cache_key", "slot", "t as place", "cast(null as bigint) as asked", "t")
     # Going down in time, the last time met before a question is the first one after it.
     down = Window.partitionBy("cache_key", "slot").orderBy(F.desc("place"), F.desc_nulls_last("asked"))
     later = F.min("t").over(down.rowsBetween(Window.unboundedPreceding, -1))
     near = asked.unionByName(there).withColumn("near", later).where("asked is not null")
-    by_slot = Window.partitionBy("cache_key").orderBy("slot")
-    firsts = slotted.groupBy("cache_key", "slot").agg(F.min("t").alias("first"))
-    for n in (1, 2):
-        firsts = firsts.withColumns({f"slot_{n}": F.lead("slot", n).over(by_slot), f"first_{n}": F.lead("first", n).over(by_slot)})
-    beyond = firsts.selectExpr("cache_key", "slot + 1 as slot", "if(slot_1 > slot + 1, first_1, first_2) as beyond")
+    beyond = slots.where("goes_on").selectExpr("cache_key", "slot + 1 as slot", "beyond")
     both = near.join(beyond, ["cache_key", "slot"])
     return both.selectExpr("cache_key", "asked as t", "coalesce(near, beyond) as next").where("next is not null")
 

@@ -84,6 +84,42 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables in the shared folder that are dropped one by one, or all on leaving, and leave no shuffle files behind."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for frame in [f for f, _ in self.paths.values()]:
+            self.drop(frame)
+
+    def written(self, frame: DataFrame, label: str, keep: bool = False) -> DataFrame:
+        """The frame as a closely packed table; with ``keep`` it outlives this object."""
+        path, before = new_workspace(self.spark, label), self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            frame.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
+        table = self.spark.read.schema(frame.schema).parquet(path)
+        if not keep:
+            self.paths[id(table)] = table, path
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        _, path = self.paths.pop(id(table), (None, None))
+        if path is not None:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_workspace(spark: SparkSession, label: str) -> str:
     """A path no other run uses, under the shared folder."""
     return f"{shared_dir(spark)}/tripwright/{label}-{uuid.uuid4().hex}"

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tripwright.operators import latency, rules, score
 from tripwright.operators.model import LinearModel
 from tripwright.schemas import PREDICTION, Bounds
+from tripwright.session import Scratch
 from tripwright.sources import csv_lines
 
 
@@ -93,11 +94,12 @@ def memo_stream(
         if batch_id == 0:  # answers of another run are none of this one's
             _delete(spark, f"{folder}/answers")
         memo = _state(spark, f"{folder}/memo", batch_id, _MEMO)
-        answers, entries = score.score_by_time(batch, model, version, request_id, arrived_at, memo)
-        answers.write.mode("overwrite").parquet(f"{folder}/answers/batch={batch_id}")
-        latest = batch.agg(F.max(F.col(arrived_at).cast("timestamp"))).head()[0]
-        live = entries if latest is None else score.live_entries(entries, F.lit(latest).cast("timestamp"))
-        _leave_state(live, f"{folder}/memo", batch_id)
+        with Scratch(spark) as scratch:
+            answers, entries = score.score_by_time(batch, model, version, request_id, arrived_at, memo, scratch)
+            answers.write.mode("overwrite").parquet(f"{folder}/answers/batch={batch_id}")
+            latest = answers.agg(F.max(F.col(arrived_at).cast("timestamp"))).head()[0]
+            live = entries if latest is None else score.live_entries(entries, F.lit(latest).cast("timestamp"))
+            _leave_state(live, f"{folder}/memo", batch_id)
 
     return requests.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
